@@ -62,7 +62,7 @@ def conform_products(df: DataFrame, as_of=None) -> DataFrame:
 
 
 def conform_sales_transactions(df: DataFrame, as_of=None) -> DataFrame:
-    discount = F.coalesce("discount_amount", F.lit(0.0))
+    discount = F.coalesce("discount_amount", F.lit(0))
     shaped = df.withColumns(
         {
             "sales_channel": dq.cleaned("sales_channel"),
