@@ -153,11 +153,10 @@ follow(
         {tel('phone_number')} AS phone_number_masked, {idn('ssn')} AS ssn_masked FROM SCORED WHERE churn_prob > 0.6""",
 )
 follow(
-    "customer_value_rollup", "customer_value",
-    lambda scored: retail.customer_value_rollup(scored),
+    "customer_value_rollup", "customer_value", retail.customer_value_rollup,
     "segment:s preferred_channel:s avg_clv:d customers:l",
-    """WITH s AS (SELECT * FROM SCORED WHERE segment IN ('VIP', 'Loyal', 'At_Risk', 'Lost')),
-       v AS (SELECT segment, CAST(SUM(CAST(clv_estimate AS DECIMAL(18, 0))) AS DOUBLE) / COUNT(clv_estimate) AS avg_clv
+    f"""WITH s AS (SELECT * FROM SCORED WHERE segment IN ('VIP', 'Loyal', 'At_Risk', 'Lost')),
+       v AS (SELECT segment, {mean('clv_estimate', 0, 6)} AS avg_clv
              FROM s GROUP BY segment)
        SELECT s.segment, preferred_channel, ANY_VALUE(avg_clv) AS avg_clv, COUNT(*) AS customers
        FROM s JOIN v ON s.segment = v.segment

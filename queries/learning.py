@@ -1 +1,70 @@
-"""Placeholder."""
+"""Training and scoring jobs. Their results depend on the trainer, so they have no SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from queries.common import DOMAIN, add
+from tallymark.operators import learning as ml
+from tallymark.plans.scoring import energy, finance, retail
+
+# Applications without gaps, and a label that follows the income and the amount.
+DOMAIN["loan_history"] = """
+    SELECT o_orderkey AS customer_id, CAST(o_totalprice * 2 AS DOUBLE) AS loan_amount,
+           CAST((1 + o_custkey % 250) * 1000 AS DOUBLE) AS annual_income,
+           CAST(550 + o_custkey % 250 AS DOUBLE) AS credit_score, CAST(120 + 60 * (o_custkey % 5) AS DOUBLE) AS loan_term,
+           CAST(o_custkey % 9 AS DOUBLE) AS interest_rate, CAST(o_totalprice * 3 AS DOUBLE) AS property_value,
+           CAST(10000 + o_custkey AS STRING) AS zip_code,
+           CASE WHEN o_totalprice > 150000 AND o_custkey % 250 < 120 THEN 1.0 ELSE 0.0 END AS default_flag
+    FROM {orders}"""
+
+
+def _loan_model(applications: DataFrame):
+    features = ml.assemble(finance.loan_features(applications), finance.LOAN["features"])
+    train, test = ml.split(features, ["customer_id"], (0.8, 0.2))
+    return ml.fit_rf(train, finance.LOAN["label"]), features, test
+
+
+def loan_scores(applications: DataFrame) -> DataFrame:
+    model, features, _ = _loan_model(applications)
+    return ml.score(model, features, ["customer_id"])
+
+
+def loan_accuracy(applications: DataFrame) -> DataFrame:
+    model, _, test = _loan_model(applications)
+    return ml.accuracy(model.transform(test), finance.LOAN["label"])
+
+
+def demand_predictions(sales: DataFrame) -> DataFrame:
+    """Trains on one weighted row per feature combination: a few thousand rows, however many sales there are."""
+    cols = retail.DEMAND["features"]
+    rows = retail.demand_features(sales)
+    train, test = ml.split(rows, ["sale_id", "l_linenumber", "product_sku"], (0.8, 0.2))
+    condensed = ml.assemble(ml.condense(train, cols, "quantity"), cols)
+    model = ml.fit_gbt_regressor(condensed, "quantity", weightCol="weight")
+    return model.transform(ml.assemble(test, cols))
+
+
+def claim_predictions(*frames: DataFrame) -> DataFrame:
+    rows = finance.claim_features(*frames).withColumn(
+        "is_fraud", ((F.col("suspicious_score") > 8) & (F.col("claim_amount") > 20000)).cast("double")
+    )
+    features = ml.assemble(rows, finance.CLAIM["features"])
+    train, test = ml.split(features, ["claim_id", "claim_amount"], (0.7, 0.3))
+    return ml.fit_gbt_classifier(train, "is_fraud").transform(test)
+
+
+def sensor_clusters(readings: DataFrame) -> DataFrame:
+    features = ml.assemble(energy.grid_features(readings), energy.GRID["features"])
+    return ml.fit_kmeans(features, 5).transform(features)
+
+
+add("loan_scores", loan_scores, "loan_history", "customer_id:l approved:b risk_prob:d")
+add("loan_accuracy", loan_accuracy, "loan_history", "accuracy:d")
+add("demand_predictions", demand_predictions, "demand_sales", "product_sku:l sale_id:l prediction:d")
+add("demand_alerts", lambda sales: retail.demand_alerts(demand_predictions(sales), {"alert_above": 25}),
+    "demand_sales", "product_sku:l prediction:d")
+add("claim_alerts", lambda *frames: finance.claim_alerts(claim_predictions(*frames)),
+    "claims claim_history policies agents", "claim_id:l claim_amount:d claimant_name_masked:s claimant_ssn_masked:s")
+add("sensor_clusters", sensor_clusters, "grid_readings", "sensor_id:s risk_index:d prediction:l")

@@ -65,7 +65,7 @@ DOMAIN["meter_billing"] = """
     FROM {orders}"""
 DOMAIN["meter_history"] = """
     SELECT CASE o_orderstatus WHEN 'P' THEN NULL ELSE o_orderkey END AS account_id,
-           CAST(o_custkey % 121 AS DOUBLE) AS avg_historical_kwh
+           CAST((o_custkey % 121) * 4 AS DOUBLE) AS avg_historical_kwh
     FROM {orders}"""
 DOMAIN["meter_load"] = "SELECT p_partkey AS meter_id, CAST(p_size AS DOUBLE) / 25 AS neighbor_avg_ratio FROM {part}"
 score(
@@ -139,7 +139,7 @@ score(
 DOMAIN["plants"] = """
     SELECT l_partkey AS plant_id, CASE l_returnflag WHEN 'R' THEN 'solar' WHEN 'A' THEN 'wind' ELSE 'hydro' END
            AS plant_type, CAST(l_quantity AS DOUBLE) AS capacity_mw,
-           CASE l_linenumber WHEN 7 THEN NULL ELSE 'region ' || CAST(l_suppkey AS STRING) END AS region,
+           CASE l_linenumber WHEN 7 THEN NULL ELSE 'region ' || CAST(l_partkey AS STRING) END AS region,
            'Operator ' || CAST(l_suppkey AS STRING) AS operator_name,
            'op' || CAST(l_suppkey AS STRING) || '@mail.example.com' AS operator_email,
            CAST(l_orderkey AS STRING) AS operator_ssn
@@ -281,7 +281,7 @@ score(
 
 DOMAIN["priced_products"] = """
     SELECT l_partkey AS sku, CAST(l_quantity AS DOUBLE) * 2 AS cost_price, CAST(l_quantity AS DOUBLE) * 3 AS retail_price,
-           CAST(l_linenumber * 4 AS DOUBLE) AS margin_pct,
+           CAST(l_linenumber * 4 - l_suppkey % 6 AS DOUBLE) AS margin_pct,
            CASE l_suppkey % 6 WHEN 0 THEN 'electronics' WHEN 1 THEN 'apparel' WHEN 2 THEN 'home' WHEN 3 THEN 'grocery'
                WHEN 4 THEN 'beauty' ELSE 'toys' END AS category,
            'p' || CAST(l_orderkey AS STRING) || '@mail.example.com' AS customer_email,
