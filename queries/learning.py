@@ -63,7 +63,7 @@ def sensor_clusters(readings: DataFrame) -> DataFrame:
 add("loan_scores", loan_scores, "loan_history", "customer_id:l approved:b risk_prob:d")
 add("loan_accuracy", loan_accuracy, "loan_history", "accuracy:d")
 add("demand_predictions", demand_predictions, "demand_sales", "product_sku:l sale_id:l prediction:d")
-add("demand_alerts", lambda sales: retail.demand_alerts(demand_predictions(sales), {"alert_above": 25}),
+add("demand_alerts", lambda sales: retail.demand_alerts(demand_predictions(sales)),
     "demand_sales", "product_sku:l prediction:d")
 add("claim_alerts", lambda *frames: finance.claim_alerts(claim_predictions(*frames)),
     "claims claim_history policies agents", "claim_id:l claim_amount:d claimant_name_masked:s claimant_ssn_masked:s")

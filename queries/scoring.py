@@ -222,8 +222,8 @@ score(
 # Retail
 
 DOMAIN["demand_sales"] = """
-    SELECT l_partkey AS product_sku, l_orderkey AS sale_id, CAST(l_quantity AS DOUBLE) AS quantity,
-           CAST(l_extendedprice / l_quantity AS DOUBLE) / 10 AS unit_price, CAST(l_discount * 200 AS DOUBLE) AS discount_pct,
+    SELECT l_partkey AS product_sku, l_orderkey AS sale_id, CAST(l_quantity * 4 AS DOUBLE) AS quantity,
+           CAST(l_extendedprice / l_quantity AS DOUBLE) / 40 AS unit_price, CAST(l_discount * 200 AS DOUBLE) AS discount_pct,
            CAST(l_shipdate AS DATE) AS transaction_date,
            CASE l_linenumber WHEN 7 THEN NULL ELSE l_linenumber * 5 - 5 END AS purchase_frequency, l_linenumber
     FROM {lineitem}"""

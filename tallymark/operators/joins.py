@@ -1,15 +1,30 @@
-"""Join shapes of the jobs. Sort-merge, hash or broadcast is Catalyst's and AQE's choice, by measured size."""
+"""Join shapes of the jobs.
+
+A side table is broadcast only after its rows were counted. A larger one is joined by shuffle, and the key
+values that hold very many rows, NULL included, are first measured with a bounded sketch and then spread over
+several tasks. Everything else is Catalyst's and AQE's choice.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 500_000
+# Rows of one key value that one task should at most handle.
+ROWS_PER_PIECE = 1_000_000
+MAX_PIECES = 1_024
+# A sketch tracks this many values and reports the most frequent of them; its size does not grow with the data.
+SKETCH_TRACKED = 256
+SKETCH_REPORTED = 64
+
+Hot = Mapping[Any, int]
 
 
 class Dim(NamedTuple):
@@ -20,19 +35,121 @@ class Dim(NamedTuple):
     columns: Sequence[str] | None = None
 
 
-def enrich(df: DataFrame, dims: Sequence[Dim]) -> DataFrame:
-    """Left equi joins in order. Only the needed columns travel; several matches give several rows."""
+class Step(NamedTuple):
+    """A left join of a chain: the table, the key on the left (any earlier table) and the key of the table."""
+
+    df: DataFrame
+    left_key: str
+    right_key: str
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether a table may be shipped to every task. Counting a file table only reads its footers."""
+    return df.count() <= max_rows
 
-    def add(left: DataFrame, dim: Dim) -> DataFrame:
-        taken = [c for c in dim.df.columns if c != dim.key] if dim.columns is None else list(dim.columns)
-        return left.join(dim.df.select(dim.key, *taken), dim.key, "left")
 
-    return reduce(add, dims, df)
+def hot_values(df: DataFrame, keys: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, Hot]:
+    """For each key column the values with more rows than one task should get, and the pieces to cut them into.
 
+    One pass over the key columns alone; the counts are close upper estimates and only steer the layout.
+    """
+    if df.isStreaming or not keys:
+        return {key: {} for key in keys}
+    sketches = [
+        F.call_function("approx_top_k", F.col(key), F.lit(SKETCH_REPORTED), F.lit(SKETCH_TRACKED)).alias(f"_{i}")
+        for i, key in enumerate(keys)
+    ]
+    row = df.agg(*sketches).first()
+    return {
+        key: {
+            entry["item"]: min(MAX_PIECES, math.ceil(entry["count"] / rows_per_piece))
+            for entry in row[f"_{i}"] or []
+            if entry["count"] > rows_per_piece
+        }
+        for i, key in enumerate(keys)
+    }
+
+
+def _pieces(key: Column, hot: Hot) -> Column:
+    return reduce(lambda rest, vn: F.when(key.eqNullSafe(F.lit(vn[0])), vn[1]).otherwise(rest), hot.items(), F.lit(1))
+
+
+def spread(df: DataFrame, key: str, hot: Hot, salt: str) -> DataFrame:
+    """Number the rows of a hot value by piece; all other rows get piece 0.
+
+    The piece follows from the row and its input split, so a repeated task puts each row where it was.
+    """
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    number = F.xxhash64(*hashable) if len(set(df.columns)) == len(df.columns) else F.lit(0)
+    return df.withColumn(salt, F.pmod(number + F.spark_partition_id(), _pieces(F.col(key), hot)).cast("int"))
 
-def left_chain(df: DataFrame, steps: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
-    """Left joins whose conditions may use columns of any earlier table; NULL keys match nothing."""
-    return reduce(lambda left, step: left.join(step[0], step[1], "left"), steps, df)
+
+def copy_to_pieces(df: DataFrame, key: str, hot: Hot, salt: str) -> DataFrame:
+    """Repeat the rows of a hot value once per piece. Only the few hot values are repeated."""
+    last = (_pieces(F.col(key), hot) - 1).cast("int")
+    return df.withColumn(salt, F.explode(F.sequence(F.lit(0), last)))
+
+
+def enrich(
+    df: DataFrame, dims: Sequence[Dim], hot: Mapping[str, Hot] | None = None, max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Left equi joins in order. Only the needed columns travel; several matches give several rows.
+
+    ``hot`` can name the hot values of each key; by default they are measured, if a large table is joined.
+    """
+    taken = [
+        dim.df.select(dim.key, *([c for c in dim.df.columns if c != dim.key] if dim.columns is None else dim.columns))
+        for dim in dims
+    ]
+    small = [is_small(side, max_rows) for side in taken]
+    # Keys of large tables that the facts themselves have; later ones come from a side table.
+    keys = list(dict.fromkeys(d.key for d, is_tiny in zip(dims, small) if not is_tiny and d.key in df.columns))
+    hot = hot_values(df, keys) if hot is None else hot
+    salts = {}
+    for key in keys:
+        if hot.get(key):
+            salts[key] = f"_piece_{key}"
+            df = spread(df, key, hot[key], salts[key])
+    for dim, side, is_tiny in zip(dims, taken, small):
+        if is_tiny:
+            df = df.join(F.broadcast(side), dim.key, "left")
+        elif dim.key in salts:
+            copies = copy_to_pieces(side.filter(F.col(dim.key).isNotNull()), dim.key, hot[dim.key], salts[dim.key])
+            df = df.join(copies, [dim.key, salts[dim.key]], "left")
+        else:
+            df = df.join(side, dim.key, "left")
+    return df.drop(*salts.values())
+
+
+def left_chain(
+    df: DataFrame, name: str, steps: Sequence[Step], hot: Mapping[str, Hot] | None = None,
+    max_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Left joins whose keys may come from any earlier table; NULL keys match nothing.
+
+    Columns are addressed as ``alias.column``; ``name`` is the alias of the first table. Hot values of its own
+    keys are measured and spread; a key that comes from a joined table is left to AQE's skew handling.
+    """
+    small = [is_small(step.df, max_rows) for step in steps]
+    own = {s.left_key: s.left_key.split(".", 1)[1] for s in steps if s.left_key.split(".", 1)[0] == name}
+    large = {s.left_key for s, is_tiny in zip(steps, small) if not is_tiny}
+    keys = [own[k] for k in dict.fromkeys(s.left_key for s in steps) if k in own and k in large]
+    hot = hot_values(df, keys) if hot is None else hot
+    salts = {key: f"_piece_{key}" for key in keys if hot.get(key)}
+    for key, salt in salts.items():
+        df = spread(df, key, hot[key], salt)
+    joined = df.alias(name)
+    for i, (step, is_tiny) in enumerate(zip(steps, small)):
+        key, condition = own.get(step.left_key), F.col(step.left_key) == F.col(step.right_key)
+        side = step.df
+        if is_tiny:
+            side = F.broadcast(side)
+        elif key in salts:
+            alias, column = step.right_key.split(".", 1)
+            side = copy_to_pieces(side.filter(F.col(column).isNotNull()), column, hot[key], f"_copy_{i}").alias(alias)
+            condition = condition & (F.col(f"{name}.{salts[key]}") == F.col(f"{alias}._copy_{i}"))
+        joined = joined.join(side, condition, "left")
+    return joined
 
 
 def join_aggregates(
@@ -47,13 +164,8 @@ def join_aggregates(
 
 
 def broadcast_left(df: DataFrame, dim: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left join that ships a small dimension to every task.
-
-    The size is checked first with a probe that stops after ``max_rows + 1`` rows; a larger dimension is
-    joined without the hint, by shuffle.
-    """
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(dim) if small else dim, key, "left")
+    """Left join that ships a small dimension to every task; a larger one is joined by shuffle."""
+    return enrich(df, [Dim(dim, key)], max_rows=max_rows)
 
 
 def full_outer_nullsafe(

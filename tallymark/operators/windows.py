@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.operators.joins import ROWS_PER_PIECE, copy_to_pieces, hot_values, spread
+
 
 def dedupe_latest(
     df: DataFrame, keys: Sequence[str], order_col: str = "data_load_ts", tie_breakers: Sequence[str] = ()
@@ -30,13 +32,19 @@ def _bucket_bounds(df: DataFrame, order_col: str, buckets: int) -> list:
     return sorted(set(row["cuts"] or []))
 
 
-def dense_rank_by(df: DataFrame, order_col: str, rank_col: str = "rank", buckets: int | None = None) -> DataFrame:
+def dense_rank_by(
+    df: DataFrame,
+    order_col: str,
+    rank_col: str = "rank",
+    buckets: int | None = None,
+    rows_per_piece: int = ROWS_PER_PIECE,
+) -> DataFrame:
     """Global dense rank in descending order, NULL last, without a single-task window.
 
     1. Cut points of the column come from one sketch (a bounded list of numbers).
     2. The distinct values are numbered inside each range, and each range gets the number of distinct values
        above it. Ranges are balanced and hold each value once, so a hot value cannot overload a task.
-    3. Every row takes the number of its value by an equi join; AQE splits a hot value there.
+    3. Every row takes the number of its value by an equi join, for which the rows of a hot value are spread.
     """
     spark = df.sparkSession
     buckets = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -44,13 +52,10 @@ def dense_rank_by(df: DataFrame, order_col: str, rank_col: str = "rank", buckets
     cuts = _bucket_bounds(df, order_col, buckets)
 
     # Range 0 holds the largest values; NULL gets a range of its own at the end.
-    above = F.lit(0)
-    if cuts:
-        literals = F.array(*[F.lit(c) for c in cuts])
-        above = F.size(F.filter(literals, lambda cut: cut > value))
-    spread = F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(above)
+    above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut > value)) if cuts else F.lit(0)
+    position = F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(above)
 
-    distinct = df.select(order_col).distinct().withColumn("_range", spread)
+    distinct = df.select(order_col).distinct().withColumn("_range", position)
     inside = Window.partitionBy("_range").orderBy(value.desc_nulls_last())
     numbered = distinct.withColumn("_inside", F.row_number().over(inside))
     sizes = distinct.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
@@ -60,7 +65,14 @@ def dense_rank_by(df: DataFrame, order_col: str, rank_col: str = "rank", buckets
     ranks = numbered.join(F.broadcast(offsets), "_range").select(
         F.col(order_col).alias("_value"), (F.col("_inside") + F.col("_offset")).alias(rank_col)
     )
-    return df.join(ranks, F.col(order_col).eqNullSafe(F.col("_value")), "left").drop("_value")
+
+    hot = hot_values(df, [order_col], rows_per_piece)[order_col]
+    same = F.col(order_col).eqNullSafe(F.col("_value"))
+    if not hot:
+        return df.join(ranks, same, "left").drop("_value")
+    rows = spread(df, order_col, hot, "_piece")
+    copies = copy_to_pieces(ranks, "_value", hot, "_copy")
+    return rows.join(copies, same & (F.col("_piece") == F.col("_copy")), "left").drop("_value", "_piece", "_copy")
 
 
 def rolling_rows(

@@ -108,7 +108,7 @@ def trial_results(patients: DataFrame, plan: TrialPlan, cfg=TRIAL) -> DataFrame
     The row check stops as soon as enough rows are found.
     """
     kept = patients.filter(phase_predicate(plan, cfg))
-    if plan.phase == 2 and kept.limit(cfg["phase2_rows"]).count() < cfg["phase2_rows"]:
+    if plan.phase == 2 and len(kept.select(F.lit(1)).take(cfg["phase2_rows"])) < cfg["phase2_rows"]:
         return None
     return staged(
         kept,
