@@ -42,8 +42,8 @@ def split(df: DataFrame, key: Sequence[str], weights: tuple[float, float], seed:
 def condense(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     """One row per distinct feature combination with its mean label and number of rows.
 
-    A squared-error tree only uses sums of labels and weights, so training on this weighted table finds the
-    same splits, while its size depends on the number of combinations and not on the number of rows.
+    A squared-error tree only uses sums of labels and weights, so training on this weighted table finds equally
+    good splits, while its size depends on the number of combinations and not on the number of rows.
     """
     return df.groupBy(*cols).agg(F.avg(label).alias(label), F.count(label).cast("double").alias("weight"))
 

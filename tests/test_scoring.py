@@ -114,7 +114,8 @@ def test_models_learn_a_separable_rule(spark):
 
 
 def test_condensed_training_equals_full_training(spark):
-    df = separable(spark).withColumn("y", F.col("a") * 3 + F.col("id") % 3)
+    # Irregular labels, so that no two splits are equally good.
+    df = separable(spark).withColumn("y", F.col("a") * 3 + F.pmod(F.xxhash64("id"), F.lit(1000)) / 100)
     full = ml.fit_gbt_regressor(ml.assemble(df, ["a", "b"]), "y", iterations=4)
     small = ml.condense(df, ["a", "b"], "y")
     assert small.count() == 140
