@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import operator
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
+from itertools import takewhile
 from typing import Any
 
 from pyspark.sql import Column
@@ -41,6 +42,20 @@ def band(
     return rules(pairs, default)
 
 
+def band_where(
+    c: Column | str, steps: Sequence[tuple[Any, Any]], passes: Callable[[Any], bool], op: str = ">="
+) -> Column:
+    """Rows whose banded value passes a test, as one comparison of the measurement.
+
+    A filter on the banded column itself is pushed below the banding, which repeats the measurement's whole
+    expression once per threshold. The passing bands have to come first; the default must not pass.
+    """
+    leading = list(takewhile(lambda step: passes(step[1]), steps))
+    if not leading or any(passes(result) for _, result in steps[len(leading) :]):
+        raise ValueError("band_where: the passing bands must come first")
+    return _COMPARE[op](as_column(c), leading[-1][0])
+
+
 def lookup(c: Column | str, table: Mapping[Any, Any], default: Any) -> Column:
     """Result of the first equal entry of a small fixed table."""
     return band(c, list(table.items()), default, op="==")

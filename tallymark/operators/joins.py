@@ -48,26 +48,28 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
 
 
+def hot_sketch(key: str) -> Column:
+    return F.call_function("approx_top_k", F.col(key), F.lit(SKETCH_REPORTED), F.lit(SKETCH_TRACKED))
+
+
+def hot_pieces(top, rows_per_piece: int) -> Hot:
+    """Values with more rows than one task should get, and the pieces to cut them into."""
+    return {
+        entry["item"]: min(MAX_PIECES, math.ceil(entry["count"] / rows_per_piece))
+        for entry in top or []
+        if entry["count"] > rows_per_piece
+    }
+
+
 def hot_values(df: DataFrame, keys: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, Hot]:
-    """For each key column the values with more rows than one task should get, and the pieces to cut them into.
+    """The hot values of each key column.
 
     One pass over the key columns alone; the counts are close upper estimates and only steer the layout.
     """
     if df.isStreaming or not keys:
         return {key: {} for key in keys}
-    sketches = [
-        F.call_function("approx_top_k", F.col(key), F.lit(SKETCH_REPORTED), F.lit(SKETCH_TRACKED)).alias(f"_{i}")
-        for i, key in enumerate(keys)
-    ]
-    row = df.agg(*sketches).first()
-    return {
-        key: {
-            entry["item"]: min(MAX_PIECES, math.ceil(entry["count"] / rows_per_piece))
-            for entry in row[f"_{i}"] or []
-            if entry["count"] > rows_per_piece
-        }
-        for i, key in enumerate(keys)
-    }
+    row = df.agg(*[hot_sketch(key).alias(f"_{i}") for i, key in enumerate(keys)]).first()
+    return {key: hot_pieces(row[f"_{i}"], rows_per_piece) for i, key in enumerate(keys)}
 
 
 def _pieces(key: Column, hot: Hot) -> Column:

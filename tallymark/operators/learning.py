@@ -48,11 +48,16 @@ def condense(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     return df.groupBy(*cols).agg(F.avg(label).alias(label), F.count(label).cast("double").alias("weight"))
 
 
+def _even(train: DataFrame, *columns: str) -> DataFrame:
+    """Only the needed columns, in partitions of similar size: the trainers pass over them many times."""
+    return train.select(*columns).hint("rebalance")
+
+
 def fit_rf(train: DataFrame, label: str, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, **params):
     checkpoint_dir(train.sparkSession)
     return RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=SEED, **params
-    ).fit(train)
+    ).fit(_even(train, "features", label))
 
 
 def fit_gbt_regressor(train: DataFrame, label: str, iterations: int = REGRESSOR_ITERATIONS, **params):
@@ -64,7 +69,7 @@ def fit_gbt_regressor(train: DataFrame, label: str, iterations: int = REGRESSOR_
         seed=SEED,
         checkpointInterval=_CHECKPOINT_EVERY,
         **params,
-    ).fit(train)
+    ).fit(_even(train, "features", label, *([params["weightCol"]] if "weightCol" in params else [])))
 
 
 def fit_gbt_classifier(
@@ -79,11 +84,11 @@ def fit_gbt_classifier(
         seed=SEED,
         checkpointInterval=_CHECKPOINT_EVERY,
         **params,
-    ).fit(train)
+    ).fit(_even(train, "features", label))
 
 
 def fit_kmeans(train: DataFrame, k: int, seed: int = SEED, **params):
-    return KMeans(k=k, seed=seed, featuresCol="features", **params).fit(train)
+    return KMeans(k=k, seed=seed, featuresCol="features", **params).fit(_even(train, "features"))
 
 
 def score(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.operators.joins import ROWS_PER_PIECE, copy_to_pieces, hot_values, spread
+from tallymark.operators.joins import ROWS_PER_PIECE, Hot, copy_to_pieces, hot_pieces, hot_sketch, spread
 
 
 def dedupe_latest(
@@ -25,11 +25,12 @@ def dedupe_latest(
     return df.withColumn("_position", position).filter(F.col("_position") == 1).drop("_position")
 
 
-def _bucket_bounds(df: DataFrame, order_col: str, buckets: int) -> list:
-    """At most ``buckets - 1`` cut points of the column, from one mergeable sketch."""
+def _layout(df: DataFrame, order_col: str, buckets: int, rows_per_piece: int) -> tuple[list, Hot]:
+    """At most ``buckets - 1`` cut points of the column and its hot values, from two sketches in one pass."""
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(order_col, shares, 20 * buckets).alias("cuts")).first()
-    return sorted(set(row["cuts"] or []))
+    cuts = F.percentile_approx(order_col, shares, 20 * buckets).alias("cuts")
+    row = df.agg(cuts, hot_sketch(order_col).alias("top")).first()
+    return sorted(set(row["cuts"] or [])), hot_pieces(row["top"], rows_per_piece)
 
 
 def dense_rank_by(
@@ -49,7 +50,7 @@ def dense_rank_by(
     spark = df.sparkSession
     buckets = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     value = F.col(order_col)
-    cuts = _bucket_bounds(df, order_col, buckets)
+    cuts, hot = _layout(df, order_col, buckets, rows_per_piece)
 
     # Range 0 holds the largest values; NULL gets a range of its own at the end.
     above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut > value)) if cuts else F.lit(0)
@@ -66,7 +67,6 @@ def dense_rank_by(
         F.col(order_col).alias("_value"), (F.col("_inside") + F.col("_offset")).alias(rank_col)
     )
 
-    hot = hot_values(df, [order_col], rows_per_piece)[order_col]
     same = F.col(order_col).eqNullSafe(F.col("_value"))
     if not hot:
         return df.join(ranks, same, "left").drop("_value")

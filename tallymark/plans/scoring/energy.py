@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.conditional import band, flag, indicator_sum, lookup, ratio, rules, weighted_score
+from tallymark.functions.conditional import band, band_where, flag, indicator_sum, lookup, ratio, rules, weighted_score
 from tallymark.functions.formulas import deviation
 from tallymark.operators.joins import Dim, enrich
 from tallymark.operators.kpi import flag_counts, nested_alert, segment_alert
@@ -160,10 +160,14 @@ def meter_theft(
     )
 
 
+def _likely_theft(above: float, cfg) -> Column:
+    return band_where("theft_score", cfg["probability"], lambda p: p > above, ">")
+
+
 def meter_theft_summary(scored: DataFrame, cfg=THEFT) -> DataFrame:
     return flag_counts(
         scored,
-        {"suspects": F.col("theft_probability") > cfg["alert_above"], "tampered": is_true("tamper_flag")},
+        {"suspects": _likely_theft(cfg["alert_above"], cfg), "tampered": is_true("tamper_flag")},
         {"total_loss": F.sum("est_monthly_loss")},
     )
 
@@ -171,7 +175,7 @@ def meter_theft_summary(scored: DataFrame, cfg=THEFT) -> DataFrame:
 def meter_theft_alerts(scored: DataFrame, cfg=THEFT) -> DataFrame:
     return row_alerts(
         scored,
-        F.col("theft_probability") > cfg["alert_above"],
+        _likely_theft(cfg["alert_above"], cfg),
         ["meter_id", "account_id", "theft_probability", "est_monthly_loss"],
         {"customer_name": "name", "customer_email": "email", "customer_phone": "phone", "customer_ssn": "ssn"},
     )
@@ -180,7 +184,7 @@ def meter_theft_alerts(scored: DataFrame, cfg=THEFT) -> DataFrame:
 def meter_theft_rollup(scored: DataFrame, cfg=THEFT) -> DataFrame:
     """Districts whose suspects lose much, one row per listed rate class that has suspects."""
     return nested_alert(
-        scored.filter(F.col("theft_probability") > cfg["suspect_above"]),
+        scored.filter(_likely_theft(cfg["suspect_above"], cfg)),
         "district_id",
         "rate_class",
         cfg["classes"],
@@ -211,21 +215,25 @@ def outage_risk(
     )
 
 
+def _emergency(cfg) -> Column:
+    return band_where("outage_risk_score", cfg["priority"], lambda p: p == "EMERGENCY", ">")
+
+
 def outage_summary(scored: DataFrame, cfg=OUTAGE) -> DataFrame:
     return flag_counts(
         scored,
         {
-            "emergencies": F.col("dispatch_priority") == "EMERGENCY",
+            "emergencies": _emergency(cfg),
             "large_outages": F.col("customers_affected") > cfg["many_customers"],
         },
         {"total": F.count(F.lit(1))},
     )
 
 
-def outage_alerts(scored: DataFrame) -> DataFrame:
+def outage_alerts(scored: DataFrame, cfg=OUTAGE) -> DataFrame:
     return row_alerts(
         scored,
-        F.col("dispatch_priority") == "EMERGENCY",
+        _emergency(cfg),
         ["feeder_id", "dispatch_priority", "customers_affected"],
         {"crew_lead_name": "name", "crew_lead_email": "email", "crew_lead_phone": "phone", "crew_lead_ssn": "ssn"},
     )
@@ -234,7 +242,7 @@ def outage_alerts(scored: DataFrame) -> DataFrame:
 def outage_rollup(scored: DataFrame, cfg=OUTAGE) -> DataFrame:
     """Districts with many customers in emergencies, one row per listed fault type that occurs."""
     return nested_alert(
-        scored.filter(F.col("dispatch_priority") == "EMERGENCY"),
+        scored.filter(_emergency(cfg)),
         "district_id",
         "fault_type",
         cfg["faults"],
@@ -321,12 +329,16 @@ def transformer_health(
     )
 
 
+def _likely_failure(cfg) -> Column:
+    return band_where("health_index", cfg["failure"], lambda p: p > cfg["alert_above"], "<")
+
+
 def transformer_summary(scored: DataFrame, cfg=TRANSFORMER) -> DataFrame:
     return flag_counts(
         scored,
         {
             "poor_health": F.col("health_index") < cfg["poor_below"],
-            "likely_failures": F.col("failure_prob") > cfg["alert_above"],
+            "likely_failures": _likely_failure(cfg),
         },
     )
 
@@ -334,7 +346,7 @@ def transformer_summary(scored: DataFrame, cfg=TRANSFORMER) -> DataFrame:
 def transformer_alerts(scored: DataFrame, cfg=TRANSFORMER) -> DataFrame:
     return row_alerts(
         scored,
-        F.col("failure_prob") > cfg["alert_above"],
+        _likely_failure(cfg),
         ["asset_id", "health_index", "failure_prob"],
         {"operator_name": "name", "operator_email": "email", "operator_phone": "phone", "operator_ssn": "ssn"},
     )

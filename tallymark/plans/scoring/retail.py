@@ -144,16 +144,21 @@ def customer_value_alerts(scored: DataFrame, cfg=CUSTOMER_VALUE) -> DataFrame:
 
 
 def customer_value_rollup(scored: DataFrame, cfg=CUSTOMER_VALUE) -> DataFrame:
-    """Valuable segments, one row per listed channel with enough customers."""
+    """Valuable segments, one row per listed channel with enough customers.
+
+    The segments are chosen after the aggregation, on a handful of rows; a filter on the segment itself would
+    be pushed below the scoring and repeat its rules.
+    """
     value, average = F.col("clv_estimate"), F.try_divide("_total", "_values")
+    listed = F.max(flag(F.col("segment").isin(cfg["rollup_segments"])))
     return nested_alert(
-        scored.filter(F.col("segment").isin(cfg["rollup_segments"])),
+        scored,
         "segment",
         "preferred_channel",
         cfg["channels"],
-        {"customers": F.count(F.lit(1)), "_sum": F.sum(value), "_set": F.count(value)},
+        {"customers": F.count(F.lit(1)), "_sum": F.sum(value), "_set": F.count(value), "_listed": listed},
         {"_total": F.sum("_sum"), "_values": F.sum("_set")},
-        (average > cfg["avg_value_above"]) & (F.col("customers") > cfg["channel_count_above"]),
+        (F.col("_listed") == 1) & (average > cfg["avg_value_above"]) & (F.col("customers") > cfg["channel_count_above"]),
     ).select("segment", "preferred_channel", average.alias("avg_clv"), "customers")
 
 

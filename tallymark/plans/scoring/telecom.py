@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.conditional import band, lookup, ratio, rules, weighted_score
+from tallymark.functions.conditional import band, band_where, ratio, rules, weighted_score
 from tallymark.operators.joins import Dim, enrich
 from tallymark.operators.kpi import flag_counts, nested_alert, segment_alert
 from tallymark.operators.quality import as_of_date
@@ -302,11 +302,15 @@ def subscriber_fraud(
     )
 
 
+def _likely_fraud(cfg) -> Column:
+    return band_where("fraud_score", cfg["probability"], lambda p: p > cfg["alert_above"], ">")
+
+
 def fraud_summary(scored: DataFrame, cfg=FRAUD) -> DataFrame:
     return flag_counts(
         scored,
         {
-            "likely_fraud": F.col("fraud_probability") > cfg["alert_above"],
+            "likely_fraud": _likely_fraud(cfg),
             "sim_swaps": F.col("sim_swap_risk") >= cfg["high_risk_from"],
             "revenue_share": F.col("irsf_risk") >= cfg["high_risk_from"],
         },
@@ -317,7 +321,7 @@ def fraud_summary(scored: DataFrame, cfg=FRAUD) -> DataFrame:
 def fraud_alerts(scored: DataFrame, cfg=FRAUD) -> DataFrame:
     return row_alerts(
         scored,
-        F.col("fraud_probability") > cfg["alert_above"],
+        _likely_fraud(cfg),
         ["subscriber_id", "fraud_probability", "fraud_score"],
         {
             "msisdn": "phone", "customer_name": "name", "customer_email": "email", "customer_phone": "phone",
