@@ -31,6 +31,7 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
     fmt: str = "parquet",
+    comment: str | None = None,
 ) -> None:
     """Replace (or append to) a managed table. An overwrite also takes over a changed schema."""
     if not name or not name.strip():
@@ -39,6 +40,9 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
+    if comment:
+        text = comment.replace("\\", "\\\\").replace("'", "\\'")
+        df.sparkSession.sql(f"COMMENT ON TABLE IDENTIFIER(:name) IS '{text}'", args={"name": name})
 
 
 def write_validated(

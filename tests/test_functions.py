@@ -42,6 +42,18 @@ def test_rules_take_the_first_match_in_order(spark):
         cond.rules([], 0)
 
 
+def test_band_where_equals_a_filter_on_the_band(spark):
+    steps = [(30, 0.95), (20, 0.75), (12, 0.5)]
+    df = spark.createDataFrame([(v,) for v in (None, 12.0, 12.1, 20.0, 20.1, 30.0, 30.1)], "x double")
+    banded = df.withColumn("p", cond.band("x", steps, 0.05, ">"))
+    for limit in (0.5, 0.7, 0.9):
+        direct = df.filter(cond.band_where("x", steps, lambda p: p > limit, ">"))
+        assert direct.collect() == banded.filter(F.col("p") > limit).select("x").collect()
+    for passes in (lambda p: p == 0.75, lambda p: p > 1):
+        with pytest.raises(ValueError):
+            cond.band_where("x", steps, passes, ">")
+
+
 def test_indicator_sum_and_weighted_score(spark):
     df = spark.createDataFrame([(1, None), (2, 3)], "a int, b int")
     scored = df.select(

@@ -326,6 +326,16 @@ def test_vendor_scorecard(spark, rows):
     ]
 
 
+def test_shop_marts_are_written_with_comments(spark):
+    audits, _ = retail_silver.build("vendor_compliance", shop_vendors(spark), AS_OF)
+    name = "vendor_compliance_scorecard"
+    marts = {name: retail_gold.vendor_compliance_scorecard(audits)}
+    for _ in range(2):
+        (table,) = medallion.write_marts(marts, "shop_gold", retail_gold.PARTITIONS, retail_gold.COMMENTS)
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    assert described["Comment"] == retail_gold.COMMENTS[name] and spark.table(table).count() == 3
+
+
 def test_shop_inventory_and_products(spark, rows):
     inventory = spark.createDataFrame(
         [

@@ -224,6 +224,20 @@ def test_scan_patterns_finds_each_kind(spark, rows):
     assert rows(matrix.filter("pattern = 'email'"), "x", "z") == [(3, 0)]
 
 
+def test_needed_text_is_part_of_every_match():
+    """The plain search may only skip texts that cannot match."""
+    import re
+
+    samples = {
+        "aws_key": "AKIA" + "A" * 16, "db_url": "mysql://h", "jwt": "eyJa.b.c", "email": "a@b.c",
+        "phone": "+15550001234", "ssn": "000-00-0000", "connection_string": "Host = h;",
+    }
+    assert set(samples) == set(textscan.NEEDED)
+    for name, needed in textscan.NEEDED.items():
+        assert needed in samples[name] and re.search(textscan.PATTERNS[name], samples[name])
+        assert not re.search(textscan.PATTERNS[name], samples[name].replace(needed, ""))
+
+
 def test_scan_patterns_reads_whole_long_texts(spark):
     df = spark.createDataFrame([(1, "a" * 300_000 + " ann@example.com " + "b" * 300_000)], "id int, text string")
     assert [tuple(r) for r in textscan.scan_patterns(df, "text", ["id"]).collect()] == [(1, "email", 1)]
