@@ -42,7 +42,7 @@ def demand_predictions(sales: DataFrame) -> DataFrame:
     rows = retail.demand_features(sales)
     train, test = ml.split(rows, ["sale_id", "l_linenumber", "product_sku"], (0.8, 0.2))
     condensed = ml.assemble(ml.condense(train, cols, "quantity"), cols)
-    model = ml.fit_gbt_regressor(condensed, "quantity", weightCol="weight")
+    model = ml.fit_gbt_regressor(condensed, "quantity", weight="weight")
     return model.transform(ml.assemble(test, cols))
 
 

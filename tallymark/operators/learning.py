@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -25,6 +27,8 @@ CLASSIFIER_DEPTH = 8
 _SPLIT_BUCKETS = 1_000_000
 # Boosting adds a step to the lineage in every round; it is cut this often where a checkpoint folder is set.
 _CHECKPOINT_EVERY = 10
+# Below this, more partitions cost a trainer more in task starts than they save.
+_ROWS_PER_PARTITION = 20_000
 
 
 def assemble(df: DataFrame, cols: Sequence[str], handle_invalid: str = "error") -> DataFrame:
@@ -48,35 +52,50 @@ def condense(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     return df.groupBy(*cols).agg(F.avg(label).alias(label), F.count(label).cast("double").alias("weight"))
 
 
-def _even(train: DataFrame, *columns: str) -> DataFrame:
-    """Only the needed columns, in partitions of similar size: the trainers pass over them many times."""
-    return train.select(*columns).hint("rebalance")
+def _fit(estimator, train: DataFrame, *columns: str):
+    """Fit on the needed columns only, computed once and spread evenly over at most the session's shuffle width.
+
+    The trainers pass over their input many times, and several of these passes would go back to the source. The
+    kept rows spill to disk, and lost ones are computed again.
+    """
+    rows = train.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        widest = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        width = min(widest, math.ceil(rows.count() / _ROWS_PER_PARTITION))
+        return estimator.fit(rows.repartition(max(width, 1)))
+    finally:
+        rows.unpersist()
 
 
 def fit_rf(train: DataFrame, label: str, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, **params):
     checkpoint_dir(train.sparkSession)
-    return RandomForestClassifier(
+    forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=SEED, **params
-    ).fit(_even(train, "features", label))
+    )
+    return _fit(forest, train, "features", label)
 
 
-def fit_gbt_regressor(train: DataFrame, label: str, iterations: int = REGRESSOR_ITERATIONS, **params):
+def fit_gbt_regressor(
+    train: DataFrame, label: str, iterations: int = REGRESSOR_ITERATIONS, weight: str | None = None, **params
+):
     checkpoint_dir(train.sparkSession)
-    return GBTRegressor(
+    boosted = GBTRegressor(
         featuresCol="features",
         labelCol=label,
         maxIter=iterations,
         seed=SEED,
         checkpointInterval=_CHECKPOINT_EVERY,
+        **({"weightCol": weight} if weight else {}),
         **params,
-    ).fit(_even(train, "features", label, *([params["weightCol"]] if "weightCol" in params else [])))
+    )
+    return _fit(boosted, train, "features", label, *([weight] if weight else []))
 
 
 def fit_gbt_classifier(
     train: DataFrame, label: str, iterations: int = CLASSIFIER_ITERATIONS, depth: int = CLASSIFIER_DEPTH, **params
 ):
     checkpoint_dir(train.sparkSession)
-    return GBTClassifier(
+    boosted = GBTClassifier(
         featuresCol="features",
         labelCol=label,
         maxIter=iterations,
@@ -84,11 +103,12 @@ def fit_gbt_classifier(
         seed=SEED,
         checkpointInterval=_CHECKPOINT_EVERY,
         **params,
-    ).fit(_even(train, "features", label))
+    )
+    return _fit(boosted, train, "features", label)
 
 
 def fit_kmeans(train: DataFrame, k: int, seed: int = SEED, **params):
-    return KMeans(k=k, seed=seed, featuresCol="features", **params).fit(_even(train, "features"))
+    return _fit(KMeans(k=k, seed=seed, featuresCol="features", **params), train, "features")
 
 
 def score(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -119,7 +119,7 @@ def test_condensed_training_equals_full_training(spark):
     full = ml.fit_gbt_regressor(ml.assemble(df, ["a", "b"]), "y", iterations=4)
     small = ml.condense(df, ["a", "b"], "y")
     assert small.count() == 140
-    condensed = ml.fit_gbt_regressor(ml.assemble(small, ["a", "b"]), "y", iterations=4, weightCol="weight")
+    condensed = ml.fit_gbt_regressor(ml.assemble(small, ["a", "b"]), "y", iterations=4, weight="weight")
     features = ml.assemble(df, ["a", "b"])
     left = [r["prediction"] for r in full.transform(features).orderBy("id").collect()]
     right = [r["prediction"] for r in condensed.transform(features).orderBy("id").collect()]
