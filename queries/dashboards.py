@@ -48,8 +48,9 @@ DOMAIN["chain_batches"] = """
            l_partkey AS product_id
     FROM {lineitem}"""
 DOMAIN["chain_plants"] = """
-    SELECT s_suppkey AS plant_id, s_name AS plant_name, 'City ' || CAST(s_nationkey AS STRING) AS city,
-           CASE WHEN s_acctbal < 0 THEN NULL ELSE 'State' END AS state
+    SELECT CASE WHEN s_acctbal < 0 THEN NULL ELSE s_suppkey END AS plant_id, s_name AS plant_name,
+           'City ' || CAST(s_nationkey AS STRING) AS city,
+           CASE WHEN s_acctbal > 5000 THEN 'State' END AS state
     FROM {supplier}"""
 DOMAIN["chain_quality"] = """
     SELECT o_orderkey AS batch_id, CAST(o_totalprice / 5000 AS DOUBLE) AS quality_score,
@@ -181,21 +182,21 @@ add(
     "supplier_rating:d material_name:s quantity_available:l purchase_order_id:l purchase_amount:d quality_score:d "
     "defect_count:l warehouse_id:s storage_location:s shipment_id:l shipment_status:s shipping_cost:d "
     "customer_order_id:l customer_id:l order_amount:d sales_id:l sales_amount:d profit_amount:d",
-    """SELECT pb.batch_id, pb.production_date, pm.plant_id, pm.plant_name, pm.city, pm.state, sm.supplier_id,
-       sm.supplier_name, sm.supplier_rating, rm.material_name, rm.quantity_available, po.purchase_order_id,
-       po.total_amount AS purchase_amount, qr.quality_score, qr.defect_count, we.warehouse_id, we.storage_location,
-       sd.shipment_id, sd.shipment_status, sd.shipping_cost, co.customer_order_id, co.customer_id, co.order_amount,
-       sf.sales_id, sf.sales_amount, sf.profit_amount
-       FROM chain_batches pb
-       LEFT JOIN chain_plants pm ON pb.plant_id = pm.plant_id
-       LEFT JOIN chain_quality qr ON pb.batch_id = qr.batch_id
-       LEFT JOIN chain_entries we ON pb.batch_id = we.batch_id
-       LEFT JOIN chain_materials rm ON we.material_id = rm.material_id
-       LEFT JOIN chain_purchases po ON rm.material_id = po.material_id
-       LEFT JOIN supplier_master sm ON po.supplier_id = sm.supplier_id
-       LEFT JOIN chain_orders co ON co.product_id = pb.product_id
-       LEFT JOIN chain_shipments sd ON co.customer_order_id = sd.customer_order_id
-       LEFT JOIN chain_sales sf ON co.customer_order_id = sf.customer_order_id""",
+    """WITH upstream AS (
+           SELECT m.material_id, material_name, quantity_available, purchase_order_id, total_amount AS purchase_amount,
+                  s.supplier_id, supplier_name, supplier_rating
+           FROM chain_materials m LEFT JOIN (chain_purchases p LEFT JOIN supplier_master s USING (supplier_id))
+           ON p.material_id = m.material_id),
+       downstream AS (
+           SELECT o.product_id, o.customer_order_id, customer_id, order_amount, shipment_id, shipment_status,
+                  shipping_cost, sales_id, sales_amount, profit_amount
+           FROM chain_orders o LEFT JOIN chain_shipments h ON h.customer_order_id = o.customer_order_id
+           LEFT JOIN chain_sales t ON t.customer_order_id = o.customer_order_id),
+       stored AS (SELECT * EXCLUDE (material_id) FROM chain_entries LEFT JOIN upstream USING (material_id))
+       SELECT * EXCLUDE (plant_id, known_plant), known_plant AS plant_id
+       FROM chain_batches LEFT JOIN downstream USING (product_id) LEFT JOIN chain_quality USING (batch_id)
+       LEFT JOIN stored USING (batch_id) LEFT JOIN (SELECT *, plant_id AS known_plant FROM chain_plants)
+       USING (plant_id)""",
 )
 add(
     "sales_details", d.sales_details, "sales_fact",

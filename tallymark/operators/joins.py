@@ -43,9 +43,13 @@ class Step(NamedTuple):
     right_key: str
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a table may be shipped to every task. Counting a file table only reads its footers."""
-    return df.count() <= max_rows
+def are_small(sides: Sequence[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[bool]:
+    """Which tables may be shipped to every task: all are counted in one query of scalar subqueries.
+
+    Counting a file table only reads its footers.
+    """
+    counts = [side.agg(F.count(F.lit(1))).scalar().alias(f"_{i}") for i, side in enumerate(sides)]
+    return [rows <= max_rows for rows in sides[0].sparkSession.range(1).select(*counts).first()] if sides else []
 
 
 def hot_sketch(key: str) -> Column:
@@ -103,7 +107,7 @@ def enrich(
         dim.df.select(dim.key, *([c for c in dim.df.columns if c != dim.key] if dim.columns is None else dim.columns))
         for dim in dims
     ]
-    small = [is_small(side, max_rows) for side in taken]
+    small = are_small(taken, max_rows)
     # Keys of large tables that the facts themselves have; later ones come from a side table.
     keys = list(dict.fromkeys(d.key for d, is_tiny in zip(dims, small) if not is_tiny and d.key in df.columns))
     hot = hot_values(df, keys) if hot is None else hot
@@ -132,7 +136,7 @@ def left_chain(
     Columns are addressed as ``alias.column``; ``name`` is the alias of the first table. Hot values of its own
     keys are measured and spread; a key that comes from a joined table is left to AQE's skew handling.
     """
-    small = [is_small(step.df, max_rows) for step in steps]
+    small = are_small([step.df for step in steps], max_rows)
     own = {s.left_key: s.left_key.split(".", 1)[1] for s in steps if s.left_key.split(".", 1)[0] == name}
     large = {s.left_key for s, is_tiny in zip(steps, small) if not is_tiny}
     keys = [own[k] for k in dict.fromkeys(s.left_key for s in steps) if k in own and k in large]
@@ -173,7 +177,10 @@ def broadcast_left(df: DataFrame, dim: DataFrame, key: str, max_rows: int = MAX_
 def full_outer_nullsafe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], right_keys: Sequence[str] | None = None
 ) -> DataFrame:
-    """Full outer join in which NULL keys match each other; the keys of both sides are merged."""
+    """Full outer join in which NULL keys match each other; the keys of both sides are merged.
+
+    Both sides should be aggregated to the keys, since a full outer join cannot spread a hot key.
+    """
     right_keys = list(right_keys or keys)
     renamed = right.select(
         *[F.col(k).alias(f"_right_{i}") for i, k in enumerate(right_keys)],
