@@ -113,10 +113,10 @@ follow(
 )
 follow(
     "renewable_rollup", "renewable_forecast", energy.renewable_rollup, "plant_type:s region:s total_forecast:d",
-    f"""SELECT plant_type, region, {total('forecast_mw')} AS total_forecast FROM SCORED
+    f"""SELECT plant_type, region, {total('forecast_mw', 12)} AS total_forecast FROM SCORED
         WHERE plant_type IN ('solar', 'wind') AND region IS NOT NULL GROUP BY plant_type, region
-        HAVING {total('forecast_mw')} < 100""",
-    "forecast_mw",
+        HAVING {total('forecast_mw', 12)} < 100""",
+    "forecast_mw", scale=12,
 )
 
 # Transformers
@@ -218,10 +218,10 @@ follow(
 )
 follow(
     "delivery_rollup", "delivery_cost", retail.delivery_rollup, "warehouse_id:l delivery_type:s avg_cost:d",
-    f"""SELECT warehouse_id, delivery_type, {mean('CAST(delivery_cost AS DECIMAL(18, 2))', 2, 6)} AS avg_cost FROM SCORED
+    f"""SELECT warehouse_id, delivery_type, {mean('CAST(delivery_cost AS DECIMAL(18, 8))', 8, 12)} AS avg_cost FROM SCORED
         WHERE delivery_type IN ('same_day', 'next_day', 'standard') GROUP BY warehouse_id, delivery_type
-        HAVING AVG(CAST(delivery_cost AS DECIMAL(18, 2))) > 50""",
-    "delivery_cost", scale=2,
+        HAVING AVG(CAST(delivery_cost AS DECIMAL(18, 8))) > 50""",
+    "delivery_cost", scale=8,
 )
 
 # Churn
@@ -277,10 +277,10 @@ follow(
     "offers_rollup", "personalised_offers", telecom.offers_rollup,
     "value_tier:s recommended_offer:s customers:l avg_arpu:d",
     f"""SELECT value_tier, recommended_offer, COUNT(*) AS customers,
-        {mean('CAST(monthly_arpu AS DECIMAL(18, 3))', 3, 7)} AS avg_arpu FROM SCORED
+        {mean('CAST(monthly_arpu AS DECIMAL(18, 6))', 6, 10)} AS avg_arpu FROM SCORED
         WHERE recommended_offer IN ('premium_bundle', 'retention_discount_20pct', 'unlimited_data_streaming')
         GROUP BY value_tier, recommended_offer HAVING COUNT(*) > 100 AND AVG(monthly_arpu) > 80""",
-    "monthly_arpu", scale=3,
+    "monthly_arpu", scale=6,
 )
 
 # Subscriber fraud
