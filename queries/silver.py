@@ -131,7 +131,7 @@ DOMAIN["shop_sales"] = f"""
            CASE l_linenumber WHEN 1 THEN 'pos ' WHEN 2 THEN 'ECOM' WHEN 3 THEN 'mobile' WHEN 4 THEN 'FAX' ELSE 'BOPIS'
                END AS sales_channel,
            CASE l_returnflag WHEN 'R' THEN 'return' WHEN 'A' THEN ' Sale' ELSE 'SALE' END AS transaction_type,
-           CAST(l_suppkey AS STRING) AS store_id, CAST(l_partkey AS STRING) AS sku_id,
+           NULLIF(CAST(l_suppkey AS STRING), '9') AS store_id, CAST(l_partkey AS STRING) AS sku_id,
            CAST(l_orderkey % 1000 AS STRING) AS customer_id,
            CAST(l_extendedprice AS DECIMAL(18, 2)) AS transaction_amount,
            CASE WHEN l_discount = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(18, 2)) END AS discount_amount,

@@ -298,6 +298,8 @@ def test_sales_performance_rolls_over_rows_or_days(spark, rows):
         mart = retail_gold.sales_performance_daily(sales, products, AS_OF, calendar_days=calendar)
         got = rows(mart.filter("store_id = 's1'"), "transaction_date", "transaction_count", "net_revenue", "units_returned", "avg_order_value", "rolling_7day_store_revenue")
         assert got == [(date(2024, 6, 1), 2, 6.5, 1, 10.0, 13.5), (date(2024, 6, 9), 1, 7.0, 0, 7.0, last)]
+        unknown = mart.filter("store_id IS NULL").first()
+        assert (unknown["net_revenue"], unknown["rolling_7day_store_revenue"]) == (10.0, 10.0)
     assert retail_gold.sales_performance_daily(sales, products, "2026-01-01").isEmpty()
 
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators import learning as ml
 from tallymark.plans.scoring import finance, health, retail, telecom
-from tallymark.plans.scoring.common import row_alerts
+from tallymark.plans.scoring.common import publish, row_alerts
 
 
 def test_churn_rules_keep_their_order(spark):
@@ -87,6 +87,13 @@ def test_alert_rows_never_show_contacts(spark):
     assert row["email_masked"] == "a***@example.com" and row["phone_masked"] == "******1234" and "Ann" not in row["customer_name_masked"]
 
 
+def test_published_rows_are_read_back(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.5), (2, None)], "id int, score double")
+    stored = publish(df, str(tmp_path / "scored"))
+    assert sorted(stored.collect()) == sorted(df.collect())
+    assert "FileScan" in stored._jdf.queryExecution().executedPlan().toString()
+
+
 def separable(spark, n=600):
     rows = [(i, float(i % 20), float(i % 7), 1.0 if i % 20 >= 10 else 0.0) for i in range(n)]
     return spark.createDataFrame(rows, "id int, a double, b double, label double")
