@@ -28,6 +28,16 @@ def rules(pairs: Iterable[tuple[Column, Any]], default: Any) -> Column:
     return chain.otherwise(default)
 
 
+def all_of(conditions: Mapping[str, tuple[str, Any]]) -> Column:
+    """Conjunction of comparisons, given as ``column: (operator, value)``."""
+    return reduce(operator.and_, [_COMPARE[op](F.col(name), value) for name, (op, value) in conditions.items()])
+
+
+def rule_table(table: Iterable[tuple[Mapping[str, tuple[str, Any]], Any]], default: Any) -> Column:
+    """``rules`` whose predicates are written as data: pairs of ``all_of`` conditions and a result."""
+    return rules([(all_of(conditions), result) for conditions, result in table], default)
+
+
 def band(
     c: Column | str, steps: Sequence[tuple[Any, Any]], default: Any, op: str = ">=", null_value: Any = None
 ) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.conditional import band, rules
+from tallymark.functions.conditional import band, rule_table
 from tallymark.functions.formulas import adjusted_dosage, bmi
 from tallymark.operators.joins import Dim, enrich
 from tallymark.operators.kpi import min_sample
@@ -15,10 +15,19 @@ from tallymark.plans.scoring.common import row_alerts, staged
 
 # Thresholds and labels of the rules. Bands list (threshold, result) in order.
 PATIENT = {
-    "hba1c": [(9.0, "uncontrolled"), (7.0, "above_target")],
-    "hba1c_from": (5.7, "prediabetic"),
+    "hba1c": [
+        ({"value_as_number": (">", 9.0)}, "uncontrolled"),
+        ({"value_as_number": (">", 7.0)}, "above_target"),
+        ({"value_as_number": (">=", 5.7)}, "prediabetic"),
+    ],
     "pressure": [(180, "crisis"), (140, "stage2"), (130, "stage1"), (120, "elevated")],
     "normal": "normal",
+    "readmission": [
+        ({"visit_count_30d": (">=", 3), "age": (">", 65)}, 0.85),
+        ({"visit_count_30d": (">=", 2), "comorbidity_count": (">", 3)}, 0.72),
+        ({"visit_count_30d": (">=", 2)}, 0.55),
+        ({"age": (">", 75)}, 0.45),
+    ],
     "readmission_default": 0.15,
     "alert_above": 0.7,
 }
@@ -40,23 +49,12 @@ def patient_outcomes(
     cohort: DataFrame, measurements: DataFrame, drugs: DataFrame, conditions: DataFrame, visits: DataFrame, cfg=PATIENT
 ) -> DataFrame:
     joined = enrich(cohort, [Dim(df, "person_id") for df in (measurements, drugs, conditions, visits)])
-    value, recent, age = F.col("value_as_number"), F.col("visit_count_30d"), F.col("age")
-    prediabetic_from, prediabetic = cfg["hba1c_from"]
-    above = [(value > threshold, label) for threshold, label in cfg["hba1c"]]
     return staged(
         joined,
         {
-            "hba1c_risk": rules([*above, (value >= prediabetic_from, prediabetic)], cfg["normal"]),
+            "hba1c_risk": rule_table(cfg["hba1c"], cfg["normal"]),
             "bp_category": band("systolic", cfg["pressure"], cfg["normal"]),
-            "readmission_risk": rules(
-                [
-                    ((recent >= 3) & (age > 65), 0.85),
-                    ((recent >= 2) & (F.col("comorbidity_count") > 3), 0.72),
-                    (recent >= 2, 0.55),
-                    (age > 75, 0.45),
-                ],
-                cfg["readmission_default"],
-            ),
+            "readmission_risk": rule_table(cfg["readmission"], cfg["readmission_default"]),
         },
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.conditional import band, flag, lookup, ratio, rules
+from tallymark.functions.conditional import band, flag, lookup, ratio, rule_table, rules
 from tallymark.operators.joins import Dim, enrich
 from tallymark.operators.kpi import flag_counts, nested_alert, segment_alert, share
 from tallymark.operators.quality import as_of_date
@@ -30,7 +30,15 @@ CUSTOMER_VALUE = {
     "margin": 0.35,
     "churn": [(1, 0.85), (2, 0.60), (3, 0.35), (4, 0.15)],
     "churn_default": 0.05,
-    "lost_segments": ["VIP", "At_Risk", "Lost"],
+    "segments": [
+        ({"r_score": (">=", 4), "f_score": (">=", 4), "m_score": (">=", 4)}, "VIP"),
+        ({"r_score": (">=", 3), "f_score": (">=", 3)}, "Loyal"),
+        ({"r_score": (">=", 4), "f_score": ("<=", 2)}, "New_Active"),
+        ({"r_score": ("<=", 2), "f_score": (">=", 3)}, "At_Risk"),
+        ({"r_score": ("<=", 1), "f_score": ("<=", 1)}, "Lost"),
+    ],
+    "segment_default": "Regular",
+    "notable_segments": ["VIP", "At_Risk", "Lost"],
     "alert_above": 0.6,
     "rollup_segments": ["VIP", "Loyal", "At_Risk", "Lost"],
     "channels": ["online", "in_store", "mobile_app"],
@@ -40,9 +48,17 @@ CUSTOMER_VALUE = {
 PRICING = {
     "floor": 1.15,
     "ceiling": 3.50,
-    "cut_above": 1.20,
-    "monitor_above": 1.05,
-    "opportunity_below": 0.80,
+    "actions_by_index": [
+        ({"competitor_index": (">", 1.20)}, "price_cut"),
+        ({"competitor_index": (">", 1.05)}, "monitor"),
+        ({"competitor_index": ("<", 0.80)}, "margin_opportunity"),
+    ],
+    "action_default": "competitive",
+    "demand": [
+        ({"forecasted_demand": (">", 500)}, 1.15),
+        ({"forecasted_demand": (">", 200)}, 1.05),
+        ({"forecasted_demand": ("<", 20)}, 0.80),
+    ],
     "markdown": [(120, 0.50), (90, 0.35), (60, 0.20), (30, 0.10)],
     "alert_difference": 10,
     "categories": ["electronics", "apparel", "home", "grocery", "beauty"],
@@ -56,6 +72,12 @@ POS = {
     "discount": [(50, 5), (35, 4), (20, 3), (10, 2), (0, 1)],
     "returns": {"electronics": 0.18, "apparel": 0.25, "grocery": 0.02, "home": 0.12},
     "returns_default": 0.08,
+    "fraud": [
+        ({"total": (">", 5000), "payment_method": ("==", "gift_card")}, 3),
+        ({"total": (">", 2000), "quantity": (">", 10)}, 2),
+        ({"discount": (">", 60)}, 2),
+        ({"total": (">", 1000)}, 1),
+    ],
     "fraud_from": 2,
     "categories": ["electronics", "apparel", "grocery", "home"],
     "group_count_above": 50,
@@ -101,7 +123,6 @@ def customer_value(
     customers: DataFrame, purchases: DataFrame, returns: DataFrame, as_of=None, cfg=CUSTOMER_VALUE
 ) -> DataFrame:
     joined = enrich(customers, [Dim(purchases, "customer_id"), Dim(returns, "customer_id")])
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return staged(
         joined,
         {"recency_days": F.datediff(as_of_date(as_of), F.col("last_purchase_date"))},
@@ -113,25 +134,16 @@ def customer_value(
         {
             "clv_estimate": F.col("avg_order_value")
             * F.col("order_count")
-            * band(r, cfg["multiplier"], cfg["multiplier_default"])
+            * band("r_score", cfg["multiplier"], cfg["multiplier_default"])
             * cfg["margin"],
-            "churn_prob": band(r, cfg["churn"], cfg["churn_default"], "<="),
-            "segment": rules(
-                [
-                    ((r >= 4) & (f >= 4) & (m >= 4), "VIP"),
-                    ((r >= 3) & (f >= 3), "Loyal"),
-                    ((r >= 4) & (f <= 2), "New_Active"),
-                    ((r <= 2) & (f >= 3), "At_Risk"),
-                    ((r <= 1) & (f <= 1), "Lost"),
-                ],
-                "Regular",
-            ),
+            "churn_prob": band("r_score", cfg["churn"], cfg["churn_default"], "<="),
+            "segment": rule_table(cfg["segments"], cfg["segment_default"]),
         },
     )
 
 
 def customer_value_share(scored: DataFrame, cfg=CUSTOMER_VALUE) -> DataFrame:
-    return share(scored, F.col("segment").isin(cfg["lost_segments"]), "notable_share")
+    return share(scored, F.col("segment").isin(cfg["notable_segments"]), "notable_share")
 
 
 def customer_value_alerts(scored: DataFrame, cfg=CUSTOMER_VALUE) -> DataFrame:
@@ -166,7 +178,7 @@ def pricing(
     products: DataFrame, competitors: DataFrame, demand_forecast: DataFrame, inventory: DataFrame, cfg=PRICING
 ) -> DataFrame:
     joined = enrich(products, [Dim(competitors, "sku"), Dim(demand_forecast, "sku"), Dim(inventory, "sku")])
-    cost, index, demand = F.col("cost_price"), F.col("competitor_index"), F.col("forecasted_demand")
+    cost = F.col("cost_price")
     return staged(
         joined,
         {
@@ -174,17 +186,10 @@ def pricing(
             "price_ceiling": cost * cfg["ceiling"],
             "competitor_index": ratio("retail_price", "competitor_price", "eps"),
             "markdown_pct": band("days_of_inventory", cfg["markdown"], 0.0, ">"),
-            "demand_multiplier": rules([(demand > 500, 1.15), (demand > 200, 1.05), (demand < 20, 0.80)], 1.0),
+            "demand_multiplier": rule_table(cfg["demand"], 1.0),
         },
         {
-            "comp_action": rules(
-                [
-                    (index > cfg["cut_above"], "price_cut"),
-                    (index > cfg["monitor_above"], "monitor"),
-                    (index < cfg["opportunity_below"], "margin_opportunity"),
-                ],
-                "competitive",
-            ),
+            "comp_action": rule_table(cfg["actions_by_index"], cfg["action_default"]),
             "optimal_price": F.round(
                 cost
                 * (F.lit(1.0) + F.col("margin_pct") / 100)
@@ -225,22 +230,13 @@ def pricing_rollup(scored: DataFrame, cfg=PRICING) -> DataFrame:
 
 def pos_checks(transactions: DataFrame, products: DataFrame, stores: DataFrame, cfg=POS) -> DataFrame:
     joined = enrich(transactions, [Dim(products, "product_sku"), Dim(stores, "store_id")])
-    total, discount = F.col("total"), F.col("discount")
     return staged(
         joined,
         {
-            "tax_amount": total * lookup("state", cfg["taxes"], cfg["tax_default"]),
-            "discount_tier": band(discount, cfg["discount"], 0, ">"),
+            "tax_amount": F.col("total") * lookup("state", cfg["taxes"], cfg["tax_default"]),
+            "discount_tier": band("discount", cfg["discount"], 0, ">"),
             "return_risk": lookup("category", cfg["returns"], cfg["returns_default"]),
-            "fraud_flag": rules(
-                [
-                    ((total > 5000) & (F.col("payment_method") == "gift_card"), 3),
-                    ((total > 2000) & (F.col("quantity") > 10), 2),
-                    (discount > 60, 2),
-                    (total > 1000, 1),
-                ],
-                0,
-            ),
+            "fraud_flag": rule_table(cfg["fraud"], 0),
         },
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.conditional import band, band_where, ratio, rules, weighted_score
+from tallymark.functions.conditional import band, band_where, ratio, rule_table, rules, weighted_score
 from tallymark.operators.joins import Dim, enrich
 from tallymark.operators.kpi import flag_counts, nested_alert, segment_alert
 from tallymark.operators.quality import as_of_date
@@ -18,6 +18,15 @@ CHURN = {
     "calls": [(500, 1), (200, 2)],
     "contract": [(-30, 0), (0, 1), (30, 2), (90, 3)],
     "no_complaint": 999,
+    # The last two rows together are one rule with two alternatives.
+    "risk": [
+        ({"contract_band": (">=", 3), "call_band": ("==", 3), "complaint_age_days": ("<", 30)}, "HIGH"),
+        ({"contract_band": (">=", 2), "call_band": (">=", 2), "complaint_age_days": ("<", 60)}, "MEDIUM"),
+        ({"contract_band": (">=", 3), "gb_per_charge": ("<", 0.5)}, "HIGH"),
+        ({"contract_band": (">=", 2)}, "MEDIUM"),
+        ({"complaint_age_days": ("<", 90)}, "MEDIUM"),
+    ],
+    "risk_default": "LOW",
 }
 ASSURANCE = {
     "voice_roaming": 0.35,
@@ -29,8 +38,11 @@ ASSURANCE = {
     "sms_roaming": 0.25,
     "sms_home": 0.05,
     "leakage": [(25, "CRITICAL"), (10, "HIGH"), (5, "MEDIUM")],
-    "long_call": 7200,
-    "large_download": 5368709120,
+    "fraud": [
+        ({"duration_seconds": (">", 7200), "rated_amount": ("<", 1.0)}, 4),
+        ({"data_bytes": (">", 5368709120), "rated_amount": ("<", 5.0)}, 4),
+        ({"rated_amount": ("==", 0)}, 3),
+    ],
     "fraud_from": 3,
     "region_leak_above": 10000,
     "plans": ["unlimited", "tiered", "prepaid"],
@@ -45,8 +57,14 @@ OFFERS = {
         "propensity_to_upgrade": 4.0, "engagement_score": 1.5, "data_affinity": 2.0, "propensity_to_churn": -3.0,
     },
     "upgrade_above": 15,
-    "retention_above": 0.6,
-    "loyal_months": 24,
+    "offers": [
+        ({"value_tier": ("==", "platinum"), "upgrade_score": (">", 15)}, "premium_bundle"),
+        ({"data_affinity": (">=", 4), "streaming_affinity": (">=", 4)}, "unlimited_data_streaming"),
+        ({"voice_affinity": (">=", 4), "data_affinity": ("<=", 2)}, "voice_focused_plan"),
+        ({"propensity_to_churn": (">", 0.6)}, "retention_discount_20pct"),
+        ({"tenure_months": (">", 24)}, "loyalty_reward"),
+    ],
+    "offer_default": "standard_offer",
     "retention_share": 0.20,
     "loyalty_amount": 15.00,
     "bundle_amount": 25.00,
@@ -59,6 +77,16 @@ FRAUD = {
     "sim": [(3, 5), (2, 4), (1, 2)],
     "device": [(4, 5), (3, 4), (2, 3), (1, 1)],
     "international": [(50, 5), (20, 4), (10, 3), (5, 2)],
+    "wangiri": [
+        ({"short_call_count_1h": (">", 20), "unique_numbers_1h": (">", 15)}, 5),
+        ({"short_call_count_1h": (">", 10), "unique_numbers_1h": (">", 8)}, 4),
+        ({"short_call_count_1h": (">", 5)}, 2),
+    ],
+    "subscription": [
+        ({"account_age_days": ("<", 30), "intl_usage_pct": (">", 80)}, 5),
+        ({"account_age_days": ("<", 60), "intl_usage_pct": (">", 60)}, 4),
+        ({"account_age_days": ("<", 90), "credit_score": ("<", 500)}, 3),
+    ],
     "weights": {
         "sim_swap_risk": 4.5, "device_risk": 2.0, "irsf_risk": 5.0, "wangiri_risk": 3.5, "sub_fraud_risk": 3.0,
     },
@@ -78,6 +106,10 @@ NETWORK = {
     "drops": [(0.5, 5), (1.0, 4), (2.0, 3), (3.0, 2), (5.0, 1)],
     "utilization": [(40, 5), (60, 4), (75, 3), (85, 2), (95, 1)],
     "interference": [(-80, 4), (-90, 3), (-100, 2), (-110, 1)],
+    # Utilisation above, users above this share of the capacity.
+    "congestion": [(85, 0.9, "CRITICAL"), (70, 0.7, "HIGH")],
+    "congestion_medium": (60, "MEDIUM"),
+    "congestion_default": "LOW",
     "weights": {"throughput_score": 3.0, "drop_rate_score": 4.5, "utilization_score": 2.5},
     "base": 5,
     "interference_weight": 1.5,
@@ -88,7 +120,6 @@ NETWORK = {
 
 def churn_features(usage: DataFrame, as_of=None, cfg=CHURN) -> DataFrame:
     today, complaint = as_of_date(as_of), F.col("last_complaint_date")
-    band_of, calls, age = F.col("contract_band"), F.col("call_band"), F.col("complaint_age_days")
     return staged(
         usage,
         {
@@ -100,17 +131,7 @@ def churn_features(usage: DataFrame, as_of=None, cfg=CHURN) -> DataFrame:
             "complaint_age_days": F.coalesce(F.datediff(today, complaint), F.lit(cfg["no_complaint"])),
         },
         {"contract_band": band("contract_days", cfg["contract"], 4, "<")},
-        {
-            "churn_risk": rules(
-                [
-                    ((band_of >= 3) & (calls == 3) & (age < 30), "HIGH"),
-                    ((band_of >= 2) & (calls >= 2) & (age < 60), "MEDIUM"),
-                    ((band_of >= 3) & (F.col("gb_per_charge") < 0.5), "HIGH"),
-                    ((band_of >= 2) | (age < 90), "MEDIUM"),
-                ],
-                "LOW",
-            )
-        },
+        {"churn_risk": rule_table(cfg["risk"], cfg["risk_default"])},
     )
 
 
@@ -127,7 +148,7 @@ def revenue_assurance(
     calls: DataFrame, invoices: DataFrame, payments: DataFrame, plan_rates: DataFrame, cfg=ASSURANCE
 ) -> DataFrame:
     joined = enrich(calls, [Dim(invoices, "subscriber_id"), Dim(payments, "subscriber_id"), Dim(plan_rates, "plan_type")])
-    minutes, data, rated = F.col("duration_seconds") / 60.0, F.col("data_bytes"), F.col("rated_amount")
+    minutes, data = F.col("duration_seconds") / 60.0, F.col("data_bytes")
     roaming, expected, billed = is_true("roaming_flag"), F.col("expected_total"), F.col("billed_amount")
 
     def by_roaming(abroad, home):
@@ -143,14 +164,7 @@ def revenue_assurance(
             "expected_sms_charge": F.when(
                 is_true("sms_flag"), by_roaming(cfg["sms_roaming"], cfg["sms_home"])
             ).otherwise(0.0),
-            "fraud_indicator": rules(
-                [
-                    ((F.col("duration_seconds") > cfg["long_call"]) & (rated < 1.0), 4),
-                    ((data > cfg["large_download"]) & (rated < 5.0), 4),
-                    (rated == 0, 3),
-                ],
-                0,
-            ),
+            "fraud_indicator": rule_table(cfg["fraud"], 0),
         },
         {
             "expected_total": F.col("expected_voice_charge")
@@ -200,7 +214,6 @@ def personalised_offers(
 ) -> DataFrame:
     joined = enrich(customers, [Dim(usage, "customer_id"), Dim(campaigns, "customer_id"), Dim(browsing, "customer_id")])
     offer = F.col("recommended_offer")
-    data, voice, streaming = F.col("data_affinity"), F.col("voice_affinity"), F.col("streaming_affinity")
     return staged(
         joined,
         {
@@ -211,21 +224,7 @@ def personalised_offers(
             "streaming_affinity": band("streaming_hours", cfg["streaming"], 1, ">"),
         },
         {"upgrade_score": weighted_score(cfg["weights"])},
-        {
-            "recommended_offer": rules(
-                [
-                    (
-                        (F.col("value_tier") == "platinum") & (F.col("upgrade_score") > cfg["upgrade_above"]),
-                        "premium_bundle",
-                    ),
-                    ((data >= 4) & (streaming >= 4), "unlimited_data_streaming"),
-                    ((voice >= 4) & (data <= 2), "voice_focused_plan"),
-                    (F.col("propensity_to_churn") > cfg["retention_above"], "retention_discount_20pct"),
-                    (F.col("tenure_months") > cfg["loyal_months"], "loyalty_reward"),
-                ],
-                "standard_offer",
-            )
-        },
+        {"recommended_offer": rule_table(cfg["offers"], cfg["offer_default"])},
         {
             "discount_amount": rules(
                 [
@@ -276,8 +275,6 @@ def subscriber_fraud(
         subscribers,
         [Dim(sim_changes, "subscriber_id"), Dim(device_changes, "subscriber_id"), Dim(international, "subscriber_id")],
     )
-    short, unique = F.col("short_call_count_1h"), F.col("unique_numbers_1h")
-    age, abroad = F.col("account_age_days"), F.col("intl_usage_pct")
     return staged(
         joined,
         {"sim_swap_count_30d": F.coalesce("sim_changes_30d", F.lit(0))},
@@ -285,17 +282,8 @@ def subscriber_fraud(
             "sim_swap_risk": band("sim_swap_count_30d", cfg["sim"], 0),
             "device_risk": band("device_changes_30d", cfg["device"], 0),
             "irsf_risk": band("intl_call_count_24h", cfg["international"], 0, ">"),
-            "wangiri_risk": rules(
-                [((short > 20) & (unique > 15), 5), ((short > 10) & (unique > 8), 4), (short > 5, 2)], 0
-            ),
-            "sub_fraud_risk": rules(
-                [
-                    ((age < 30) & (abroad > 80), 5),
-                    ((age < 60) & (abroad > 60), 4),
-                    ((age < 90) & (F.col("credit_score") < 500), 3),
-                ],
-                0,
-            ),
+            "wangiri_risk": rule_table(cfg["wangiri"], 0),
+            "sub_fraud_risk": rule_table(cfg["subscription"], 0),
         },
         {"fraud_score": weighted_score(cfg["weights"])},
         {"fraud_probability": band("fraud_score", cfg["probability"], cfg["probability_default"], ">")},
@@ -348,6 +336,7 @@ def network_quality(
 ) -> DataFrame:
     joined = enrich(cells, [Dim(traffic, "cell_id"), Dim(complaints, "cell_id"), Dim(speed_tests, "cell_id")])
     used, users, room = F.col("prb_utilization_pct"), F.col("connected_users"), F.col("max_capacity")
+    medium_above, medium = cfg["congestion_medium"]
     return staged(
         joined,
         {
@@ -355,12 +344,9 @@ def network_quality(
             "drop_rate_score": band("drop_call_rate", cfg["drops"], 0, "<"),
             "utilization_score": band(used, cfg["utilization"], 0, "<"),
             "congestion_risk": rules(
-                [
-                    ((used > 85) & (users > room * 0.9), "CRITICAL"),
-                    ((used > 70) & (users > room * 0.7), "HIGH"),
-                    (used > 60, "MEDIUM"),
-                ],
-                "LOW",
+                [((used > above) & (users > room * share), risk) for above, share, risk in cfg["congestion"]]
+                + [(used > medium_above, medium)],
+                cfg["congestion_default"],
             ),
             "interference_flag": band("interference_level_dbm", cfg["interference"], 0, ">"),
         },

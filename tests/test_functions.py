@@ -42,6 +42,12 @@ def test_rules_take_the_first_match_in_order(spark):
         cond.rules([], 0)
 
 
+def test_rule_table_is_rules_written_as_data(spark):
+    table = [({"a": (">", 1), "b": ("==", "x")}, 2), ({"a": (">=", 0)}, 1)]
+    df = spark.createDataFrame([(2, "x"), (2, "y"), (1, "x"), (-1, "x"), (None, "x")], "a int, b string")
+    assert [r[0] for r in df.select(cond.rule_table(table, 0)).collect()] == [2, 1, 1, 0, 0]
+
+
 def test_band_where_equals_a_filter_on_the_band(spark):
     steps = [(30, 0.95), (20, 0.75), (12, 0.5)]
     df = spark.createDataFrame([(v,) for v in (None, 12.0, 12.1, 20.0, 20.1, 30.0, 30.1)], "x double")
