@@ -33,7 +33,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named is None and context.master.startswith("local"):
+    if named is None and context.master.startswith("local") and not context.master.startswith("local-cluster"):
         named = tempfile.mkdtemp(prefix="tallymark-checkpoint-")
     if named is not None and context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
