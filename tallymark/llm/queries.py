@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import quality_rules
+from tallymark.llm import line_dedup, quality_rules, token_counts
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,36 @@ FROM f
 @query("op8_quality_rules", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(load(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+raw AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d),
+named AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM raw),
+seq AS (SELECT *, row_number() OVER w AS k, lead(t, 1) OVER w AS t1, lead(t, 2) OVER w AS t2
+        FROM named WHERE t <> '' WINDOW w AS (PARTITION BY r ORDER BY i)),
+win AS (SELECT r, k, row_number() OVER (PARTITION BY t, t1, t2 ORDER BY doc_id, k) AS nth FROM seq WHERE t2 IS NOT NULL),
+gone AS (SELECT DISTINCT r, unnest([k, k + 1, k + 2]) AS k FROM win WHERE nth > 1),
+marked AS (SELECT named.r, named.line, named.i, seq.k, gone.k IS NOT NULL AS cut
+           FROM named LEFT JOIN seq USING (r, i) LEFT JOIN gone ON gone.r = seq.r AND gone.k = seq.k),
+kept AS (SELECT r, count(k) AS n_lines, count(*) FILTER (WHERE cut) AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT cut), '') AS text FROM marked GROUP BY r)
+SELECT d.doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, sha256(kept.text) AS kept_sha256
+FROM d JOIN kept USING (r)
+"""
+
+
+@query("op1_line_dedup", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(load(spark, sf_dir, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.report(load(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
