@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import line_dedup, quality_rules, token_counts
+from tallymark.llm import decontaminate, line_dedup, quality_rules, token_counts
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,30 @@ def tokenizer_file(name: str) -> str:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.report(load(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+grams AS (SELECT DISTINCT item, len(w[i:i + least(len(w), 13) - 1]) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS g
+          FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM grams),
+win AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+        FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN sizes ON len(w) >= n)),
+hit AS (SELECT DISTINCT r, win.n, i, item FROM win JOIN grams USING (g)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query("op5_decontamination", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
