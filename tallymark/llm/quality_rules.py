@@ -25,7 +25,8 @@ from tallymark.llm.common import SPACE, free_names, let, quoted, words_of
 WINDOW = 5
 # The characters that count as symbols.
 SYMBOLS = "[#*$%&|<>]"
-SAMPLE_ROWS = 512
+# The sample that the costs are measured on.
+SAMPLE_ROWS, SAMPLE_CHARS = 512, 20_000
 
 # Limits of the rules. A caller can replace any of them.
 LIMITS = {
@@ -133,19 +134,20 @@ BASE_RULES = ("few_words", "repeated_words")
 
 
 def measure(docs: DataFrame, predicates: Mapping[str, Column], rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
-    """Cost in seconds and share rejected of each rule on at most ``rows`` whole texts."""
-    sample = docs.select("text").limit(rows).repartition(2).persist()
-    try:
-        if not (n := sample.count()):
-            return {name: (0.0, 0.0) for name in predicates}
-        out = {}
-        for name, rejects in predicates.items():
-            began = time.perf_counter()
-            hits = sample.agg(F.count_if(rejects)).first()[0]
-            out[name] = (max(time.perf_counter() - began, 1e-6), hits / n)
-        return out
-    finally:
-        sample.unpersist()
+    """Cost in seconds and share rejected of each rule on at most ``rows`` texts of at most ``SAMPLE_CHARS`` characters.
+
+    The sample is taken from as few input splits as hold enough rows and is bounded in rows and characters.
+    """
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= SAMPLE_CHARS).take(rows)
+    if not texts:
+        return {name: (0.0, 0.0) for name in predicates}
+    sample = docs.sparkSession.createDataFrame(texts, "text string").coalesce(1)
+    out = {}
+    for name, rejects in predicates.items():
+        began = time.perf_counter()
+        hits = sample.agg(F.count_if(rejects)).first()[0]
+        out[name] = (max(time.perf_counter() - began, 1e-6), hits / len(texts))
+    return out
 
 
 def cascade_order(measured: Mapping[str, tuple[float, float]]) -> list[str]:
