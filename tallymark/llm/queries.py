@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontaminate, line_dedup, quality_rules, token_counts
+from tallymark.llm import decontaminate, line_dedup, pii, quality_rules, token_counts
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 @query("op5_decontamination", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query("op2_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(load(spark, sf_dir, "documents"))
