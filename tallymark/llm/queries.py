@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontaminate, line_dedup, pii, quality_rules, token_counts
+from tallymark.llm import bpe, decontaminate, line_dedup, pii, quality_rules, token_counts
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_pii")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(load(spark, sf_dir, "documents"))
+
+
+@query("op7_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(load(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
