@@ -137,18 +137,19 @@ def settle(asked: DataFrame, answers: Callable[[int, list[int], list[Any]], Iter
 
 
 def finish(
-    blocks: Blocks, answers: DataFrame, work: Callable[[list[Document], dict[int, Any]], Iterator[tuple]], schema: str
+    blocks: Blocks, answers: DataFrame, work: Callable[[int, list[Document], dict[int, Any]], Iterator[tuple]], schema: str
 ) -> DataFrame:
     """Rows of each block from its documents and the answers by shard; a document's row is repeated for its copies.
 
-    ``work`` yields one tuple per document, in order, without the id; the first column is ``doc_id``.
+    ``work`` gets the block's number and yields one tuple per document, in order, without the id; the first column
+    is ``doc_id``.
     """
     fields = [f.strip().split()[0] for f in schema.split(",")]
 
-    def run(left, right):
+    def run(key, left, right):
         docs = documents_of(left)
         told = dict(unpack(p.as_py()) for p in right.column("payload"))
-        rows = [(d.id, *row) for d, row in zip(docs, work(docs, told), strict=True) for _ in range(d.copies)]
+        rows = [(d.id, *row) for d, row in zip(docs, work(key[0].as_py(), docs, told), strict=True) for _ in range(d.copies)]
         columns = list(zip(*rows)) if rows else [() for _ in fields]
         kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
         types = [kinds[f.strip().split()[1]] for f in schema.split(",")]

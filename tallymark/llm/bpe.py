@@ -135,7 +135,7 @@ def encoded(docs: list[Document], told: dict[int, Any]) -> Iterator[np.ndarray]:
 def round_trip(blocks: Blocks, path: str, row, schema: str) -> DataFrame:
     answers = settle(ask(blocks, questions(blocks.count)), word_table(path))
 
-    def work(docs: list[Document], told: dict[int, Any]) -> Iterator[tuple]:
+    def work(_: int, docs: list[Document], told: dict[int, Any]) -> Iterator[tuple]:
         for ids in encoded(docs, told):
             yield row(ids)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import bpe, decontaminate, line_dedup, pii, quality_rules, token_counts
+from tallymark.llm import bpe, decontaminate, line_dedup, pii, quality_rules, substring_dedup, token_counts
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(load(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, doc_id, i, sha256(array_to_string(w[i:i + 19], ' ')) AS g
+        FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+later AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS nth FROM win) WHERE nth > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS p FROM later),
+kept AS (SELECT word.r, count(*) AS n_words, count(gone.p) AS n_removed,
+           coalesce(string_agg(word.t, ' ' ORDER BY word.p) FILTER (WHERE gone.p IS NULL), '') AS text
+         FROM (SELECT r, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM d) word
+         LEFT JOIN gone ON gone.r = word.r AND gone.p = word.p GROUP BY word.r)
+SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+@query("op9_substring_dedup", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(load(spark, sf_dir, "documents"))
