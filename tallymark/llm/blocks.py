@@ -142,17 +142,19 @@ def finish(
     """Rows of each block from its documents and the answers by shard; a document's row is repeated for its copies.
 
     ``work`` gets the block's number and yields one tuple per document, in order, without the id; the first column
-    is ``doc_id``.
+    is ``doc_id``. Answers with a column ``kind`` come by (kind, shard).
     """
     fields = [f.strip().split()[0] for f in schema.split(",")]
 
     def run(key, left, right):
         docs = documents_of(left)
-        told = dict(unpack(p.as_py()) for p in right.column("payload"))
+        values = [unpack(p.as_py()) for p in right.column("payload")]
+        kinds = right.column("kind").to_pylist() if "kind" in right.schema.names else [None] * len(values)
+        told = {shard if kind is None else (kind, shard): value for kind, (shard, value) in zip(kinds, values)}
         rows = [(d.id, *row) for d, row in zip(docs, work(key[0].as_py(), docs, told), strict=True) for _ in range(d.copies)]
         columns = list(zip(*rows)) if rows else [() for _ in fields]
-        kinds = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
-        types = [kinds[f.strip().split()[1]] for f in schema.split(",")]
+        arrow = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
+        types = [arrow[f.strip().split()[1]] for f in schema.split(",")]
         return pa.table({n: pa.array(c, t) for n, c, t in zip(fields, columns, types)})
 
     return blocks.rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)

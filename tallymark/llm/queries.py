@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import bpe, decontaminate, line_dedup, pii, quality_rules, substring_dedup, token_counts
+from tallymark.llm import bpe, decontaminate, language_model, line_dedup, pii, quality_rules, substring_dedup, token_counts
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,8 @@ FROM d LEFT JOIN kept USING (r)
 @query("op9_substring_dedup", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(load(spark, sf_dir, "documents"))
+
+
+@query("op4_language_model")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(load(spark, sf_dir, "documents"))
