@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import bpe, decontaminate, language_model, line_dedup, pii, quality_rules, substring_dedup, token_counts
+from tallymark.llm import bpe, decontaminate, language_model, line_dedup, near_dedup, pii, quality_rules, substring_dedup, token_counts
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,30 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_language_model")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scores(load(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (SELECT DISTINCT r, s FROM (
+    SELECT r, unnest(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+    FROM d WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS class FROM sets GROUP BY r),
+classes AS (SELECT class, min(r) AS r, any_value(n) AS n FROM sizes GROUP BY class),
+own AS (SELECT sets.r, s FROM sets JOIN classes USING (r)),
+common AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM own a JOIN own b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2),
+links AS (SELECT cx.class AS x, cy.class AS y FROM common JOIN classes cx ON cx.r = x JOIN classes cy ON cy.r = y
+          WHERE 100 * c >= 80 * (cx.n + cy.n - c)),
+reach AS (SELECT class AS x, class AS y FROM classes UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+least AS (SELECT class, min(doc_id) AS id FROM sizes JOIN d USING (r) GROUP BY class),
+component AS (SELECT reach.x AS class, min(least.id) AS component_id FROM reach JOIN least ON least.class = reach.y GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  doc_id = coalesce(component_id, doc_id) AS kept
+FROM d LEFT JOIN sizes USING (r) LEFT JOIN component USING (class)
+"""
+
+
+@query("op3_near_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(load(spark, sf_dir, "documents"))
