@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import bpe, decontaminate, language_model, line_dedup, near_dedup, pii, quality_rules, substring_dedup, token_counts
+from tallymark.llm import bpe, decontaminate, language_model, line_dedup, near_dedup, pii, quality_classifier, quality_rules, substring_dedup, token_counts
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,8 @@ FROM d LEFT JOIN sizes USING (r) LEFT JOIN component USING (class)
 @query("op3_near_dedup", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.report(load(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
