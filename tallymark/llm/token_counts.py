@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import SPACE, SPACE_CLASS, scratch_path, texts
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
-# Runs of a task that are remembered with their counts, and the longest that is.
-REMEMBERED, LONGEST = 400_000, 64
+# Runs that a worker remembers with their counts, and the longest that it does, in bytes.
+REMEMBERED, LONGEST = 500_000, 64
 
 
 @functools.cache
@@ -46,30 +46,50 @@ def version(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
-def count_tokens(contents: list[str], path: str, memory: dict[bytes, int]) -> list[int]:
-    """Tokens of each text; ``memory`` holds the counts of short runs and is emptied when it is full."""
-    split = [t.encode().split() for t in contents]
-    if len(memory) > REMEMBERED:
-        memory.clear()
-    new = list(set().union(*split) - memory.keys())
-    counted = {}
-    for i in range(0, len(new), 20_000):
-        part = new[i : i + 20_000]
-        encoded = tokenizer(path).encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-        counted.update(zip(part, (len(e) for e in encoded)))
-    memory.update((w, n) for w, n in counted.items() if len(w) <= LONGEST)
-    counted = {w: n for w, n in counted.items() if len(w) > LONGEST}
-    of = lambda w: memory[w] if len(w) <= LONGEST else counted[w]
-    return [sum(map(of if counted else memory.__getitem__, words)) for words in split]
+class RunCounts:
+    """Counts of the runs seen lately: a new and an old generation, each of at most about ``REMEMBERED`` runs."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.new: dict[bytes, int] = {}
+        self.old: dict[bytes, int] = {}
+
+    def know(self, runs: set[bytes]) -> None:
+        """Have a count for each of the runs in ``new``."""
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+        missing = [w for w in runs if w not in self.new]
+        unseen = [w for w in missing if w not in self.old]
+        self.new.update((w, self.old[w]) for w in missing if w in self.old)
+        for i in range(0, len(unseen), 50_000):
+            part = unseen[i : i + 50_000]
+            encoded = tokenizer(self.path).encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            self.new.update(zip(part, map(len, encoded)))
+
+    def totals(self, contents: list[str]) -> list[int]:
+        """Tokens of each text."""
+        split = [t.encode().split() for t in contents]
+        runs = set().union(*split)
+        self.know(runs)
+        out = [sum(map(self.new.__getitem__, words)) for words in split]
+        for run in [w for w in runs if len(w) > LONGEST]:
+            del self.new[run]
+        return out
+
+
+@functools.cache
+def run_counts(path: str) -> RunCounts:
+    """Kept by the worker process for all its tasks."""
+    return RunCounts(path)
 
 
 def encoder(path: str):
     def run(batches: Iterable[pa.RecordBatch]):
-        memory: dict[bytes, int] = {}
+        known = run_counts(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                counts = count_tokens(part.column("text").to_pylist(), path, memory)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                counts = known.totals(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("content"), pa.array(counts, pa.int64())], ["content", "n_tokens"])
 
     return run
