@@ -1,28 +1,25 @@
 """Join shapes of the jobs.
 
-A side table is broadcast only after its rows were counted. A larger one is joined by shuffle, and the key
-values that hold very many rows, NULL included, are first measured with a bounded sketch and then spread over
-several tasks. Everything else is Catalyst's and AQE's choice.
+Whether a side table is broadcast is Catalyst's decision, by its bytes. Before a join by shuffle, the key values that
+hold more rows than a task should get, NULL included, are counted on a sample and spread over several tasks. The
+limit is relative to the data (rows per shuffle partition), so the number of such values is bounded by the number
+of partitions, and every one of them is spread into as many pieces as it needs.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 500_000
-# Rows of one key value that one task should at most handle.
-ROWS_PER_PIECE = 1_000_000
-MAX_PIECES = 1_024
-# A sketch tracks this many values and reports the most frequent of them; its size does not grow with the data.
-SKETCH_TRACKED = 256
-SKETCH_REPORTED = 64
+# Rows of a value at the limit that a sample is expected to hold: far more than half of them are then seen.
+SAMPLED_ROWS = 200
+SAMPLE_SEED = 42
 
 Hot = Mapping[Any, int]
 
@@ -43,41 +40,58 @@ class Step(NamedTuple):
     right_key: str
 
 
-def are_small(sides: Sequence[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[bool]:
-    """Which tables may be shipped to every task: all are counted in one query of scalar subqueries.
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the size of a result; it reads statistics only."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    Counting a file table only reads its footers.
-    """
-    counts = [side.agg(F.count(F.lit(1))).scalar().alias(f"_{i}") for i, side in enumerate(sides)]
-    return [rows <= max_rows for rows in sides[0].sparkSession.range(1).select(*counts).first()] if sides else []
+
+def is_small(side: DataFrame) -> bool:
+    """Whether Catalyst broadcasts this side of a left join on its own."""
+    limit = side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return not side.isStreaming and plan_bytes(side) <= limit
 
 
-def hot_sketch(key: str) -> Column:
-    return F.call_function("approx_top_k", F.col(key), F.lit(SKETCH_REPORTED), F.lit(SKETCH_TRACKED))
+def shuffle_width(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_pieces(top, rows_per_piece: int) -> Hot:
-    """Values with more rows than one task should get, and the pieces to cut them into."""
-    return {
-        entry["item"]: min(MAX_PIECES, math.ceil(entry["count"] / rows_per_piece))
-        for entry in top or []
-        if entry["count"] > rows_per_piece
-    }
+def pieces_of(rows: float, limit: float) -> int:
+    """Pieces of at most half the limit, so that a value counted too low still gets small ones."""
+    return math.ceil(2 * rows / limit)
 
 
-def hot_values(df: DataFrame, keys: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> dict[str, Hot]:
-    """The hot values of each key column.
+def hot_values(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> dict[str, Hot]:
+    """The values of each key column with more rows than ``limit``, and their pieces.
 
-    One pass over the key columns alone; the counts are close upper estimates and only steer the layout.
+    By default the limit is the rows per shuffle partition. At most two values per partition can hold half of that,
+    which bounds the result. The sample has ``SAMPLED_ROWS`` rows for each limit's worth of rows, whatever the size
+    of the data, and only steers the layout.
     """
     if df.isStreaming or not keys:
         return {key: {} for key in keys}
-    row = df.agg(*[hot_sketch(key).alias(f"_{i}") for i, key in enumerate(keys)]).first()
-    return {key: hot_pieces(row[f"_{i}"], rows_per_piece) for i, key in enumerate(keys)}
+    limit = limit or max(1, math.ceil(df.count() / shuffle_width(df.sparkSession)))
+    share = min(1.0, SAMPLED_ROWS / limit)
+    rows = df.select(*keys)
+    sample = rows if share == 1.0 else rows.sample(share, SAMPLE_SEED)
+    hot = {}
+    for key in keys:
+        counts = sample.groupBy(key).count().filter(F.col("count") > limit * share / 2)
+        hot[key] = {value: pieces_of(n, limit * share) for value, n in counts.collect()}
+    return hot
 
 
-def _pieces(key: Column, hot: Hot) -> Column:
-    return reduce(lambda rest, vn: F.when(key.eqNullSafe(F.lit(vn[0])), vn[1]).otherwise(rest), hot.items(), F.lit(1))
+def _pieces_table(spark: SparkSession, hot: Hot, kind: T.DataType) -> DataFrame:
+    """One row per hot value: at most two per shuffle partition, so it may be broadcast."""
+    schema = T.StructType([T.StructField("_hot_value", kind), T.StructField("_hot_pieces", T.IntegerType())])
+    return F.broadcast(spark.createDataFrame(list(hot.items()), schema))
+
+
+def with_pieces(df: DataFrame, key: str, hot: Hot) -> DataFrame:
+    """The rows with the pieces of their key value in ``_hot_pieces``, 1 for values that are not hot."""
+    kind = df.select(key).schema[0].dataType
+    table = _pieces_table(df.sparkSession, hot, kind)
+    joined = df.join(table, F.col(key).eqNullSafe(F.col("_hot_value")), "left").drop("_hot_value")
+    return joined.withColumn("_hot_pieces", F.coalesce("_hot_pieces", F.lit(1)))
 
 
 def spread(df: DataFrame, key: str, hot: Hot, salt: str) -> DataFrame:
@@ -87,73 +101,76 @@ def spread(df: DataFrame, key: str, hot: Hot, salt: str) -> DataFrame:
     """
     hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     number = F.xxhash64(*hashable) if len(set(df.columns)) == len(df.columns) else F.lit(0)
-    return df.withColumn(salt, F.pmod(number + F.spark_partition_id(), _pieces(F.col(key), hot)).cast("int"))
+    numbered = df.withColumn(salt, number + F.spark_partition_id())
+    piece = F.pmod(F.col(salt), F.col("_hot_pieces")).cast("int")
+    return with_pieces(numbered, key, hot).withColumn(salt, piece).drop("_hot_pieces")
 
 
 def copy_to_pieces(df: DataFrame, key: str, hot: Hot, salt: str) -> DataFrame:
-    """Repeat the rows of a hot value once per piece. Only the few hot values are repeated."""
-    last = (_pieces(F.col(key), hot) - 1).cast("int")
-    return df.withColumn(salt, F.explode(F.sequence(F.lit(0), last)))
+    """Repeat the rows of a hot value once per piece; NULL keys match nothing and go. ``key`` may be qualified."""
+    known = with_pieces(df.filter(F.col(key).isNotNull()), key, {k: n for k, n in hot.items() if k is not None})
+    return known.withColumn(salt, F.explode(F.sequence(F.lit(0), F.col("_hot_pieces") - 1))).drop("_hot_pieces")
 
 
 def enrich(
-    df: DataFrame, dims: Sequence[Dim], hot: Mapping[str, Hot] | None = None, max_rows: int = MAX_BROADCAST_ROWS
+    df: DataFrame, dims: Sequence[Dim], hot: Mapping[str, Hot] | None = None, limit: int | None = None,
+    small: Callable[[DataFrame], bool] = is_small,
 ) -> DataFrame:
     """Left equi joins in order. Only the needed columns travel; several matches give several rows.
 
-    ``hot`` can name the hot values of each key; by default they are measured, if a large table is joined.
+    A side table whose key comes from another side table is joined to that one first, so every join is on a key of
+    its own left table, whose hot values can be spread. ``hot`` can name the hot values of each key; by default they
+    are measured, if a table that is not ``small`` is joined.
     """
-    taken = [
-        dim.df.select(dim.key, *([c for c in dim.df.columns if c != dim.key] if dim.columns is None else dim.columns))
-        for dim in dims
-    ]
-    small = are_small(taken, max_rows)
-    # Keys of large tables that the facts themselves have; later ones come from a side table.
-    keys = list(dict.fromkeys(d.key for d, is_tiny in zip(dims, small) if not is_tiny and d.key in df.columns))
-    hot = hot_values(df, keys) if hot is None else hot
-    salts = {}
-    for key in keys:
-        if hot.get(key):
-            salts[key] = f"_piece_{key}"
-            df = spread(df, key, hot[key], salts[key])
-    for dim, side, is_tiny in zip(dims, taken, small):
-        if is_tiny:
-            df = df.join(F.broadcast(side), dim.key, "left")
-        elif dim.key in salts:
-            copies = copy_to_pieces(side.filter(F.col(dim.key).isNotNull()), dim.key, hot[dim.key], salts[dim.key])
-            df = df.join(copies, [dim.key, salts[dim.key]], "left")
+    sides: list[tuple[str, DataFrame]] = []
+    for dim in dims:
+        columns = [c for c in dim.df.columns if c != dim.key] if dim.columns is None else list(dim.columns)
+        side = dim.df.select(dim.key, *columns)
+        owner = next((i for i, (_, s) in reversed(list(enumerate(sides))) if dim.key in s.columns), None)
+        if dim.key in df.columns or owner is None:
+            sides.append((dim.key, side))
         else:
-            df = df.join(side, dim.key, "left")
+            sides[owner] = (sides[owner][0], enrich(sides[owner][1], [Dim(side, dim.key)], hot, limit, small))
+    large = [(key, side) for key, side in sides if not small(side)]
+    keys = list(dict.fromkeys(key for key, _ in large))
+    hot = hot_values(df, keys, limit) if hot is None else hot
+    salts = {key: f"_piece_{key}" for key in keys if hot.get(key)}
+    for key, salt in salts.items():
+        df = spread(df, key, hot[key], salt)
+    for key, side in sides:
+        if key in salts and any(side is s for _, s in large):
+            df = df.join(copy_to_pieces(side, key, hot[key], salts[key]), [key, salts[key]], "left")
+        else:
+            df = df.join(side, key, "left")
     return df.drop(*salts.values())
 
 
 def left_chain(
-    df: DataFrame, name: str, steps: Sequence[Step], hot: Mapping[str, Hot] | None = None,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    df: DataFrame, name: str, steps: Sequence[Step], hot: Mapping[str, Hot] | None = None, limit: int | None = None,
+    small: Callable[[DataFrame], bool] = is_small,
 ) -> DataFrame:
     """Left joins whose keys may come from any earlier table; NULL keys match nothing.
 
-    Columns are addressed as ``alias.column``; ``name`` is the alias of the first table. Hot values of its own
-    keys are measured and spread; a key that comes from a joined table is left to AQE's skew handling.
+    Columns are addressed as ``alias.column``; ``name`` is the alias of the first table. The chain is joined as a
+    tree: a table first takes in the tables that hang on its own keys and is then joined to the table that it hangs
+    on. That gives the same rows, and each join is on a key of one stored table, so the hot values of all keys are
+    measured and spread (``hot`` names them by ``alias.column``), NULL included.
     """
-    small = are_small([step.df for step in steps], max_rows)
-    own = {s.left_key: s.left_key.split(".", 1)[1] for s in steps if s.left_key.split(".", 1)[0] == name}
-    large = {s.left_key for s, is_tiny in zip(steps, small) if not is_tiny}
-    keys = [own[k] for k in dict.fromkeys(s.left_key for s in steps) if k in own and k in large]
-    hot = hot_values(df, keys) if hot is None else hot
-    salts = {key: f"_piece_{key}" for key in keys if hot.get(key)}
+    mine = [s for s in steps if s.left_key.split(".", 1)[0] == name]
+    sides = [(s, left_chain(s.df, s.right_key.split(".", 1)[0], steps, hot, limit, small)) for s in mine]
+    large = [not small(side) for _, side in sides]
+    keys = list(dict.fromkeys(s.left_key.split(".", 1)[1] for (s, _), is_large in zip(sides, large) if is_large))
+    known = hot_values(df, keys, limit) if hot is None else {k: hot.get(f"{name}.{k}", {}) for k in keys}
+    salts = {key: f"_piece_{name}_{key}" for key in keys if known[key]}
     for key, salt in salts.items():
-        df = spread(df, key, hot[key], salt)
+        df = spread(df, key, known[key], salt)
     joined = df.alias(name)
-    for i, (step, is_tiny) in enumerate(zip(steps, small)):
-        key, condition = own.get(step.left_key), F.col(step.left_key) == F.col(step.right_key)
-        side = step.df
-        if is_tiny:
-            side = F.broadcast(side)
-        elif key in salts:
-            alias, column = step.right_key.split(".", 1)
-            side = copy_to_pieces(side.filter(F.col(column).isNotNull()), column, hot[key], f"_copy_{i}").alias(alias)
-            condition = condition & (F.col(f"{name}.{salts[key]}") == F.col(f"{alias}._copy_{i}"))
+    for i, ((step, side), is_large) in enumerate(zip(sides, large)):
+        key, condition = step.left_key.split(".", 1)[1], F.col(step.left_key) == F.col(step.right_key)
+        if is_large and key in salts:
+            copy = f"_copy_{name}_{i}"
+            side = copy_to_pieces(side, step.right_key, known[key], copy)
+            condition = condition & (F.col(salts[key]) == F.col(copy))
         joined = joined.join(side, condition, "left")
     return joined
 
@@ -169,9 +186,9 @@ def join_aggregates(
     return joined.withColumns({name: F.coalesce(F.col(name), F.lit(v)) for name, v in defaults.items()})
 
 
-def broadcast_left(df: DataFrame, dim: DataFrame, key: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left join that ships a small dimension to every task; a larger one is joined by shuffle."""
-    return enrich(df, [Dim(dim, key)], max_rows=max_rows)
+def broadcast_left(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join to a dimension, which Catalyst ships to every task if its bytes allow it."""
+    return enrich(df, [Dim(dim, key)])
 
 
 def full_outer_nullsafe(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.operators.joins import ROWS_PER_PIECE, Hot, copy_to_pieces, hot_pieces, hot_sketch, spread
+from tallymark.operators.joins import is_small, pieces_of, shuffle_width, spread, with_pieces
+from tallymark.session import cut_lineage
 
 
 def dedupe_latest(
@@ -25,38 +27,39 @@ def dedupe_latest(
     return df.withColumn("_position", position).filter(F.col("_position") == 1).drop("_position")
 
 
-def _layout(df: DataFrame, order_col: str, buckets: int, rows_per_piece: int) -> tuple[list, Hot]:
-    """At most ``buckets - 1`` cut points of the column and its hot values, from two sketches in one pass."""
+def range_cuts(distinct: DataFrame, column: str, buckets: int) -> list:
+    """At most ``buckets - 1`` points that cut the distinct values into ranges of about the same number."""
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = F.percentile_approx(order_col, shares, 20 * buckets).alias("cuts")
-    row = df.agg(cuts, hot_sketch(order_col).alias("top")).first()
-    return sorted(set(row["cuts"] or [])), hot_pieces(row["top"], rows_per_piece)
+    cuts = distinct.agg(F.percentile_approx(column, shares, 20 * buckets)).first()[0] if shares else None
+    return sorted(set(cuts or []))
 
 
 def dense_rank_by(
-    df: DataFrame,
-    order_col: str,
-    rank_col: str = "rank",
-    buckets: int | None = None,
-    rows_per_piece: int = ROWS_PER_PIECE,
+    df: DataFrame, order_col: str, rank_col: str = "rank", buckets: int | None = None, limit: int | None = None
 ) -> DataFrame:
     """Global dense rank in descending order, NULL last, without a single-task window.
 
-    1. Cut points of the column come from one sketch (a bounded list of numbers).
-    2. The distinct values are numbered inside each range, and each range gets the number of distinct values
-       above it. Ranges are balanced and hold each value once, so a hot value cannot overload a task.
-    3. Every row takes the number of its value by an equi join, for which the rows of a hot value are spread.
+    1. The rows are counted by value once; everything but the last step works on one row per distinct value.
+    2. Cut points of the *distinct* values come from one sketch. The values are numbered inside each range, and each
+       range gets the number of distinct values above it, so a hot value weighs no more than any other.
+    3. Every row takes the number of its value by an equi join, for which the rows of the values with more rows than
+       ``limit`` (rows per bucket by default) are spread.
     """
-    spark = df.sparkSession
-    buckets = buckets or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    value = F.col(order_col)
-    cuts, hot = _layout(df, order_col, buckets, rows_per_piece)
+    buckets = buckets or max(2, shuffle_width(df.sparkSession))
+    counts = cut_lineage(df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_rows")))
+    cuts = range_cuts(counts, order_col, buckets)
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    limit = limit or max(1, math.ceil(total / buckets))
+    # At most two values per bucket can hold half the limit.
+    held = counts.filter(F.col("_rows") > limit / 2).collect()
+    hot = {value: pieces_of(n, limit) for value, n in held}
 
     # Range 0 holds the largest values; NULL gets a range of its own at the end.
+    value = F.col(order_col)
     above = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut > value)) if cuts else F.lit(0)
     position = F.when(value.isNull(), F.lit(len(cuts) + 1)).otherwise(above)
 
-    distinct = df.select(order_col).distinct().withColumn("_range", position)
+    distinct = counts.select(order_col).withColumn("_range", position)
     inside = Window.partitionBy("_range").orderBy(value.desc_nulls_last())
     numbered = distinct.withColumn("_inside", F.row_number().over(inside))
     sizes = distinct.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
@@ -68,10 +71,12 @@ def dense_rank_by(
     )
 
     same = F.col(order_col).eqNullSafe(F.col("_value"))
-    if not hot:
+    if not hot or is_small(ranks):
         return df.join(ranks, same, "left").drop("_value")
     rows = spread(df, order_col, hot, "_piece")
-    copies = copy_to_pieces(ranks, "_value", hot, "_copy")
+    # NULL has a rank as well, so its row is copied like the others.
+    copies = with_pieces(ranks, "_value", hot)
+    copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_hot_pieces") - 1))).drop("_hot_pieces")
     return rows.join(copies, same & (F.col("_piece") == F.col("_copy")), "left").drop("_value", "_piece", "_copy")
 
 

@@ -88,13 +88,24 @@ def expected_ranks(values):
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.integers(-5, 40)), max_size=60), st.booleans())
-def test_dense_rank_equals_brute_force(spark, rows, values, salted):
+def test_dense_rank_equals_brute_force(spark, rows, shuffled, values, salted):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
-    ranked = windows.dense_rank_by(df, "v", "r", buckets=4, rows_per_piece=3 if salted else 10**6)
+    ranked = windows.dense_rank_by(df, "v", "r", buckets=4, limit=3 if salted else 10**6)
     assert rows(ranked, "v", "r") == expected_ranks(values)
     assert ranked.columns == ["id", "v", "r"]
 
 
+def test_ranges_are_cut_over_distinct_values(spark, rows, shuffled):
+    """99.5 % of the rows share one value, and still no range holds more than twice its share of the values."""
+    df = spark.range(400_000).select(F.when(F.col("id") < 398_000, 7).otherwise(F.col("id")).cast("long").alias("v"))
+    values = sorted(r["v"] for r in df.select("v").distinct().collect())
+    cuts = windows.range_cuts(df.select("v").distinct(), "v", 16)
+    sizes = [sum(a < v <= b for v in values) for a, b in zip([-1, *cuts], [*cuts, 10**9])]
+    assert len(sizes) == 16 and max(sizes) <= 2 * len(values) / 16
+    ranked = windows.dense_rank_by(df, "v", "r", buckets=16).groupBy("v", "r").count().collect()
+    assert sorted((r["v"], r["r"]) for r in ranked) == [(v, len(values) - i) for i, v in enumerate(values)]
+
+
 def test_rolling_by_rows_and_by_days(spark, rows):
     days = [(1, date(2024, 1, d), v) for d, v in [(1, 1), (1, 2), (2, 4), (9, 8)]] + [(2, date(2024, 1, 1), 5)]
     df = spark.createDataFrame(days, "store int, day date, v int")
@@ -116,22 +127,54 @@ def sides(spark):
     return a, b, more
 
 
-@pytest.mark.parametrize("max_rows", [0, 200, 10**6])
+@pytest.fixture
+def shuffled(spark):
+    """Joins by shuffle, whatever the size of the sides."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture(params=["shuffled", "broadcast"])
+def either(request):
+    return request.getfixturevalue("shuffled") if request.param == "shuffled" else None
+
+
 @pytest.mark.parametrize("hot", [None, {"a": {7: 4, None: 3}, "b": {1: 2}}, {}])
-def test_enrich_gives_the_plain_left_join(spark, rows, max_rows, hot):
+def test_enrich_gives_the_plain_left_join(spark, rows, either, hot):
     df, (a, b, more) = facts(spark), sides(spark)
     plain = df.join(a, "a", "left").join(b, "b", "left").join(more, "a", "left")
     dims = [joins.Dim(a, "a"), joins.Dim(b, "b"), joins.Dim(more, "a", ["w"])]
-    got = joins.enrich(df, dims, hot=hot, max_rows=max_rows)
+    got = joins.enrich(df, dims, hot=hot, limit=40)
     columns = ["id", "a", "b", "va", "vb", "w"]
     assert sorted(got.columns) == sorted(columns)
     assert rows(got, *columns) == rows(plain, *columns)
 
 
+def test_enrich_by_a_key_of_a_side_table(spark, rows, shuffled):
+    df, (_, b, more) = facts(spark), sides(spark)
+    names = spark.createDataFrame([(i, f"n{i % 3}") for i in range(4)] + [(1, "again")], "code int, label string")
+    more = more.withColumn("code", F.col("a") % 5)
+    plain = df.join(more, "a", "left").join(names, "code", "left")
+    got = joins.enrich(df, [joins.Dim(more, "a"), joins.Dim(names, "code")], limit=40)
+    assert rows(got, "id", "w", "code", "label") == rows(plain, "id", "w", "code", "label")
+
+
 def test_hot_values_are_measured(spark):
-    hot = joins.hot_values(facts(spark), ["a", "b"], rows_per_piece=50)
-    assert hot["a"] == {7: 4} and set(hot["b"]) == {0, 1, 2, 3, 4}
-    assert joins.hot_values(facts(spark), ["a"], rows_per_piece=1000) == {"a": {}}
+    hot = joins.hot_values(facts(spark), ["a", "b"], limit=50)
+    assert hot["a"] == {7: 8, None: 2} and set(hot["b"]) == {0, 1, 2, 3, 4}
+    assert joins.hot_values(facts(spark), ["a"], limit=1000) == {"a": {}}
+    # By default the limit is the rows per shuffle partition, here 300 / 8.
+    assert joins.hot_values(facts(spark), ["a"])["a"][7] == 11
+
+
+def test_every_hot_key_is_found(spark):
+    """A thousand keys of the same size, and a hundred among many that occur once."""
+    same = spark.range(2_000_000).select((F.col("id") % 1000).alias("k"))
+    assert len(joins.hot_values(same, ["k"], limit=1500)["k"]) == 1000
+    single = spark.range(2_000_000).select(F.when(F.col("id") < 1_000_000, F.col("id") % 100).otherwise(F.col("id")).alias("k"))
+    found = joins.hot_values(single, ["k"], limit=5000)["k"]
+    assert set(found) == set(range(100)) and min(found.values()) >= 2
 
 
 def test_spread_keeps_every_row_and_uses_all_pieces(spark):
@@ -141,28 +184,32 @@ def test_spread_keeps_every_row_and_uses_all_pieces(spark):
     assert spreaded.filter("a is null or a <> 7").select("s").distinct().count() == 1
 
 
-@pytest.mark.parametrize("max_rows", [0, 10**6])
-@pytest.mark.parametrize("hot", [None, {"a": {7: 4, None: 3}}])
-def test_left_chain_gives_the_plain_joins(spark, rows, max_rows, hot):
+@pytest.mark.parametrize("hot", [None, {"f.a": {7: 4, None: 3}, "m.w": {-7: 2, None: 2}}])
+def test_left_chain_gives_the_plain_joins(spark, rows, either, hot):
     df, (a, b, more) = facts(spark), sides(spark)
+    # Several matches per key at both levels, and keys without a match or without a value.
+    more = more.unionByName(spark.createDataFrame([(7, 2), (7, None), (None, 3), (9, 2)], "a int, w int"))
+    b = b.unionByName(spark.createDataFrame([(2, "two"), (-7, "x"), (-7, "y"), (None, "z")], "b int, vb string"))
     steps = [
         joins.Step(a.alias("s"), "f.a", "s.a"),
         joins.Step(more.alias("m"), "f.a", "m.a"),
         joins.Step(b.alias("t"), "m.w", "t.b"),
     ]
-    got = joins.left_chain(df, "f", steps, hot=hot, max_rows=max_rows).select("f.id", "s.va", "m.w", "t.vb")
+    got = joins.left_chain(df, "f", steps, hot=hot, limit=40).select("f.id", "s.va", "m.w", "t.vb")
     plain = df.alias("f").join(a.alias("s"), F.col("f.a") == F.col("s.a"), "left")
     plain = plain.join(more.alias("m"), F.col("f.a") == F.col("m.a"), "left")
     plain = plain.join(b.alias("t"), F.col("m.w") == F.col("t.b"), "left").select("f.id", "s.va", "m.w", "t.vb")
     assert rows(got, "id", "va", "w", "vb") == rows(plain, "id", "va", "w", "vb")
 
 
-def test_broadcast_only_for_counted_tables(spark):
-    def plan(max_rows):
-        df = joins.broadcast_left(facts(spark), sides(spark)[1], "b", max_rows=max_rows)
-        return df._jdf.queryExecution().optimizedPlan().toString()
-
-    assert "broadcast" in plan(10) and "broadcast" not in plan(3)
+def test_broadcast_is_decided_by_bytes(spark):
+    side = spark.range(100)
+    assert joins.is_small(side) and joins.plan_bytes(side) > 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(joins.plan_bytes(side) - 1))
+    try:
+        assert not joins.is_small(side)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_full_outer_matches_null_keys(spark, rows):
