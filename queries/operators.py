@@ -142,19 +142,45 @@ _SCAN = f"SELECT * FROM ({_SCAN}) WHERE hits > 0"
 LANGUAGES = ["de", "en", "es", "fr"]
 add("scan_patterns", lambda df: textscan.scan_patterns(df, "text", ["doc_id", "lang"]), "documents",
     "doc_id:l lang:s pattern:s hits:l", _SCAN)
+_NAMES = ", ".join(f"('{name}')" for name in textscan.PATTERNS)
+
+
+def _matrix(source: str, groups: list[str], column: str) -> str:
+    sums = [f"SUM(CASE WHEN {column} = '{g}' THEN hits ELSE 0 END) AS {g}" for g in groups]
+    listed = ", ".join(f"'{g}'" for g in groups)
+    sums.append(f"SUM(CASE WHEN {column} IN ({listed}) THEN 0 ELSE hits END) AS other")
+    filled = ", ".join(f"COALESCE({g}, 0) AS {g}" for g in [*groups, "other"])
+    return f"""SELECT pattern, {filled} FROM (VALUES {_NAMES}) names(pattern)
+        LEFT JOIN (SELECT pattern, {", ".join(sums)} FROM ({source}) GROUP BY pattern) USING (pattern)"""
+
+
+def _matrix_columns(groups: list[str]) -> str:
+    return "pattern:s " + " ".join(f"{g}:l" for g in [*groups, "other"])
+
+
 add("pattern_matrix",
     lambda df: textscan.pattern_matrix(textscan.scan_patterns(df, "text", ["lang"]), "lang", LANGUAGES),
-    "documents", "pattern:s " + " ".join(f"{lang}:l" for lang in LANGUAGES),
-    "SELECT pattern, " + ", ".join(f"COALESCE(SUM(hits) FILTER (lang = '{lang}'), 0) AS {lang}" for lang in LANGUAGES)
-    + f" FROM ({_SCAN}) GROUP BY pattern")
+    "documents", _matrix_columns(LANGUAGES), _matrix(_SCAN, LANGUAGES, "lang"))
+# Documents of an unlisted language, and of none.
+DOMAIN["odd_languages"] = "SELECT text, CASE lang WHEN 'de' THEN NULL ELSE lang END AS lang FROM {documents}"
+_ODD_SCAN = " UNION ALL ".join(
+    f"SELECT lang, '{name}' AS pattern, {_matches(regex)} AS hits FROM odd_languages"
+    for name, regex in textscan.PATTERNS.items()
+)
+add("pattern_matrix_other",
+    lambda df: textscan.pattern_matrix(textscan.scan_patterns(df, "text", ["lang"]), "lang", ["en", "es"]),
+    "odd_languages", _matrix_columns(["en", "es"]), _matrix(_ODD_SCAN, ["en", "es"], "lang"))
 add("scan_pages", lambda df: textscan.scan_patterns(df, "html", ["page_id"]), "pages", "page_id:l pattern:s hits:l",
     "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT page_id, '{name}' AS pattern, {_matches(regex).replace('(text,', '(html,')} AS hits FROM pages"
         for name, regex in textscan.PATTERNS.items()) + ") WHERE hits > 0")
-add("scan_conversations", lambda df: textscan.scan_patterns(df, "text", ["conv_id", "turn"]), "conversations",
+# Turns as a mail export has them, signed with the sender's address.
+DOMAIN["signed_turns"] = """
+    SELECT conv_id, turn, text || ' -- ' || role || CAST(conv_id AS STRING) || '@mail.example.com' AS text FROM {conversations}"""
+add("scan_conversations", lambda df: textscan.scan_patterns(df, "text", ["conv_id", "turn"]), "signed_turns",
     "conv_id:l turn:l pattern:s hits:l",
     "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT conv_id, turn, '{name}' AS pattern, {_matches(regex)} AS hits FROM conversations"
+        f"SELECT conv_id, turn, '{name}' AS pattern, {_matches(regex)} AS hits FROM signed_turns"
         for name, regex in textscan.PATTERNS.items()) + ") WHERE hits > 0")
 
 # Registry rows with array columns.
@@ -187,6 +213,38 @@ add("enrich_lines",
     "order_lines part_dim supplier_dim", f"{_KEYS} p_brand:s s_name:s",
     """SELECT o.*, p_brand, s_name FROM order_lines o LEFT JOIN part_dim p ON o.l_partkey = p.l_partkey
        LEFT JOIN supplier_dim s ON o.l_suppkey = s.l_suppkey""")
+
+
+def _never(side):
+    return False
+
+
+# Two rows per key on the side, NULL keys and one key with a third of the rows on the left, all joins by shuffle.
+DOMAIN["hot_lines"] = """
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN 7 WHEN l_linenumber = 1 THEN NULL ELSE l_partkey END
+           AS l_partkey, l_suppkey FROM {lineitem}"""
+DOMAIN["part_prices"] = """
+    SELECT p_partkey AS l_partkey, 'list' AS price_kind, p_brand FROM {part}
+    UNION ALL SELECT p_partkey AS l_partkey, 'offer' AS price_kind, p_brand FROM {part} WHERE p_partkey % 2 = 1"""
+DOMAIN["brand_names"] = """
+    SELECT DISTINCT p_brand, 'brand of ' || p_brand AS brand_name FROM {part} UNION ALL SELECT DISTINCT p_brand, 'other name'
+    FROM {part} WHERE p_brand = 'Brand#11' OR p_brand = 'Brand#23'"""
+add("enrich_spread",
+    lambda lines, prices, suppliers: joins.enrich(
+        lines, [joins.Dim(prices.hint("merge"), "l_partkey"), joins.Dim(suppliers.hint("merge"), "l_suppkey")],
+        small=_never),
+    "hot_lines part_prices supplier_dim", f"{_KEYS} price_kind:s p_brand:s s_name:s",
+    """SELECT o.*, price_kind, p_brand, s_name FROM hot_lines o LEFT JOIN part_prices p ON o.l_partkey = p.l_partkey
+       LEFT JOIN supplier_dim s ON o.l_suppkey = s.l_suppkey""")
+add("chain_spread",
+    lambda lines, prices, brands: joins.left_chain(
+        lines, "line",
+        [joins.Step(prices.hint("merge"), "line.l_partkey", "price.l_partkey"),
+         joins.Step(brands.hint("merge"), "price.p_brand", "brand.p_brand")],
+        small=_never).select("line.l_orderkey", "line.l_linenumber", "line.l_partkey", "price.price_kind", "brand.brand_name"),
+    "hot_lines part_prices brand_names", "l_orderkey:l l_linenumber:l l_partkey:l price_kind:s brand_name:s",
+    """SELECT l_orderkey, l_linenumber, o.l_partkey, price_kind, brand_name FROM hot_lines o
+       LEFT JOIN (part_prices p LEFT JOIN brand_names b ON p.p_brand = b.p_brand) ON o.l_partkey = p.l_partkey""")
 add("broadcast_left", lambda lines, parts: joins.broadcast_left(lines, parts, "l_partkey"),
     "order_lines part_dim", f"{_KEYS} p_brand:s p_type:s",
     "SELECT o.*, p_brand, p_type FROM order_lines o LEFT JOIN part_dim p ON o.l_partkey = p.l_partkey")

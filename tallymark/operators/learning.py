@@ -11,10 +11,11 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallymark.session import checkpoint_dir
+from tallymark.session import require_checkpoint_dir
 
 # Fixed values of the trainers.
 SEED = 42
@@ -24,7 +25,10 @@ REGRESSOR_ITERATIONS = 100
 CLASSIFIER_ITERATIONS = 50
 CLASSIFIER_DEPTH = 8
 
-_SPLIT_BUCKETS = 1_000_000
+# Fixed values of the split: a prime number of buckets, a multiplier per key column, and the scale of non-integers.
+SPLIT_BUCKETS = 1_000_003
+SPLIT_FACTORS = (69_621, 48_271, 39_373, 16_807)
+SPLIT_SCALE = 100
 # Boosting adds a step to the lineage in every round; it is cut this often where a checkpoint folder is set.
 _CHECKPOINT_EVERY = 10
 # Below this, more partitions cost a trainer more in task starts than they save.
@@ -36,10 +40,23 @@ def assemble(df: DataFrame, cols: Sequence[str], handle_invalid: str = "error")
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid=handle_invalid).transform(df)
 
 
+def split_bucket(df: DataFrame, key: Sequence[str], seed: int = SEED) -> Column:
+    """A bucket by whole-number arithmetic on the key columns, which any engine can repeat; NULL counts as 0."""
+    total = F.lit(seed)
+    for name, factor in zip(key, SPLIT_FACTORS, strict=False):
+        whole = isinstance(df.schema[name].dataType, T.IntegralType)
+        number = F.col(name).cast("long") if whole else F.round(F.col(name).cast("double") * SPLIT_SCALE).cast("long")
+        total = total + F.pmod(F.coalesce(number, F.lit(0)), F.lit(SPLIT_BUCKETS)) * factor
+    return F.pmod(total, F.lit(SPLIT_BUCKETS))
+
+
+def split_cut(weights: tuple[float, float]) -> int:
+    return int(SPLIT_BUCKETS * weights[0] / sum(weights))
+
+
 def split(df: DataFrame, key: Sequence[str], weights: tuple[float, float], seed: int = SEED):
-    """Train and test rows by a hash of the key: the same row goes the same way in every run and layout."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(_SPLIT_BUCKETS))
-    cut = int(_SPLIT_BUCKETS * weights[0] / sum(weights))
+    """Train and test rows by the bucket of the key: the same row goes the same way in every run and layout."""
+    bucket, cut = split_bucket(df, key, seed), split_cut(weights)
     return df.filter(bucket < cut), df.filter(bucket >= cut)
 
 
@@ -53,22 +70,24 @@ def condense(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
 
 
 def _fit(estimator, train: DataFrame, *columns: str):
-    """Fit on the needed columns only, computed once and spread evenly over at most the session's shuffle width.
+    """Fit on the needed columns only, computed once, in partitions that follow from the rows alone.
 
-    The trainers pass over their input many times, and several of these passes would go back to the source. The
-    kept rows spill to disk, and lost ones are computed again.
+    The number of partitions is the number of rows by ``_ROWS_PER_PARTITION``, without a limit, and rows are placed and
+    ordered by their hashes, so the model does not depend on session settings or on the layout of the input. The
+    trainers pass over their input many times, and several of these passes would go back to the source. The kept
+    rows spill to disk, and lost ones are computed again.
     """
-    rows = train.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    require_checkpoint_dir(train.sparkSession)
+    place = F.xxhash64(*[vector_to_array(c) if c == "features" else F.col(c) for c in columns])
+    rows = train.select(*columns, place.alias("_place")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        widest = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        width = min(widest, math.ceil(rows.count() / _ROWS_PER_PARTITION))
-        return estimator.fit(rows.repartition(max(width, 1)))
+        width = max(1, math.ceil(rows.count() / _ROWS_PER_PARTITION))
+        return estimator.fit(rows.repartition(width, "_place").sortWithinPartitions("_place").drop("_place"))
     finally:
         rows.unpersist()
 
 
 def fit_rf(train: DataFrame, label: str, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, **params):
-    checkpoint_dir(train.sparkSession)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=SEED, **params
     )
@@ -78,7 +97,6 @@ def fit_rf(train: DataFrame, label: str, trees: int = FOREST_TREES, depth: int =
 def fit_gbt_regressor(
     train: DataFrame, label: str, iterations: int = REGRESSOR_ITERATIONS, weight: str | None = None, **params
 ):
-    checkpoint_dir(train.sparkSession)
     boosted = GBTRegressor(
         featuresCol="features",
         labelCol=label,
@@ -94,7 +112,6 @@ def fit_gbt_regressor(
 def fit_gbt_classifier(
     train: DataFrame, label: str, iterations: int = CLASSIFIER_ITERATIONS, depth: int = CLASSIFIER_DEPTH, **params
 ):
-    checkpoint_dir(train.sparkSession)
     boosted = GBTClassifier(
         featuresCol="features",
         labelCol=label,
@@ -123,3 +140,22 @@ def score(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def accuracy(predicted: DataFrame, label: str) -> DataFrame:
     """Share of rows whose prediction equals the label, in one pass."""
     return predicted.agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy"))
+
+
+def nearest_centre(clustered: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """Adds ``nearest``: no other centre is closer to the row than that of its cluster."""
+    x = vector_to_array("features")
+    distance = lambda c: F.aggregate(
+        F.zip_with(x, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
+    )
+    distances = F.array(*[distance(c) for c in centres])
+    best = F.array_min(distances)
+    return clustered.withColumn("nearest", F.element_at(distances, F.col("prediction") + 1) <= best * (1 + 1e-9) + 1e-9)
+
+
+def condensed_equals_rows(rows: DataFrame, condensed: DataFrame, label: str) -> DataFrame:
+    """One row: label sum and number of rows of a table and of its condensed form."""
+    of = lambda df, total, n, tag: df.agg(F.round(F.sum(total), 3).alias(f"sum_{tag}"), F.sum(n).cast("long").alias(f"rows_{tag}"))
+    whole = of(rows, F.col(label), F.when(F.col(label).isNotNull(), 1), "all")
+    short = of(condensed, F.col(label) * F.col("weight"), F.col("weight"), "condensed")
+    return whole.select("*", *[short.select(c).scalar().alias(c) for c in ("sum_condensed", "rows_condensed")])

@@ -60,10 +60,16 @@ def scan_patterns(
     return df.select(*keep, found).select(*keep, "_hit.pattern", "_hit.hits")
 
 
-def pattern_matrix(scanned: DataFrame, by: str, groups: Sequence[str]) -> DataFrame:
-    """Pattern by group table of total hits; 0 where a pattern never occurs in a group.
+def pattern_matrix(
+    scanned: DataFrame, by: str, groups: Sequence[str], patterns: Mapping[str, str] = PATTERNS, other: str = "other"
+) -> DataFrame:
+    """One row per pattern and its hits by group: the listed groups, and all others, NULL included, in ``other``.
 
-    The hits are summed per (pattern, group) first, so the pivot only handles one row per pair.
+    The hits are summed per (pattern, group) first, so the pivot only handles one row per pair. A pattern without
+    hits has a row of zeros.
     """
-    totals = scanned.groupBy("pattern", by).agg(F.sum("hits").alias("hits"))
-    return totals.groupBy("pattern").pivot(by, list(groups)).agg(F.sum("hits")).na.fill(0)
+    group = F.when(F.col(by).isin(list(groups)), F.col(by)).otherwise(F.lit(other))
+    totals = scanned.groupBy("pattern", group.alias("_group")).agg(F.sum("hits").alias("hits"))
+    wide = totals.groupBy("pattern").pivot("_group", [*groups, other]).agg(F.sum("hits"))
+    names = scanned.sparkSession.createDataFrame([(name,) for name in patterns], "pattern string")
+    return names.join(wide, "pattern", "left").na.fill(0)

@@ -100,14 +100,12 @@ def phase_predicate(plan: TrialPlan, cfg=TRIAL) -> Column:
     return keep
 
 
-def trial_results(patients: DataFrame, plan: TrialPlan, cfg=TRIAL) -> DataFrame | None:
-    """Rows of the phase with derived measures; None for a phase 2 with too few rows.
-
-    The row check stops as soon as enough rows are found.
-    """
+def trial_results(patients: DataFrame, plan: TrialPlan, cfg=TRIAL) -> DataFrame:
+    """Rows of the phase with derived measures; no rows for a phase 2 with too few of them."""
     kept = patients.filter(phase_predicate(plan, cfg))
-    if plan.phase == 2 and len(kept.select(F.lit(1)).take(cfg["phase2_rows"])) < cfg["phase2_rows"]:
-        return None
+    if plan.phase == 2:
+        enough = kept.agg(F.count(F.lit(1)) >= cfg["phase2_rows"]).scalar()
+        kept = kept.filter(enough)
     return staged(
         kept,
         {

@@ -40,8 +40,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return named
 
 
+def require_checkpoint_dir(spark: SparkSession) -> str:
+    named = checkpoint_dir(spark)
+    if named is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return named
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor and are computed once."""
-    if checkpoint_dir(df.sparkSession) is None:
-        raise RuntimeError("cut_lineage: set spark.checkpoint.dir to a shared folder")
+    require_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

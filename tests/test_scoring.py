@@ -46,7 +46,8 @@ def test_trial_phases(spark):
     # The upper age only counts together with a lower one.
     assert max(ages(phase=1, include_adverse=True, blinding="double", interim=True, max_age=30)) == 65
     assert ages(phase=1, include_adverse=True, blinding="double", interim=True, min_age=20, max_age=22) == [20, 21, 22]
-    assert health.trial_results(df, health.TrialPlan(phase=2)) is None
+    assert ages(phase=2) == []
+    assert health.trial_results(df.limit(0), health.TrialPlan(phase=2)).count() == 0
     assert len(ages(phase=3)) == 30
     row = health.trial_results(df, health.TrialPlan(phase=3)).filter("patient_id = 43").first()
     assert (row["full_name"], row["risk_score"], row["adjusted_dosage"]) == ("A B", 1.5, pytest.approx(49.05))
@@ -120,6 +121,34 @@ def test_models_learn_a_separable_rule(spark):
     assert clusters.groupBy("a").agg(F.countDistinct("prediction").alias("n")).filter("n > 1").isEmpty()
 
 
+def test_scores_do_not_depend_on_the_session(spark, monkeypatch):
+    """The same model from other layouts and shuffle widths, with more partitions than the shuffle has."""
+    monkeypatch.setattr(ml, "_ROWS_PER_PARTITION", 60)
+    df = separable(spark).withColumn("label", F.when(F.col("id") % 11 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    found = []
+    for width, parts in (("4", 3), ("64", 17)):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        train = ml.assemble(df.repartition(parts), ["a", "b"])
+        model = ml.fit_rf(train, "label", trees=7, depth=4)
+        found.append([r["risk_prob"] for r in ml.score(model, ml.assemble(df, ["a", "b"]), ["id"]).orderBy("id").collect()])
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1]
+
+
+def test_training_needs_a_shared_checkpoint_folder(spark, monkeypatch):
+    def missing(_):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+    monkeypatch.setattr(ml, "require_checkpoint_dir", missing)
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        ml.fit_rf(ml.assemble(separable(spark), ["a", "b"]), "label", trees=1, depth=1)
+
+
+def test_nearest_centre(spark):
+    df = ml.assemble(spark.createDataFrame([(0.0, 0), (9.0, 1), (9.0, 0)], "a double, prediction int"), ["a"])
+    assert [r["nearest"] for r in ml.nearest_centre(df, [[1.0], [8.0]]).collect()] == [True, True, False]
+
+
 def test_condensed_training_equals_full_training(spark):
     # Irregular labels, so that no two splits are equally good.
     df = separable(spark).withColumn("y", F.col("a") * 3 + F.pmod(F.xxhash64("id"), F.lit(1000)) / 100)
