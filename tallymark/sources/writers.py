@@ -41,8 +41,7 @@ def write_table(
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
     if comment:
-        text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        df.sparkSession.sql(f"COMMENT ON TABLE IDENTIFIER(:name) IS '{text}'", args={"name": name})
+        set_comment(df.sparkSession, name, comment)
 
 
 def write_validated(
@@ -71,3 +70,7 @@ def append_rejected(bad: DataFrame, name: str) -> bool:
 def append_rows(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: T.StructType, name: str) -> None:
     """Append literal rows, array columns included."""
     write_table(spark.createDataFrame(list(rows), schema), name, mode="append")
+
+
+def set_comment(spark: SparkSession, name: str, comment: str) -> None:
+    spark.sql("COMMENT ON TABLE IDENTIFIER(:name) IS :text", args={"name": name, "text": comment})

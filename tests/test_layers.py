@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tallymark.sources import writers
 from tallymark.plans import banking_gold, banking_silver, medallion, retail_gold, retail_silver
 
 AS_OF = "2024-06-30"
@@ -328,6 +329,13 @@ def test_vendor_scorecard(spark, rows):
     ]
 
 
+def test_comments_are_not_read_as_sql(spark):
+    text = "it's a \\ \"quoted\" -- text"
+    writers.write_table(spark.range(1), "commented", comment=text)
+    rows = spark.sql("DESCRIBE TABLE EXTENDED commented").collect()
+    assert {r["col_name"]: r["data_type"] for r in rows}["Comment"] == text
+
+
 def test_shop_marts_are_written_with_comments(spark):
     audits, _ = retail_silver.build("vendor_compliance", shop_vendors(spark), AS_OF)
     name = "vendor_compliance_scorecard"
