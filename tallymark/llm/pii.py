@@ -35,13 +35,15 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NUMBERS = re.compile(r"[+0-9][0-9 ().+-]{6,}")
 CARD_DIGITS, PHONE_DIGITS = range(16, 20), range(8, 16)
 
-# Look-alikes of plain characters; full-width forms and other scripts' digits follow by rule.
+# Look-alikes of plain characters in other scripts. What Unicode itself calls a form of a plain
+# character (full width, mathematical letters, circled digits) and other scripts' digits follow by rule.
 LOOKALIKES = {
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d",
-    "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "Х": "X",
-    "α": "a", "ο": "o", "ν": "v", "ρ": "p", "ι": "i", "Α": "A", "Β": "B", "Ε": "E", "Ο": "O", "Ρ": "P", "Τ": "T",
-    "ı": "i", "ɡ": "g", "﹫": "@", "․": ".", "。": ".", "｡": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-",
-    " ": " ", " ": " ", " ": " ", " ": " ", "　": " ",
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "к": "k", "һ": "h", "і": "i", "ј": "j",
+    "ѕ": "s", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ѵ": "v", "ӏ": "l", "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H",
+    "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S", "Ԁ": "D", "α": "a", "ο": "o",
+    "ν": "v", "ρ": "p", "ι": "i", "κ": "k", "υ": "u", "χ": "x", "γ": "y", "τ": "t", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z",
+    "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "ı": "i", "ɡ": "g",
+    "ɑ": "a", "օ": "o", "ո": "n", "ս": "u", "。": ".", "۔": ".", "‐": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "⁃": "-",
 }
 INVISIBLE = "­​‌‍⁠﻿"
 # Digits in words, by language.
@@ -57,13 +59,15 @@ DIGIT_OF = {w: str(i) for words in DIGIT_WORDS.values() for i, w in enumerate(wo
 
 
 def _plain_forms() -> dict[int, str]:
-    forms = {ord(c): plain for c, plain in LOOKALIKES.items()}
-    forms |= {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
+    forms = {}
     for c in range(0x80, 0x1FBFA):
+        plain = unicodedata.normalize("NFKC", chr(c))
         digit = unicodedata.decimal(chr(c), None)
         if digit is not None:
             forms[c] = str(digit)
-    return forms
+        elif len(plain) == 1 and " " <= plain <= "~":
+            forms[c] = plain
+    return forms | {ord(c): plain for c, plain in LOOKALIKES.items()}
 
 
 PLAIN = _plain_forms()
@@ -89,6 +93,7 @@ _LABEL = r"[A-Za-z0-9-]{1,63}"
 DISGUISE = re.compile(
     rf"(?P<at>{_GAP}[\[({{<]{_GAP}(?:{AT_WORDS}|@){_GAP}[\])}}>]{_GAP}"
     rf"|[ \t]{{1,3}}(?:{AT_WORDS})[ \t]{{1,3}}(?={_LABEL}(?:{_DOT}{_LABEL})+))"
+    rf"|(?P<weak>[ \t]{{1,3}}(?:{AT_WORDS})[ \t]{{1,3}}(?={_LABEL}(?:\.{_LABEL})+))"
     rf"|(?P<dot>{_DOT})"
     rf"|(?P<plus>\bplus[ \t-]{{1,2}}(?={_DIGIT}\b|[0-9]))"
     rf"|(?P<digits>\b{_DIGIT}(?:[ -]{_DIGIT})*+\b)"
@@ -99,6 +104,7 @@ SPELLED = re.compile(rf"{_DIGIT}\b|[ -]", re.I)
 # A text without any of these holds no disguise that could end in a finding.
 HINT = re.compile(
     rf"[\[({{<]{_GAP}(?:{AT_WORDS}|{DOT_WORDS}|@|\.){_GAP}[\])}}>]|[ \t](?:{DOT_WORDS})[ \t]"
+    rf"|[ \t](?:{AT_WORDS})[ \t]{{1,3}}{_LABEL}\.[A-Za-z0-9]"
     rf"|\b{_DIGIT}[ -]{_DIGIT}\b|[0-9][OoIl][0-9]|\bplus[ \t-]{{1,2}}(?:{_DIGIT}\b|[0-9])",
     re.I,
 )
@@ -185,9 +191,21 @@ class Rewritten:
         return first, begin + into + 1 if copied else stop
 
 
+# The name before a bare "at" and a plain domain: only one that no word of prose looks like makes it an address.
+ACCOUNT = re.compile(r"(?=[^ ]*[A-Za-z])(?=[^ ]*[0-9._+])[A-Za-z0-9._%+-]*[A-Za-z0-9]$")
+
+
+def is_account(text: str, end: int) -> bool:
+    word = text[max(0, end - 64) : end].split()[-1:]
+    return bool(word and ACCOUNT.match(word[0]))
+
+
 def disguises(text: str) -> Iterable[tuple[int, int, str]]:
     for m in DISGUISE.finditer(text):
-        if m.lastgroup == "digits":
+        if m.lastgroup == "weak":
+            if is_account(text, m.start()):
+                yield m.start(), m.end(), "@"
+        elif m.lastgroup == "digits":
             for part in SPELLED.finditer(text, m.start(), m.end()):
                 yield part.start(), part.end(), DIGIT_OF.get(part.group().lower(), "")
         else:

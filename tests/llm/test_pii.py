@@ -45,6 +45,11 @@ def test_base_equals_plain_patterns():
         ("call +４１５ 555 26711", "phone", "+４１５ 555 26711"),
         ("card four one one one 1111 1111 1111 ok", "card", "four one one one 1111 1111 1111"),
         ("host one nine two dot one six eight dot zero dot one.", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("mail jane.35 at mail4.example.com soon", "email", "jane.35 at mail4.example.com"),
+        ("mail 𝐣𝐚𝐧𝐞@example．com soon", "email", "𝐣𝐚𝐧𝐞@example．com"),
+        ("JANE AT EXAMPLE DOT COM", "email", "JANE AT EXAMPLE DOT COM"),
+        ("ring +1 four one five 555 2671 now", "phone", "+1 four one five 555 2671"),
+        ("①⑨②.168.0.1 is up", "ip", "①⑨②.168.0.1"),
         ("card 4111 1111 1111 1l11 ok", "card", "4111 1111 1111 1l11"),
         ("vier eins eins eins 1111 1111 1111", "card", "vier eins eins eins 1111 1111 1111"),
     ],
@@ -59,6 +64,7 @@ def test_disguises(text, kind, part):
 def test_prose_is_left_alone():
     for text in (
         "Look at example.com for one or two dots. We met at noon, plus one friend.",
+        "We looked at example.com and stayed at home. In 2020 at example.org they met; see p.5 at the end.",
         "one two three four five six seven eight nine zero",
         "the dot at the end dot",
         "Привет, как дела? 12 мая 2020 года. 1.2.3 и 10-20",
