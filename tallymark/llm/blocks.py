@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import text_key, texts
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 BLOCK_SCHEMA = "block int, payload binary"
 ASK_SCHEMA = "shard int, block int, payload binary"

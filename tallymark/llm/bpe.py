@@ -25,12 +25,11 @@ from pyspark.sql import DataFrame
 
 from tallymark.llm.blocks import BLOCK_BYTES, Blocks, Document, ask, by_shard, finish, gather, into_blocks, settle
 from tallymark.llm.token_counts import tokenizer
+from tallymark.llm.windows import Codes
 
 # White space of the tokenizer's split pattern.
 _WHITE = "\t-\r \x85\xa0  -     　"
 WORD = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-# Texts are finished in groups of about so many words.
-GROUP_WORDS = 400_000
 
 
 class Pieces(NamedTuple):
@@ -65,78 +64,91 @@ def decode(ids: np.ndarray, path: str) -> str:
     return data.tobytes().decode("utf-8", "replace")
 
 
-def encode_words(words: Sequence[str], path: str) -> list[list[int]]:
-    out: list[list[int]] = []
-    for at in range(0, len(words), 20_000):
-        out += (e.ids for e in tokenizer(path).encode_batch_fast(words[at : at + 20_000], add_special_tokens=False))
-    return out
+def encode_words(words: Sequence[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The number of ids of each word, and all ids."""
+    lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for at in range(0, len(words), 4_000):
+        part = [e.ids for e in tokenizer(path).encode_batch_fast(words[at : at + 4_000], add_special_tokens=False)]
+        lengths.append(np.array([len(p) for p in part], np.int64))
+        ids.append(np.array([i for p in part for i in p], np.uint32))
+    return np.concatenate(lengths), np.concatenate(ids)
 
 
-def distinct_words(docs: Sequence[Document]) -> list[str]:
-    seen: set[str] = set()
+class Split(NamedTuple):
+    """The words of a block: codes of each document, the rank of each code in order, and the words in order with
+    the positions of each shard's words."""
+
+    parts: list[np.ndarray]
+    rank: np.ndarray
+    words: list[str]
+    shards: list[tuple[int, np.ndarray]]
+
+
+def split(docs: Sequence[Document], n_shards: int) -> Split:
+    codes = Codes()
+    parts = []
     for doc in docs:
-        seen.update(WORD.findall(doc.text))
-    return sorted(seen)
+        words = WORD.findall(doc.text)
+        parts.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
+    first_seen = list(codes)
+    order = sorted(range(len(first_seen)), key=first_seen.__getitem__)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    words = [first_seen[i] for i in order]
+    shards = np.fromiter((xxhash.xxh64_intdigest(w) % n_shards for w in words), np.int64, len(words))
+    return Split(parts, rank, words, list(by_shard(shards, n_shards)))
 
 
 def questions(n_shards: int):
     def run(docs: list[Document]) -> Iterator[tuple[int, list[str]]]:
-        words = distinct_words(docs)
-        shards = np.fromiter((xxhash.xxh64_intdigest(w) % n_shards for w in words), np.int64, len(words))
-        for shard, at in by_shard(shards, n_shards):
-            yield shard, [words[i] for i in at]
+        found = split(docs, n_shards)
+        for shard, at in found.shards:
+            yield shard, [found.words[i] for i in at]
 
     return run
 
 
 def word_table(path: str):
-    """Every distinct word of the shard is encoded once, however many blocks have it."""
+    """Every distinct word of the shard is encoded once, however many blocks have it.
+
+    An answer has the number of ids of each word asked for, and the ids, in the order of the question.
+    """
 
     def run(shard: int, blocks: list[int], asked: list[list[str]]) -> Iterator[tuple[int, Any]]:
         table = sorted(set().union(*asked))
-        ids = dict(zip(table, encode_words(table, path)))
+        number = dict(zip(table, range(len(table))))
+        lengths, ids = encode_words(table, path)
+        starts = np.cumsum(lengths) - lengths
         for block, words in zip(blocks, asked):
-            lengths = np.array([len(ids[w]) for w in words], np.uint32)
-            yield block, (words, lengths, np.array([i for w in words for i in ids[w]], np.uint32))
+            at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            yield block, (lengths[at].astype(np.uint32), ids[gather(starts[at], lengths[at])])
 
     return run
 
 
-def encoded(docs: list[Document], told: dict[int, Any]) -> Iterator[np.ndarray]:
+def encoded(docs: list[Document], told: dict[int, Any], n_shards: int) -> Iterator[np.ndarray]:
     """The ids of each document, joined by the position of its words."""
-    code: dict[str, int] = {}
-    for words, _, _ in told.values():
-        code.update(zip(words, range(len(code), len(code) + len(words))))
-    none = np.zeros(0, np.uint32)
-    lengths = np.concatenate([none, *(n for _, n, _ in told.values())]).astype(np.int64)
-    ids = np.concatenate([none, *(i for _, _, i in told.values())])
-    starts = np.cumsum(lengths) - lengths
-    group: list[np.ndarray] = []
-    held = 0
-
-    def joined() -> Iterator[np.ndarray]:
-        codes = np.concatenate(group)
-        sizes = lengths[codes]
-        flat = ids[gather(starts[codes], sizes)]
-        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([len(g) for g in group])]
-        yield from np.split(flat, ends[:-1])
-
-    for doc in docs:
-        words = WORD.findall(doc.text)
-        group.append(np.fromiter(map(code.__getitem__, words), np.int64, len(words)))
-        held += len(words)
-        if held > GROUP_WORDS:
-            yield from joined()
-            group, held = [], 0
-    if group:
-        yield from joined()
+    found = split(docs, n_shards)
+    lengths, starts = np.zeros(len(found.words), np.int64), np.zeros(len(found.words), np.int64)
+    ids, held = [np.zeros(0, np.uint32)], 0
+    for shard, at in found.shards:
+        sizes, flat = told[shard]
+        lengths[at] = sizes
+        starts[at] = held + np.cumsum(sizes, dtype=np.int64) - sizes
+        ids.append(flat)
+        held += len(flat)
+    joined = np.concatenate(ids)
+    lengths, starts = lengths[found.rank], starts[found.rank]
+    for codes in found.parts:
+        yield joined[gather(starts[codes], lengths[codes])]
 
 
 def round_trip(blocks: Blocks, path: str, row, schema: str) -> DataFrame:
-    answers = settle(ask(blocks, questions(blocks.count)), word_table(path))
+    n_shards = blocks.count
+    answers = settle(ask(blocks, questions(n_shards)), word_table(path))
 
     def work(_: int, docs: list[Document], told: dict[int, Any]) -> Iterator[tuple]:
-        for ids in encoded(docs, told):
+        for ids in encoded(docs, told, n_shards):
             yield row(ids)
 
     return finish(blocks, answers, work, schema)

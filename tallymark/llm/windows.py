@@ -16,7 +16,7 @@ MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 class Codes(dict):
     """Numbers words in the order in which they are first seen."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         self[word] = code = len(self)
         return code
 
