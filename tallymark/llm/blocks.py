@@ -30,13 +30,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import text_key, texts
+from tallymark.llm.common import in_batches, text_key, texts
 
 BLOCK_BYTES = 8 << 20
 
 BLOCK_SCHEMA = "block int, payload binary"
 ASK_SCHEMA = "shard int, block int, payload binary"
-ANSWER_SCHEMA = "block int, payload binary"
+ANSWER_SCHEMA = "block int, shard int, payload binary"
 
 
 def pack(value: Any, level: int = 3) -> bytes:
@@ -93,7 +93,7 @@ def into_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Blocks:
                 [pa.array(packed.keys(), pa.int32()), pa.array(packed.values(), pa.binary())], ["block", "payload"]
             )
 
-    return Blocks(narrow.mapInArrow(run, BLOCK_SCHEMA), len(cuts) + 1)
+    return Blocks(in_batches(narrow).mapInArrow(run, BLOCK_SCHEMA), len(cuts) + 1)
 
 
 def documents_of(table: pa.Table) -> list[Document]:
@@ -105,33 +105,31 @@ def documents_of(table: pa.Table) -> list[Document]:
     return [Document(*place, *merged[place]) for place in sorted(merged)]
 
 
-def ask(blocks: Blocks, questions: Callable[[list[Document]], Iterable[tuple[int, Any]]]) -> DataFrame:
-    """Each block's packs for the shards: ``questions`` yields (shard, value)."""
+def ask(blocks: Blocks, questions: Callable[[int, list[Document]], Iterable[tuple[int, Any]]]) -> DataFrame:
+    """Each block's packs for the shards: ``questions`` gets the block's number and yields (shard, value)."""
 
     def run(key, table):
-        asked = [(shard, pack(value)) for shard, value in questions(documents_of(table))]
         block = key[0].as_py()
-        return pa.table(
-            {
-                "shard": pa.array([s for s, _ in asked], pa.int32()),
-                "block": pa.array([block] * len(asked), pa.int32()),
-                "payload": pa.array([p for _, p in asked], pa.binary()),
-            }
-        )
+        asked = [(shard, block, pack(value)) for shard, value in questions(block, documents_of(table))]
+        return packed(asked, ("shard", "block"))
 
     return blocks.rows.groupBy("block").applyInArrow(run, ASK_SCHEMA)
 
 
+def packed(rows: list[tuple[int, int, bytes]], names: tuple[str, str]) -> pa.Table:
+    first, second, payload = zip(*rows) if rows else ((), (), ())
+    return pa.table(
+        {names[0]: pa.array(first, pa.int32()), names[1]: pa.array(second, pa.int32()), "payload": pa.array(payload, pa.binary())}
+    )
+
+
 def settle(asked: DataFrame, answers: Callable[[int, list[int], list[Any]], Iterable[tuple[int, Any]]]) -> DataFrame:
     """Each shard's answers: ``answers`` gets the blocks in order and their values, and yields (block, value)."""
 
     def run(key, table):
-        table = table.sort_by("block")
+        shard, table = key[0].as_py(), table.sort_by("block")
         at, values = table.column("block").to_pylist(), [unpack(p.as_py()) for p in table.column("payload")]
-        told = [(block, pack((key[0].as_py(), value))) for block, value in answers(key[0].as_py(), at, values)]
-        return pa.table(
-            {"block": pa.array([b for b, _ in told], pa.int32()), "payload": pa.array([p for _, p in told], pa.binary())}
-        )
+        return packed([(block, shard, pack(value)) for block, value in answers(shard, at, values)], ("block", "shard"))
 
     return asked.groupBy("shard").applyInArrow(run, ANSWER_SCHEMA)
 
@@ -149,8 +147,10 @@ def finish(
     def run(key, left, right):
         docs = documents_of(left)
         values = [unpack(p.as_py()) for p in right.column("payload")]
-        kinds = right.column("kind").to_pylist() if "kind" in right.schema.names else [None] * len(values)
-        told = {shard if kind is None else (kind, shard): value for kind, (shard, value) in zip(kinds, values)}
+        places = right.column("shard").to_pylist()
+        if "kind" in right.schema.names:
+            places = list(zip(right.column("kind").to_pylist(), places))
+        told = dict(zip(places, values))
         rows = [(d.id, *row) for d, row in zip(docs, work(key[0].as_py(), docs, told), strict=True) for _ in range(d.copies)]
         columns = list(zip(*rows)) if rows else [() for _ in fields]
         arrow = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}

@@ -100,7 +100,7 @@ def split(docs: Sequence[Document], n_shards: int) -> Split:
 
 
 def questions(n_shards: int):
-    def run(docs: list[Document]) -> Iterator[tuple[int, list[str]]]:
+    def run(_: int, docs: list[Document]) -> Iterator[tuple[int, list[str]]]:
         found = split(docs, n_shards)
         for shard, at in found.shards:
             yield shard, [found.words[i] for i in at]

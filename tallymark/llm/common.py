@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from tallymark.session import checkpoint_dir
 # The white space that separates words.
 SPACE = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+# Spark bounds batches by rows alone unless this is set.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,21 +65,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once to the shared folder and go on from there: no lineage, no second computation."""
-    path = scratch_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def quoted(names: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{n.replace('`', '``')}`") for n in names]
+def drop_finished_shuffles(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of finished jobs when the driver collects its garbage; this asks for it.
+
+    For use after a large step, so that the disks hold the files of one step instead of all. What the session still
+    notes about the last job goes with the next one, so a tiny job runs in between.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        spark.range(1).count()
 
 
-def per_batch(fn: Callable) -> Callable[[Iterable], Iterable]:
-    """``fn`` of one Arrow batch to one Arrow batch, as mapInArrow wants it."""
+def quoted(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{n.replace('`', '``')}`") for n in names]
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
 
-    return run
+def in_batches(df: DataFrame) -> DataFrame:
+    """The same rows; what goes to Python workers goes in batches of bounded size, however long the texts are."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import free_names
+from tallymark.llm.common import free_names, in_batches
 
 WINDOW = 13
 # Hit words times this reach the number of words: contaminated.
@@ -225,7 +225,7 @@ def find_hits(
     empty = {to.mask: F.lit(None).cast("binary"), to.items: F.array().cast("array<string>"), to.n_words: zero, to.n_hit: zero}
     out = docs.withColumns(empty)
     for shard in list(shards(benchmark, window, limit)) or [()]:
-        out = out.mapInArrow(_matcher(shard, window, to), out.schema)
+        out = in_batches(out).mapInArrow(_matcher(shard, window, to), out.schema)
     return out
 
 
@@ -273,4 +273,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: in
                 columns["text"] = pa.array([cut(t, m, window) if m else t for t, m in pairs], pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return kept.drop(to.n_hit).mapInArrow(run, docs.schema)
+    return in_batches(kept.drop(to.n_hit)).mapInArrow(run, docs.schema)

@@ -14,7 +14,7 @@ positions of a block are traversed side by side, since the state only depends on
 
 The model grows with the corpus, so it is never in one place. Blocks send their distinct bigrams, with training
 counts, to the shards of the bigram; a shard adds up the counts, answers each block for the bigrams it asked for, and
-credits the mass of each arc to one block that has its context. Blocks then send their distinct words with counts
+credits the mass of each arc to one block that has its context. The distinct words of each block then go with counts
 and credits to the shards of the word, which answer with c(w) and the arcs' mass. Each block so receives the part of
 the automaton that its documents can reach. A word or bigram that fills a third of the corpus is one entry per block.
 
@@ -35,11 +35,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.blocks import (
-    ANSWER_SCHEMA, ASK_SCHEMA, BLOCK_BYTES, Blocks, Document, ask, documents_of, finish, into_blocks, pack, settle, unpack,
-)
-from tallymark.llm.common import stage
-from tallymark.llm.windows import Words, expand, mix, read_words, shard_edges, squeeze
+from tallymark.llm.blocks import ASK_SCHEMA, BLOCK_BYTES, Document, ask, finish, into_blocks, pack, packed, settle, unpack
+from tallymark.llm.common import drop_finished_shuffles, stage
+from tallymark.llm.windows import Words, distinct, expand, joined, mix, planes, read_words, shard_edges, squeeze
 
 # Marks that no word can be, since words hold no white space.
 BEGIN, END = b" begin", b" end"
@@ -75,7 +73,7 @@ def read(docs: list[Document]) -> Read:
 
 
 class Table(NamedTuple):
-    """Distinct keys in order, the entry of each position, and the training count of each key."""
+    """Distinct keys in order, the entry of each position, the training count of each key, and one of its positions."""
 
     keys: np.ndarray
     of: np.ndarray
@@ -83,13 +81,8 @@ class Table(NamedTuple):
     first: np.ndarray
 
 
-def table(keys: np.ndarray, weight: np.ndarray) -> Table:
-    distinct, first, of = np.unique(keys, return_index=True, return_inverse=True)
-    return Table(distinct, of, np.bincount(of, weight, len(distinct)).astype(np.int64), first)
-
-
 def word_table(tokens: Read) -> Table:
-    """The words of a block in order of their hashes; the begin mark counts training documents."""
+    """The words of a block in order of their hashes, by code; the begin mark counts training documents."""
     hashes = tokens.words.hashes
     order = np.argsort(hashes)
     of = np.empty(len(order), np.int64)
@@ -101,35 +94,54 @@ def word_table(tokens: Read) -> Table:
 
 
 def bigram_table(tokens: Read) -> Table:
+    """Bigrams by 56-bit hashes."""
     hashes = tokens.words.hashes
-    return table(mix(hashes[tokens.before] * np.uint64(0x9FB21C651E98DF25) + hashes[tokens.words.codes]), tokens.weight)
+    mixed = mix(hashes[tokens.before] * np.uint64(0x9FB21C651E98DF25) + hashes[tokens.words.codes])
+    found = distinct(mixed & np.uint64(0xFFFFFFFFFFFFFF00))
+    counts = np.bincount(found.of, tokens.weight, len(found.keys)).astype(np.int64)
+    return Table(found.keys, found.of, counts, found.first)
 
 
 def bigram_questions(n_shards: int):
-    """Bigrams with their training counts and their context as a number in the block's word table."""
+    """To each shard its bigrams with their training counts and contexts; and to a place of the block's own its words.
+
+    A context is the rank of its word by number of occurrences in the block, so most of these numbers are small.
+    """
 
-    def run(docs: list[Document]) -> Iterator[tuple[int, Any]]:
+    def run(block: int, docs: list[Document]) -> Iterator[tuple[int, Any]]:
         tokens = read(docs)
-        bigrams = bigram_table(tokens)
-        context = word_table(tokens).of[tokens.before[bigrams.first]].astype(np.uint32)
+        words, bigrams = word_table(tokens), bigram_table(tokens)
+        by_use = np.argsort(-np.bincount(tokens.before, minlength=len(words.keys)), kind="stable")
+        rank = np.empty(len(by_use), np.int64)
+        rank[by_use] = np.arange(len(by_use))
+        yield own_place(block), (squeeze(words.keys), words.counts, words.of[by_use].astype(np.uint32))
+        context = rank[tokens.before[bigrams.first]]
         edges = shard_edges(bigrams.keys, n_shards)
         for shard in np.flatnonzero(np.diff(edges)):
             part = slice(edges[shard], edges[shard + 1])
-            yield int(shard), (squeeze(bigrams.keys[part]), bigrams.counts[part].astype(np.uint32), context[part])
+            yield int(shard), (squeeze(bigrams.keys[part]), planes(bigrams.counts[part]), planes(context[part]))
 
     return run
 
 
+def own_place(block: int) -> int:
+    """A shard number that only this block writes to; what it sends there comes back as it is."""
+    return -1 - block
+
+
 def grouped(keys: list[np.ndarray], *values: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """Entry of each key in the joint table, the sums of the values by entry, and the first position of each entry."""
-    distinct, first, of = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    return of, [np.bincount(of, np.concatenate(v), len(distinct)) for v in values], first
+    found = distinct(np.concatenate(keys))
+    return found.of, [np.bincount(found.of, np.concatenate(v), len(found.keys)) for v in values], found.first
 
 
 def settle_bigrams(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[tuple[int, Any]]:
     """To each block: the corpus count of each bigram asked for (0 if not kept), and the credits of its contexts."""
-    keys = [expand(planes) for planes, _, _ in asked]
-    of, (counts,), first = grouped(keys, [c for _, c, _ in asked])
+    if shard < 0:
+        yield from zip(blocks, asked)
+        return
+    keys = [expand(k) for k, _, _ in asked]
+    of, (counts,), first = grouped(keys, [joined(c) for _, c, _ in asked])
     kept = counts >= MIN_COUNT
     owns = np.zeros(len(of), bool)
     owns[first[kept]] = True
@@ -137,39 +149,26 @@ def settle_bigrams(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[
     for block, mine, (_, _, context) in zip(blocks, keys, asked):
         entry, own = of[at : at + len(mine)], owns[at : at + len(mine)]
         at += len(mine)
-        contexts, place = np.unique(context[own], return_inverse=True)
+        contexts, place = np.unique(joined(context)[own], return_inverse=True)
         credit = np.bincount(place, counts[entry[own]] - DISCOUNT, len(contexts))
-        yield block, (np.where(kept, counts, 0)[entry].astype(np.uint32), contexts, credit)
-
+        yield block, (planes(np.where(kept, counts, 0)[entry]), contexts, credit)
 
-def word_questions(blocks: Blocks, credits: DataFrame) -> DataFrame:
-    """Rows for the word shards: each block's words, counts and credited mass."""
-    n_shards = blocks.count
 
-    def words_of(key, held):
-        words = word_table(read(documents_of(held)))
-        return pa.table(
-            {"block": pa.array([key[0].as_py()], pa.int32()), "payload": pa.array([pack((squeeze(words.keys), words.counts))], pa.binary())}
-        )
+def word_questions(answers: DataFrame, n_shards: int) -> DataFrame:
+    """Rows for the word shards: each block's words, counts and credited mass, from what came back to the block."""
 
-    def run(key, held, told):
-        planes, counts = unpack(held.column("payload")[0].as_py())
-        keys, mass = expand(planes), np.zeros(len(counts))
-        for raw in told.column("payload"):
-            _, (_, contexts, credit) = unpack(raw.as_py())
-            mass[contexts] += credit
+    def run(key, table):
+        block = key[0].as_py()
+        values = {s.as_py(): unpack(p.as_py()) for s, p in zip(table.column("shard"), table.column("payload"))}
+        keys, counts, of_rank = values.pop(own_place(block))
+        keys, mass = expand(keys), np.zeros(len(counts))
+        for _, contexts, credit in values.values():
+            mass[of_rank[contexts]] += credit
         edges = shard_edges(keys, n_shards)
         parts = [(int(s), slice(edges[s], edges[s + 1])) for s in np.flatnonzero(np.diff(edges))]
-        return pa.table(
-            {
-                "shard": pa.array([s for s, _ in parts], pa.int32()),
-                "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
-                "payload": pa.array([pack((squeeze(keys[p]), counts[p], mass[p])) for _, p in parts], pa.binary()),
-            }
-        )
+        return packed([(s, block, pack((squeeze(keys[p]), counts[p], mass[p]))) for s, p in parts], ("shard", "block"))
 
-    lists = blocks.rows.groupBy("block").applyInArrow(words_of, ANSWER_SCHEMA)
-    return lists.groupBy("block").cogroup(credits.groupBy("block")).applyInArrow(run, ASK_SCHEMA)
+    return answers.groupBy("block").applyInArrow(run, ASK_SCHEMA)
 
 
 # The block number under which a word shard reports its totals.
@@ -178,7 +177,7 @@ TOTALS = -1
 
 def settle_words(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[tuple[int, Any]]:
     """To each block: count and mass of its words; and the shard's tokens and distinct words."""
-    keys = [expand(planes) for planes, _, _ in asked]
+    keys = [expand(k) for k, _, _ in asked]
     of, (counts, mass), first = grouped(keys, [c for _, c, _ in asked], [m for _, _, m in asked])
     words = np.concatenate(keys)[first] != BEGIN_HASH
     yield TOTALS, (int(counts[words].sum()), int((counts[words] > 0).sum()))
@@ -221,11 +220,15 @@ SCHEMA = (
 
 def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: the split, tokens, known tokens, training tokens, and the log10 probabilities of both models."""
+    spark = docs.sparkSession
     blocks = into_blocks(docs, block_bytes)
     pairs = stage(settle(ask(blocks, bigram_questions(blocks.count)), settle_bigrams), "bigram-answers")
-    words = stage(settle(word_questions(blocks, pairs), settle_words), "word-answers")
+    word_rows = settle(word_questions(pairs, blocks.count), settle_words)
+    drop_finished_shuffles(spark)
+    words = stage(word_rows, "word-answers")
     n, v = _totals(words)
-    answers = pairs.withColumn("kind", F.lit(0)).unionByName(
+    drop_finished_shuffles(spark)
+    answers = pairs.filter("shard >= 0").withColumn("kind", F.lit(0)).unionByName(
         words.filter(F.col("block") != TOTALS).withColumn("kind", F.lit(1))
     )
 
@@ -234,7 +237,7 @@ def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         vocabulary, bigrams = word_table(tokens), bigram_table(tokens)
         known = [told[1, s] for s in sorted(s for kind, s in told if kind == 1)]
         counts, mass = (np.concatenate(part) for part in zip(*known))
-        kept = np.concatenate([told[0, s][0] for s in sorted(s for kind, s in told if kind == 0)])
+        kept = np.concatenate([joined(told[0, s][0]) for s in sorted(s for kind, s in told if kind == 0)])
         word, state = vocabulary.of[tokens.words.codes], vocabulary.of[tokens.before]
         machine = automaton(counts, mass, n, v, kept.astype(np.float64), state[bigrams.first], word[bigrams.first])
         weights = traverse(machine, state, word, bigrams.of)
@@ -252,7 +255,7 @@ def _totals(words: DataFrame) -> tuple[int, int]:
 
     def run(batches):
         for batch in batches:
-            values = [unpack(p.as_py())[1] for p in batch.column("payload")]
+            values = [unpack(p.as_py()) for p in batch.column("payload")]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in values], pa.int64()) for i in (0, 1)], ["n", "v"])
 
     row = words.filter(F.col("block") == TOTALS).mapInArrow(run, "n long, v long").agg(F.sum("n"), F.sum("v")).first()

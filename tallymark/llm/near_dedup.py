@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import SPACE, free_names, quoted, stage, text_key, texts
+from tallymark.llm.common import SPACE, free_names, in_batches, quoted, stage, text_key, texts
 from tallymark.llm.components import components
 from tallymark.llm.windows import STEP, mix
 
@@ -101,13 +101,14 @@ def sketches(docs: DataFrame, rows: int = ROWS, n: int = COLLECTIONS, width: int
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 keys.append(collections(found, odd, add, n).tolist() if len(found) else None)
+            found = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                [batch.column("doc_id"), batch.column("key"), *found],
                 ["doc_id", "key", "n_shingles", "digest", "collections"],
             )
 
     rows_in = texts(docs).select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("key"), "text")
-    return rows_in.mapInArrow(
+    return in_batches(rows_in).mapInArrow(
         run, "doc_id long, key long, n_shingles long, digest binary, collections array<long>"
     )
 
@@ -159,8 +160,10 @@ class Groups:
         return self.up
 
 
-def confirm(nodes: list[int], groups: list[int], keys: np.ndarray, sets: list[np.ndarray], against: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect candidates of different groups; positions in ``against`` meet all others, these not each other."""
+def confirm(
+    nodes: list[int], groups: list[int], keys: np.ndarray, sets: list[np.ndarray], against: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Links that connect candidates of different groups. Positions in ``against`` meet all others, these not each other."""
     state = Groups(len(nodes))
     first: dict[int, int] = {}
     for i, group in enumerate(groups):
@@ -168,7 +171,8 @@ def confirm(nodes: list[int], groups: list[int], keys: np.ndarray, sets: list[np
     links = []
     for x in np.flatnonzero(against):
         common = (keys == keys[x]).sum(axis=1)
-        others = np.flatnonzero((common >= 2) & (~against | (np.arange(len(nodes)) < x)) & (state.roots() != state.find(x)))
+        apart = state.roots() != state.find(x)
+        others = np.flatnonzero((common >= 2) & (~against | (np.arange(len(nodes)) < x)) & apart)
         for y in others[np.argsort(-common[others], kind="stable")]:
             if state.find(x) != state.find(y) and is_linked(sets[x], sets[y], percent):
                 state.join(x, y)

@@ -23,6 +23,8 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallymark.llm.common import in_batches
+
 KINDS = ("email", "ip", "card", "phone")
 
 # The detectors' patterns.
@@ -268,7 +270,7 @@ def report(docs: DataFrame) -> DataFrame:
 
     columns = ", ".join(f"{c} long" for c in counts)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(
         run, f"doc_id {id_type}, {columns}, base_sha256 string, spans string, n_added long"
     )
 
@@ -293,4 +295,4 @@ def redact(docs: DataFrame) -> DataFrame:
             columns = [texts if n == "text" else batch.column(i) for i, n in enumerate(batch.schema.names)]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)

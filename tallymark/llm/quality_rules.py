@@ -41,10 +41,6 @@ LIMITS = {
 }
 
 
-def n_lines(text: Column) -> Column:
-    return F.size(lines_of(text))
-
-
 def lines_of(text: Column) -> Column:
     """Lines with at least one word."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.trim(line, F.lit(SPACE)) != "")

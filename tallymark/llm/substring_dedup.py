@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from tallymark.llm.blocks import BLOCK_BYTES, Blocks, Document, ask, finish, into_blocks, settle
-from tallymark.llm.windows import Words, expand, inside, read_words, shard_edges, squeeze, window_hashes
+from tallymark.llm.windows import Words, distinct, expand, inside, read_words, shard_edges, squeeze, window_hashes
 
 WIDTH = 20
 
@@ -39,7 +39,7 @@ class Index(NamedTuple):
     has, and the first place of each."""
 
     starts: np.ndarray
-    distinct: np.ndarray
+    keys: np.ndarray
     of: np.ndarray
     first: np.ndarray
 
@@ -47,8 +47,7 @@ class Index(NamedTuple):
 def index(words: Words, width: int) -> Index:
     starts = np.flatnonzero(inside(words.bounds, width))
     hashes = window_hashes(words.hashes[words.codes], width)[starts]
-    distinct, first, of = np.unique(hashes, return_index=True, return_inverse=True)
-    return Index(starts, distinct, of, first)
+    return Index(starts, *distinct(hashes))
 
 
 def block_words(docs: list[Document]) -> Words:
@@ -56,11 +55,11 @@ def block_words(docs: list[Document]) -> Words:
 
 
 def questions(n_shards: int, width: int):
-    def run(docs: list[Document]) -> Iterator[tuple[int, np.ndarray]]:
-        distinct = index(block_words(docs), width).distinct
-        edges = shard_edges(distinct, n_shards)
+    def run(_: int, docs: list[Document]) -> Iterator[tuple[int, np.ndarray]]:
+        keys = index(block_words(docs), width).keys
+        edges = shard_edges(keys, n_shards)
         for shard in np.flatnonzero(np.diff(edges)):
-            yield int(shard), squeeze(distinct[edges[shard] : edges[shard + 1]])
+            yield int(shard), squeeze(keys[edges[shard] : edges[shard + 1]])
 
     return run
 

@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import SPACE, SPACE_CLASS, scratch_path, texts
+from tallymark.llm.common import SPACE, SPACE_CLASS, in_batches, scratch_path, texts
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 # Runs that a worker remembers with their counts, and the longest that it does, in bytes.
@@ -33,6 +34,8 @@ REMEMBERED, LONGEST = 500_000, 64
 
 @functools.cache
 def tokenizer(path: str):
+    # A task has one core; the library's own threads would also keep memory of their own.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     loaded = Tokenizer.from_file(path)
@@ -116,7 +119,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
     known = texts(docs).withColumn("content", content_digest(F.col("text")))
     distinct = known.groupBy("content").agg(F.first("text").alias("text"))
     misses = distinct.join(cached_counts(spark, cache, digest).select("content"), "content", "left_anti")
-    encoded = misses.select("content", "text").mapInArrow(encoder(tokenizer_path), "content binary, n_tokens long")
+    encoded = in_batches(misses.select("content", "text")).mapInArrow(encoder(tokenizer_path), "content binary, n_tokens long")
     encoded.select("content", F.lit(digest).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
     rows = known.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content")
     return rows.join(cached_counts(spark, cache, digest), "content").select("doc_id", "n_bytes", "n_tokens")

@@ -48,6 +48,26 @@ def read_words(documents: Iterable[Sequence[bytes]]) -> Words:
     return Words(np.concatenate([np.zeros(0, np.int32), *parts]), bounds, vocabulary, hashes)
 
 
+class Distinct(NamedTuple):
+    """Distinct keys in order, the entry of each position, and the first position of each entry."""
+
+    keys: np.ndarray
+    of: np.ndarray
+    first: np.ndarray
+
+
+def distinct(keys: np.ndarray) -> Distinct:
+    if not len(keys):
+        return Distinct(keys, np.zeros(0, np.int64), np.zeros(0, np.int64))
+    order = np.argsort(keys)
+    ordered = keys[order]
+    begins = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    of = np.empty(len(keys), np.int64)
+    of[order] = np.cumsum(begins) - 1
+    starts = np.flatnonzero(begins)
+    return Distinct(ordered[starts], of, np.minimum.reduceat(order, starts))
+
+
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of each window of ``width`` consecutive values, by prefix sums modulo 2**64."""
     n = len(hashes) - width + 1
@@ -87,3 +107,12 @@ def squeeze(ordered: np.ndarray) -> np.ndarray:
 
 def expand(planes: np.ndarray) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def planes(numbers: np.ndarray) -> np.ndarray:
+    """32-bit numbers as byte planes, of which the upper ones are nearly empty if most numbers are small."""
+    return numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.copy()
+
+
+def joined(byte_planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(byte_planes.T).view(np.uint32).ravel()
