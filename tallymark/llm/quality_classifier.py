@@ -28,12 +28,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import stage, texts
+from tallymark.llm.common import in_batches, stage, texts
 
 TARGETS = ("quality", "toxic")
 MAX_LABELLED = 20_000
-# Features with a smaller root of the likelihood-ratio statistic have no weight.
-LEAST_ROOT = 5.0
+# Features with a smaller root of the likelihood-ratio statistic have no weight. The second bound grows with the fit: copies
+# of one document make its words look telling in proportion to the labels seen.
+LEAST_ROOT, ROOT_PER_LABEL = 5.0, 0.1
+# So many of the strongest features on either side make up the evidence, so that a long text does not drown it.
+STRONGEST = 5
 SMOOTHING = 0.5
 # Bounds of the prior strength in documents.
 STRENGTH = (2.0, 1e6)
@@ -134,7 +137,7 @@ def feature_counts(sample: DataFrame) -> DataFrame:
             )
 
     schema = "feature long, " + ", ".join(f"{s} double" for s in sides)
-    partial = sample.filter("fits").select("text", *TARGETS).mapInArrow(run, schema)
+    partial = in_batches(sample.filter("fits").select("text", *TARGETS)).mapInArrow(run, schema)
     return partial.groupBy("feature").agg(*[F.sum(s).alias(s) for s in sides])
 
 
@@ -149,40 +152,59 @@ def weights(counts: DataFrame, target: str) -> dict[int, float]:
     surprise = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
     ratio = 2 * (surprise(yes, (yes + no) * share) + surprise(no, (yes + no) * (1 - share)))
     odds = F.log((yes + SMOOTHING) / (all_yes + 2 * SMOOTHING)) - F.log((no + SMOOTHING) / (all_no + 2 * SMOOTHING))
-    clear = counts.filter((F.col("feature") >= 0) & (yes + no > 0)).filter(ratio >= LEAST_ROOT**2)
+    least = max(LEAST_ROOT, ROOT_PER_LABEL * (all_yes + all_no) ** 0.5)
+    clear = counts.filter((F.col("feature") >= 0) & (yes + no > 0)).filter(ratio >= least**2)
     return {r["feature"]: r["odds"] for r in clear.select("feature", odds.alias("odds")).collect()}
 
 
 def scorer(of: dict[str, dict[int, float]]):
-    """Sum of the feature weights by target, compressed so that long texts do not drown the rest."""
+    """Sum of the strongest feature weights for and against each target, on a compressed scale."""
 
     def run(batches: Iterable[pa.RecordBatch]):
         memory = Remembered(frozenset().union(*of.values()))
         for batch in batches:
             sums: dict[str, list[float]] = {t: [] for t in TARGETS}
             for text in batch.column("text"):
-                found = sorted(memory.of(text.as_py()))
+                found = memory.of(text.as_py())
                 for t in TARGETS:
-                    total = sum(of[t].get(f, 0.0) for f in found)
+                    known = sorted(of[t][f] for f in found if f in of[t])
+                    against, speaks_for = known[:STRONGEST], known[-STRONGEST:]
+                    total = sum(w for w in against if w < 0) + sum(w for w in speaks_for if w > 0)
                     sums[t].append(float(np.arcsinh(total)))
-            columns = [batch.column(n) for n in batch.schema.names if n != "text"]
-            names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(sums[t], pa.float64()) for t in TARGETS)], [*names, *(f"{t}_sum" for t in TARGETS)])
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "text"}
+            columns |= {f"{t}_sum": pa.array(sums[t], pa.float64()) for t in TARGETS}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
 def calibrate(sums: np.ndarray, marks: np.ndarray) -> tuple[float, float, float]:
-    """Slope and shift of a logistic curve by Newton steps with a small ridge, and the share of positives."""
+    """Slope and shift of a logistic curve, and the share of positives.
+
+    Newton steps on the penalised loss, halved until they lower it, so separable marks are no trouble.
+    """
     prior = float(np.clip(marks.mean(), 1e-3, 1 - 1e-3)) if len(marks) else 0.5
-    x = np.stack([sums, np.ones(len(sums))], axis=1)
-    b = np.array([0.0, np.log(prior / (1 - prior))])
-    for _ in range(50 if len(marks) else 0):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
-        step = np.linalg.solve(curve, x.T @ (marks - p) - 1e-2 * b)
-        b = b + np.clip(step, -2, 2)
-    return float(max(b[0], 0.0)), float(b[1]) if b[0] > 0 else float(np.log(prior / (1 - prior))), prior
+    flat = (0.0, float(np.log(prior / (1 - prior))), prior)
+    if not len(marks) or np.ptp(sums) == 0:
+        return flat
+    middle, scale = sums.mean(), sums.std()
+    x = np.stack([(sums - middle) / scale, np.ones(len(sums))], axis=1)
+    ridge = np.array([1e-2, 0.0])
+    loss = lambda b: float(np.logaddexp(0, x @ b).sum() - marks @ (x @ b) + (ridge * b * b).sum() / 2)
+    b = np.array([0.0, flat[1]])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -500, 500)))
+        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-6)
+        step = np.linalg.solve(curve, x.T @ (marks - p) - ridge * b)
+        while loss(b + step) > loss(b) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        b = b + step
+        if np.abs(step).max() < 1e-7:
+            break
+    if b[0] <= 0:
+        return flat
+    slope = b[0] / scale
+    return float(slope), float(b[1] - slope * middle), prior
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> dict[str, Head]:
@@ -195,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> dict[s
     found = {t: weights(counts, t) for t in TARGETS}
     others = sample.filter("not fits").select("text", *TARGETS)
     fields = "quality double, toxic double, quality_sum double, toxic_sum double"
-    rows = others.mapInArrow(scorer(found), fields).collect()
+    rows = in_batches(others).mapInArrow(scorer(found), fields).collect()
     heads = {}
     for t in TARGETS:
         known = [(r[f"{t}_sum"], r[t]) for r in rows if r[t] is not None]
@@ -234,8 +256,10 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, section: Column, lim
         F.coalesce(section.cast("string"), F.lit("")).alias("section"), F.coalesce("text", F.lit("")).alias("text"),
     )
     sums = ", ".join(f"{t}_sum double" for t in TARGETS)
-    scored = narrow.mapInArrow(scorer({t: h.weights for t, h in heads.items()}), f"doc_id long, host string, section string, {sums}")
-    known = labels.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(*[F.avg(F.col(t).cast("double")).alias(f"{t}_label") for t in TARGETS])
+    weigh = scorer({t: h.weights for t, h in heads.items()})
+    scored = in_batches(narrow).mapInArrow(weigh, f"doc_id long, host string, section string, {sums}")
+    means = [F.avg(F.col(t).cast("double")).alias(f"{t}_label") for t in TARGETS]
+    known = labels.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(*means)
     scored = stage(scored, "evidence")
     rows = scored.join(known, scored["doc_id"] == known["label_id"], "left").drop("label_id")
     for t, head in heads.items():
@@ -256,7 +280,9 @@ def with_sites(rows: DataFrame) -> DataFrame:
     everything = hosts.agg(F.sum("host_n"), *[F.sum(f"{t}_host_yes") for t in TARGETS]).first()
     sites = paths.join(hosts, "host")
     clip = lambda p: F.greatest(F.lit(1e-4), F.least(F.lit(1 - 1e-4), p))
-    joined = rows.join(sites.select("host", "section", "n", "host_n", *[F.col(f"{t}_yes").alias(f"{t}_path_yes") for t in TARGETS], *[f"{t}_host_yes" for t in TARGETS]), ["host", "section"])
+    path_sums = [F.col(f"{t}_yes").alias(f"{t}_path_yes") for t in TARGETS]
+    known = sites.select("host", "section", "n", "host_n", *path_sums, *[f"{t}_host_yes" for t in TARGETS])
+    joined = rows.join(known, ["host", "section"])
     out = []
     for i, t in enumerate(TARGETS):
         rate = float(np.clip((everything[i + 1] or 0.0) / (everything[0] or 1.0), 1e-4, 1 - 1e-4))

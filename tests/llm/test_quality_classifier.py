@@ -15,12 +15,12 @@ def tables(spark):
 
 
 def test_held_out_accuracy(tables):
-    """The fit sees at most 2000 of the labelled documents; the others are judged."""
+    """The fit sees at most 3000 of the labelled documents; the others are judged."""
     docs, labels = tables
-    seen = {r["doc_id"] for r in q.labelled_sample(labels, 2000).collect()}
-    assert len(seen) == 2000
+    seen = {r["doc_id"] for r in q.labelled_sample(labels, 3000).collect()}
+    assert len(seen) == 3000
     known = {r["doc_id"]: r for r in labels.collect() if r["doc_id"] not in seen}
-    rows = [r for r in q.report(docs, labels, 2000).collect() if r["doc_id"] in known]
+    rows = [r for r in q.report(docs, labels, 3000).collect() if r["doc_id"] in known]
     right = lambda t: sum((r[t] > 0.5) == bool(known[r["doc_id"]][t]) for r in rows) / len(rows)
     assert right("quality") > 0.97
     assert right("toxic") > 0.95
