@@ -123,13 +123,15 @@ def packed(rows: list[tuple[int, int, bytes]], names: tuple[str, str]) -> pa.Tab
     )
 
 
-def settle(asked: DataFrame, answers: Callable[[int, list[int], list[Any]], Iterable[tuple[int, Any]]]) -> DataFrame:
-    """Each shard's answers: ``answers`` gets the blocks in order and their values, and yields (block, value)."""
+def settle(
+    asked: DataFrame, answers: Callable[[int, list[int], list[Any]], Iterable[tuple[int, int, Any]]]
+) -> DataFrame:
+    """Each shard's answers: ``answers`` gets the blocks in order and their values, and yields (block, shard, value)."""
 
     def run(key, table):
         shard, table = key[0].as_py(), table.sort_by("block")
         at, values = table.column("block").to_pylist(), [unpack(p.as_py()) for p in table.column("payload")]
-        return packed([(block, shard, pack(value)) for block, value in answers(shard, at, values)], ("block", "shard"))
+        return packed([(block, place, pack(value)) for block, place, value in answers(shard, at, values)], ("block", "shard"))
 
     return asked.groupBy("shard").applyInArrow(run, ANSWER_SCHEMA)
 

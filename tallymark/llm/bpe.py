@@ -114,14 +114,14 @@ def word_table(path: str):
     An answer has the number of ids of each word asked for, and the ids, in the order of the question.
     """
 
-    def run(shard: int, blocks: list[int], asked: list[list[str]]) -> Iterator[tuple[int, Any]]:
+    def run(shard: int, blocks: list[int], asked: list[list[str]]) -> Iterator[tuple[int, int, Any]]:
         table = sorted(set().union(*asked))
         number = dict(zip(table, range(len(table))))
         lengths, ids = encode_words(table, path)
         starts = np.cumsum(lengths) - lengths
         for block, words in zip(blocks, asked):
             at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            yield block, (lengths[at].astype(np.uint32), ids[gather(starts[at], lengths[at])])
+            yield block, shard, (lengths[at].astype(np.uint32), ids[gather(starts[at], lengths[at])])
 
     return run
 

@@ -94,10 +94,10 @@ def word_table(tokens: Read) -> Table:
 
 
 def bigram_table(tokens: Read) -> Table:
-    """Bigrams by 56-bit hashes."""
+    """Bigrams by 52-bit hashes."""
     hashes = tokens.words.hashes
     mixed = mix(hashes[tokens.before] * np.uint64(0x9FB21C651E98DF25) + hashes[tokens.words.codes])
-    found = distinct(mixed & np.uint64(0xFFFFFFFFFFFFFF00))
+    found = distinct(mixed & np.uint64(0xFFFFFFFFFFFFF000))
     counts = np.bincount(found.of, tokens.weight, len(found.keys)).astype(np.int64)
     return Table(found.keys, found.of, counts, found.first)
 
@@ -135,10 +135,15 @@ def grouped(keys: list[np.ndarray], *values: list[np.ndarray]) -> tuple[np.ndarr
     return found.of, [np.bincount(found.of, np.concatenate(v), len(found.keys)) for v in values], found.first
 
 
-def settle_bigrams(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[tuple[int, Any]]:
+def credit_place(shard: int) -> int:
+    """Where a block gets the credits from a shard, apart from the counts."""
+    return -1_000_000_000 - shard
+
+
+def settle_bigrams(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[tuple[int, int, Any]]:
     """To each block: the corpus count of each bigram asked for (0 if not kept), and the credits of its contexts."""
     if shard < 0:
-        yield from zip(blocks, asked)
+        yield from ((block, shard, value) for block, value in zip(blocks, asked))
         return
     keys = [expand(k) for k, _, _ in asked]
     of, (counts,), first = grouped(keys, [joined(c) for _, c, _ in asked])
@@ -151,7 +156,8 @@ def settle_bigrams(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[
         at += len(mine)
         contexts, place = np.unique(joined(context)[own], return_inverse=True)
         credit = np.bincount(place, counts[entry[own]] - DISCOUNT, len(contexts))
-        yield block, (planes(np.where(kept, counts, 0)[entry]), contexts, credit)
+        yield block, shard, planes(np.where(kept, counts, 0)[entry])
+        yield block, credit_place(shard), (planes(contexts), credit)
 
 
 def word_questions(answers: DataFrame, n_shards: int) -> DataFrame:
@@ -162,30 +168,30 @@ def word_questions(answers: DataFrame, n_shards: int) -> DataFrame:
         values = {s.as_py(): unpack(p.as_py()) for s, p in zip(table.column("shard"), table.column("payload"))}
         keys, counts, of_rank = values.pop(own_place(block))
         keys, mass = expand(keys), np.zeros(len(counts))
-        for _, contexts, credit in values.values():
-            mass[of_rank[contexts]] += credit
+        for contexts, credit in values.values():
+            mass[of_rank[joined(contexts)]] += credit
         edges = shard_edges(keys, n_shards)
         parts = [(int(s), slice(edges[s], edges[s + 1])) for s in np.flatnonzero(np.diff(edges))]
         return packed([(s, block, pack((squeeze(keys[p]), counts[p], mass[p]))) for s, p in parts], ("shard", "block"))
 
-    return answers.groupBy("block").applyInArrow(run, ASK_SCHEMA)
+    return answers.filter("shard < 0").groupBy("block").applyInArrow(run, ASK_SCHEMA)
 
 
 # The block number under which a word shard reports its totals.
 TOTALS = -1
 
 
-def settle_words(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[tuple[int, Any]]:
+def settle_words(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[tuple[int, int, Any]]:
     """To each block: count and mass of its words; and the shard's tokens and distinct words."""
     keys = [expand(k) for k, _, _ in asked]
     of, (counts, mass), first = grouped(keys, [c for _, c, _ in asked], [m for _, _, m in asked])
     words = np.concatenate(keys)[first] != BEGIN_HASH
-    yield TOTALS, (int(counts[words].sum()), int((counts[words] > 0).sum()))
+    yield TOTALS, shard, (int(counts[words].sum()), int((counts[words] > 0).sum()))
     at = 0
     for block, mine in zip(blocks, keys):
         entry = of[at : at + len(mine)]
         at += len(mine)
-        yield block, (counts[entry].astype(np.int64), mass[entry])
+        yield block, shard, (counts[entry].astype(np.int64), mass[entry])
 
 
 class Automaton(NamedTuple):
@@ -237,7 +243,7 @@ def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         vocabulary, bigrams = word_table(tokens), bigram_table(tokens)
         known = [told[1, s] for s in sorted(s for kind, s in told if kind == 1)]
         counts, mass = (np.concatenate(part) for part in zip(*known))
-        kept = np.concatenate([joined(told[0, s][0]) for s in sorted(s for kind, s in told if kind == 0)])
+        kept = np.concatenate([joined(told[0, s]) for s in sorted(s for kind, s in told if kind == 0)])
         word, state = vocabulary.of[tokens.words.codes], vocabulary.of[tokens.before]
         machine = automaton(counts, mass, n, v, kept.astype(np.float64), state[bigrams.first], word[bigrams.first])
         weights = traverse(machine, state, word, bigrams.of)

@@ -64,7 +64,7 @@ def questions(n_shards: int, width: int):
     return run
 
 
-def earliest_blocks(shard: int, blocks: list[int], asked: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+def earliest_blocks(shard: int, blocks: list[int], asked: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
     """For each window that a block asks for, the earliest block that has it."""
     hashes = [expand(planes) for planes in asked]
     sizes = np.array([len(h) for h in hashes])
@@ -74,7 +74,8 @@ def earliest_blocks(shard: int, blocks: list[int], asked: list[np.ndarray]) -> I
     begins = np.concatenate(([True], ordered[1:] != ordered[:-1]))
     answer = np.empty(len(order), np.int32)
     answer[order] = owner[begins][np.cumsum(begins) - 1]
-    yield from zip(blocks, np.split(answer, np.cumsum(sizes)[:-1]))
+    for block, part in zip(blocks, np.split(answer, np.cumsum(sizes)[:-1])):
+        yield block, shard, part
 
 
 class Factor(NamedTuple):
