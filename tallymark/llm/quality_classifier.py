@@ -28,13 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import in_batches, stage, texts
+from tallymark.llm.common import in_batches, let, stage, texts, words_of
 
 TARGETS = ("quality", "toxic")
 MAX_LABELLED = 20_000
-# Features with a smaller root of the likelihood-ratio statistic have no weight. The second bound grows with the fit: copies
-# of one document make its words look telling in proportion to the labels seen.
-LEAST_ROOT, ROOT_PER_LABEL = 5.0, 0.1
+# Features with a smaller root of the likelihood-ratio statistic have no weight, however many labels there are.
+LEAST_ROOT = 5.0
+# Labelled texts with the same least shingle of so many words count as one.
+SHINGLE = 5
 # So many of the strongest features on either side make up the evidence, so that a long text does not drown it.
 STRONGEST = 5
 SMOOTHING = 0.5
@@ -115,6 +116,24 @@ def labelled_sample(labels: DataFrame, limit: int) -> DataFrame:
     return ranked.select("doc_id", *TARGETS, (F.xxhash64("doc_id", F.lit(1)) % 2 == 0).alias("fits"))
 
 
+def with_copies_once(sample: DataFrame) -> DataFrame:
+    """The rows with ``share``, one over the number of rows whose text has the same least shingle of ``SHINGLE`` words.
+
+    Copies and near copies together so count as one text: else they would make its words look telling in proportion
+    to their number. Each group as a whole fits the weights or the calibration.
+    """
+    hashed = F.transform(words_of(F.lower("text")), lambda w: F.xxhash64(w))
+    starts = lambda w: F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0)))
+    shingle = lambda w: lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)])
+    least = let(hashed, lambda w: F.array_min(F.transform(starts(w), shingle(w))))
+    marked = stage(sample.withColumn("family", least), "families")
+    # Whole parts of a power of two: their sums do not depend on the order of rows.
+    sizes = marked.groupBy("family").agg((F.floor(F.lit(1 << 20) / F.count(F.lit(1))) / F.lit(1 << 20)).alias("share"))
+    # As bounded as the sample.
+    shared = marked.join(F.broadcast(sizes), "family")
+    return shared.select("text", *TARGETS, "share", (F.xxhash64("family", F.lit(1)) % 2 == 0).alias("fits"))
+
+
 def feature_counts(sample: DataFrame) -> DataFrame:
     """(feature, and for each target the labelled documents for and against it that have the feature).
 
@@ -127,8 +146,9 @@ def feature_counts(sample: DataFrame) -> DataFrame:
         for batch in batches:
             sums: dict[int, np.ndarray] = {}
             marks = zip(*(batch.column(t).to_pylist() for t in TARGETS))
-            for text, known in zip(batch.column("text").to_pylist(), marks):
-                adds = np.array([x for y in known for x in ((0, 0) if y is None else (y, 1 - y))], float)
+            rows = zip(batch.column("text").to_pylist(), batch.column("share").to_pylist(), marks)
+            for text, share, known in rows:
+                adds = share * np.array([x for y in known for x in ((0, 0) if y is None else (y, 1 - y))], float)
                 for f in (*memory.of(text), -1):
                     sums[f] = sums[f] + adds if f in sums else adds
             table = np.array(list(sums.values())).reshape(-1, len(sides))
@@ -137,7 +157,7 @@ def feature_counts(sample: DataFrame) -> DataFrame:
             )
 
     schema = "feature long, " + ", ".join(f"{s} double" for s in sides)
-    partial = in_batches(sample.filter("fits").select("text", *TARGETS)).mapInArrow(run, schema)
+    partial = in_batches(sample.filter("fits").select("text", *TARGETS, "share")).mapInArrow(run, schema)
     return partial.groupBy("feature").agg(*[F.sum(s).alias(s) for s in sides])
 
 
@@ -152,8 +172,7 @@ def weights(counts: DataFrame, target: str) -> dict[int, float]:
     surprise = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
     ratio = 2 * (surprise(yes, (yes + no) * share) + surprise(no, (yes + no) * (1 - share)))
     odds = F.log((yes + SMOOTHING) / (all_yes + 2 * SMOOTHING)) - F.log((no + SMOOTHING) / (all_no + 2 * SMOOTHING))
-    least = max(LEAST_ROOT, ROOT_PER_LABEL * (all_yes + all_no) ** 0.5)
-    clear = counts.filter((F.col("feature") >= 0) & (yes + no > 0)).filter(ratio >= least**2)
+    clear = counts.filter((F.col("feature") >= 0) & (yes + no > 0)).filter(ratio >= LEAST_ROOT**2)
     return {r["feature"]: r["odds"] for r in clear.select("feature", odds.alias("odds")).collect()}
 
 
@@ -212,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> dict[s
     chosen = labelled_sample(labels, limit)
     narrow = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     # The sample has at most ``limit`` rows of four numbers, so it may be broadcast.
-    sample = stage(narrow.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "labelled")
+    sample = stage(with_copies_once(narrow.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])), "labelled")
     counts = stage(feature_counts(sample), "feature-counts")
     found = {t: weights(counts, t) for t in TARGETS}
     others = sample.filter("not fits").select("text", *TARGETS)

@@ -90,3 +90,28 @@ def test_edges(spark, documents):
     labels = spark.createDataFrame([(1, 1, None), (1, 0, 0), (None, 1, 1), (7, None, 1)], "doc_id long, quality int, toxic int")
     assert q.report(df, labels).count() == 4
     assert q.report(df.limit(0), labels).count() == 0
+
+
+@pytest.mark.parametrize("scale", [1, 100])
+def test_rare_telling_words_count_at_any_size(spark, scale):
+    """Eight toxic documents and no other one with a word tell as much in 10,000 fitted labels as in 100."""
+    sides = [f"{t}_{side}" for t in q.TARGETS for side in ("yes", "no")]
+    rows = [(-1, 89.0 * scale, 11.0 * scale, 11.0 * scale, 89.0 * scale), (5, 0.0, 0.0, 8.0, 0.0), (6, 0.0, 0.0, 1.0, 0.0)]
+    counts = spark.createDataFrame(rows, ["feature", *sides])
+    assert set(q.weights(counts, "toxic")) == {5} and q.weights(counts, "quality") == {}
+
+
+def test_copies_fit_as_one(spark):
+    """Copies and near copies share one count, on one side of the split; other texts count in full."""
+    rng = random.Random(3)
+    words = lambda: [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    base = words()
+    texts = [" ".join(base)] * 30 + [" ".join([*base[:199], f"z{i}"]) for i in range(10)] + [" ".join(words()) for _ in range(20)]
+    texts += ["", "One two", "one two"]
+    sample = spark.createDataFrame([(i, t, 1.0, 0.0) for i, t in enumerate(texts)], "doc_id long, text string, quality double, toxic double")
+    rows = q.with_copies_once(sample).collect()
+    assert len(rows) == len(texts)
+    copies = [r for r in rows if base[0] in r["text"]]
+    assert sum(r["share"] for r in copies) == pytest.approx(1, abs=1e-4) and len({r["fits"] for r in copies}) == 1
+    others = [r["share"] for r in rows if base[0] not in r["text"] and r["text"].lower() != "one two"]
+    assert others == [1.0] * 21 and [r["share"] for r in rows if r["text"].lower() == "one two"] == [0.5, 0.5]
