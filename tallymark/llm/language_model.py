@@ -94,10 +94,10 @@ def word_table(tokens: Read) -> Table:
 
 
 def bigram_table(tokens: Read) -> Table:
-    """Bigrams by 52-bit hashes."""
+    """Bigrams by 64-bit hashes."""
     hashes = tokens.words.hashes
     mixed = mix(hashes[tokens.before] * np.uint64(0x9FB21C651E98DF25) + hashes[tokens.words.codes])
-    found = distinct(mixed & np.uint64(0xFFFFFFFFFFFFF000))
+    found = distinct(mixed)
     counts = np.bincount(found.of, tokens.weight, len(found.keys)).astype(np.int64)
     return Table(found.keys, found.of, counts, found.first)
 
@@ -206,7 +206,8 @@ class Automaton(NamedTuple):
 def automaton(counts: np.ndarray, mass: np.ndarray, n: int, v: int, pairs: np.ndarray, state: np.ndarray, word: np.ndarray) -> Automaton:
     """``pairs`` are the corpus counts of the bigrams (``state``, ``word``); 0 stands for a bigram without an arc."""
     p = (counts + 1) / (n + v + 1)
-    share = np.where(counts > 0, (counts - mass) / np.maximum(counts, 1), 1.0)
+    # An arc leaves at least its discount; two bigrams with one hash could credit more than their context has.
+    share = np.where(counts > 0, np.maximum(counts - mass, DISCOUNT) / np.maximum(counts, 1), 1.0)
     with np.errstate(divide="ignore"):
         failure = np.log10(share)
     inner = (pairs - DISCOUNT) / np.maximum(counts[state], 1) + share[state] * p[word]

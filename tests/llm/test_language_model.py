@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tallymark.llm import language_model as lm
@@ -59,3 +60,16 @@ def test_held_out_text_is_better_predicted_than_by_words_alone(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [r for r in lm.scores(df).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_bigrams_are_told_apart_by_all_bits():
+    docs = [lm.Document(True, 1, 0, " ".join(f"w{i}" for i in range(100)), 1)]
+    keys = lm.bigram_table(lm.read(docs)).keys
+    assert len(keys) == 101 and (keys & np.uint64(0xFFF)).any()
+
+
+def test_no_score_is_nan_if_two_bigrams_share_a_hash():
+    """Two bigrams seen once with one hash credit 1.25 to a context seen once."""
+    one, none = np.array([1.0]), np.array([0])
+    machine = lm.automaton(one, np.array([1.25]), 5, 3, np.array([2.0]), none, none)
+    assert np.isfinite([machine.empty[0], machine.failure[0], machine.arcs[0]]).all()
