@@ -99,15 +99,18 @@ DISGUISE = re.compile(
     rf"|(?P<dot>{_DOT})"
     rf"|(?P<plus>\bplus[ \t-]{{1,2}}(?={_DIGIT}\b|[0-9]))"
     rf"|(?P<digits>\b{_DIGIT}(?:[ -]{_DIGIT})*+\b)"
-    r"|(?P<zero>(?<=[0-9])[Oo](?=[0-9]))|(?P<one>(?<=[0-9])[Il](?=[0-9]))",
+    r"|(?P<alike>\b(?=[OoIl]*+[0-9])[0-9OoIl]*+\b|(?<=[0-9])[OoIl]++(?=[0-9]))",
     re.I,
 )
 SPELLED = re.compile(rf"{_DIGIT}\b|[ -]", re.I)
+# Letters that stand for digits, in a token of digits and such letters.
+ALIKE = re.compile(r"[OoIiLl]")
 # A text without any of these holds no disguise that could end in a finding.
 HINT = re.compile(
     rf"[\[({{<]{_GAP}(?:{AT_WORDS}|{DOT_WORDS}|@|\.){_GAP}[\])}}>]|[ \t](?:{DOT_WORDS})[ \t]"
     rf"|[ \t](?:{AT_WORDS})[ \t]{{1,3}}{_LABEL}\.[A-Za-z0-9]"
-    rf"|\b{_DIGIT}[ -]{_DIGIT}\b|[0-9][OoIl][0-9]|\bplus[ \t-]{{1,2}}(?:{_DIGIT}\b|[0-9])",
+    rf"|\b{_DIGIT}[ -]{_DIGIT}\b|[0-9][OoIl]|[OoIl][0-9]|\bplus[ \t-]{{1,2}}(?:{_DIGIT}\b|[0-9])"
+    rf"|[0-9+][ ().-]*+\b{_DIGIT}\b|\b{_DIGIT}\b[ ().-]*+(?:[0-9+]|{_DIGIT}\b)",
     re.I,
 )
 
@@ -210,8 +213,11 @@ def disguises(text: str) -> Iterable[tuple[int, int, str]]:
         elif m.lastgroup == "digits":
             for part in SPELLED.finditer(text, m.start(), m.end()):
                 yield part.start(), part.end(), DIGIT_OF.get(part.group().lower(), "")
+        elif m.lastgroup == "alike":
+            for part in ALIKE.finditer(text, m.start(), m.end()):
+                yield part.start(), part.end(), "0" if part.group() in "Oo" else "1"
         else:
-            yield m.start(), m.end(), {"at": "@", "dot": ".", "plus": "+", "zero": "0", "one": "1"}[m.lastgroup]
+            yield m.start(), m.end(), {"at": "@", "dot": ".", "plus": "+"}[m.lastgroup]
 
 
 def normalise(text: str) -> list[Rewritten]:

@@ -88,3 +88,22 @@ def test_report_and_redact(spark, documents):
     assert clean.columns[-1] == "spans" and clean.count() == 5
     assert {r["text"] for r in clean.collect()} == {"é [EMAIL] [EMAIL]", None, "", "[IP] [PHONE]"}
     assert pii.report(documents()).count() == 0 and pii.redact(documents()).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("+1 4 one 5 5 five 5 0 one 2 3", "phone"),
+        ("+1 8OO 555 O199", "phone"),
+        ("+1 8OO 555 019O", "phone"),
+        ("4111 1111 1111 1ll1", "card"),
+        ("4OO0 0000 0000 OOO2", "card"),
+        ("one.two.three.four", "ip"),
+        ("+4    one    5 555 2671", "phone"),
+    ],
+)
+def test_single_spelled_digits_and_runs_of_look_alikes(text, kind):
+    """Nothing else in the text hints at a disguise."""
+    assert pii.find(text) == ([], [pii.Span(kind, 0, len(text))])
+    for long in ("9l" * 200_000 + "x", "O" * 400_000, "one" + " " * 400_000, "1" + "(" * 400_000, "+" * 400_000):
+        pii.find(long)
