@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import bpe, decontaminate, language_model, line_dedup, near_dedup, pii, quality_classifier, quality_rules, substring_dedup, token_counts
+from tallymark.llm import (
+    bpe, decontaminate, filter_audit, language_model, line_dedup, near_dedup, pii, quality_classifier, quality_rules,
+    substring_dedup, token_counts,
+)
 from tallymark.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +184,39 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality_classifier")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+m AS (SELECT r, doc_id, part,
+    CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask FROM w),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id),
+cells AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+    FROM m LEFT JOIN known USING (doc_id) GROUP BY part, mask),
+letter AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(x, bit)),
+perm AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step, (SELECT bit FROM letter WHERE x = filter_order[step]) AS bit,
+    (SELECT coalesce(sum(bit), 0) FROM letter WHERE strpos(filter_order[1:step - 1], x) > 0)::INT AS earlier
+    FROM (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM perm))
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & earlier <> 0), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(n * (120 // bit_count(mask))) FILTER (mask & bit <> 0), 0) AS BIGINT) AS shapley
+FROM cells, steps GROUP BY part, filter_order, step, bit, earlier
+"""
+
+
+@query("op13_filter_audit", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
