@@ -212,7 +212,7 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step,
   CAST(coalesce(sum(n) FILTER (mask = bit), 0) AS BIGINT) AS unique_fails,
   CAST(coalesce(sum(good) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS good_lost,
   CAST(coalesce(sum(toxic) FILTER (mask & bit <> 0 AND mask & earlier = 0), 0) AS BIGINT) AS toxic_lost,
-  CAST(coalesce(sum(n * (120 // bit_count(mask))) FILTER (mask & bit <> 0), 0) AS BIGINT) AS shapley
+  CAST(coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (mask & bit <> 0), 0) AS BIGINT) AS shapley
 FROM cells, steps GROUP BY part, filter_order, step, bit, earlier
 """
 
