@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.llm import (
-    bpe, decontaminate, filter_audit, language_model, line_dedup, near_dedup, pii, quality_classifier, quality_rules,
-    substring_dedup, token_counts,
+    bpe, decontaminate, filter_audit, importance_resampling, language_model, line_dedup, near_dedup, pii, quality_classifier,
+    quality_rules, substring_dedup, token_counts,
 )
 from tallymark.llm.common import load
 
@@ -220,3 +220,36 @@ FROM cells, steps GROUP BY part, filter_order, step, bit, earlier
 @query("op13_filter_audit", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH tab AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+w AS (SELECT 0 AS kind, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL SELECT 1, 0, NULL, text FROM benchmark),
+words AS (SELECT kind, r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM w),
+f AS (SELECT kind, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+        list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM words),
+c AS (SELECT kind, r, f, count(*) AS n FROM f GROUP BY ALL),
+h AS (SELECT DISTINCT f, hex(encode(f)) AS x FROM c),
+b AS (SELECT f, xor(list_reduce(list_concat([4294967295::BIGINT],
+        list_transform(range(1, len(x), 2), lambda i: ('0x' || x[i:i + 1])::BIGINT)),
+        lambda s, v: xor(s >> 8, t[xor(s & 255, v) + 1])), 4294967295) % 10000 AS b FROM h, tab),
+n AS (SELECT b, coalesce(sum(n) FILTER (kind = 0), 0) AS s, coalesce(sum(n) FILTER (kind = 1), 0) AS t FROM c JOIN b USING (f) GROUP BY b),
+g AS (SELECT b, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST((SELECT sum(s) FROM n) + 10000 AS DOUBLE)
+        / (CAST(s + 1 AS DOUBLE) * CAST((SELECT sum(t) FROM n) + 10000 AS DOUBLE)))) AS BIGINT) AS g FROM n),
+v AS (SELECT r, sum(n) AS n_features, sum(n * g) AS weight FROM c JOIN b USING (f) JOIN g USING (b) WHERE kind = 0 GROUP BY r),
+z AS (SELECT r, doc_id, len(w) >= 20 AS can, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(floor(-1000.0 * ln(-ln((CAST(CAST('0x' || sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) AS DOUBLE) + 0.5)
+          / 4294967296.0))) AS BIGINT) AS lot FROM words LEFT JOIN v USING (r) WHERE kind = 0),
+o AS (SELECT *, weight + lot AS score, row_number() OVER (PARTITION BY can ORDER BY weight + lot DESC, doc_id NULLS LAST, n_features) AS place FROM z)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN can AND place <= 5 * (SELECT count(*) FROM z WHERE can) // 100 THEN place END AS rank
+FROM o
+"""
+
+
+@query("op12_importance_resampling", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
