@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallymark.functions.conditional import as_column
@@ -94,11 +94,31 @@ def set_and_within_days(c: Column | str, day: Column, days: int) -> Column:
     return as_column(c).isNotNull() & (F.datediff(as_column(c), day) <= days)
 
 
-def assert_non_empty(df: DataFrame, context: str) -> None:
-    if df.isEmpty():
+def assert_rows(n: int, context: str) -> None:
+    if not n:
         raise ValueError(f"{context}: no rows are left, nothing is written")
 
 
+def assert_non_empty(df: DataFrame, context: str) -> None:
+    """Runs the plan up to its first row; a result that is written anyway is counted by the write (``counted``)."""
+    assert_rows(0 if df.isEmpty() else 1, context)
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The same rows, and their number once they have been written or collected; counting costs no job of its own.
+
+    To be put right before the write: the tasks that write count once, even if they have to be repeated.
+    """
+    seen = Observation()
+
+    def rows() -> int:
+        # A plan found empty while it runs leaves no metric at all, which ``seen.get`` cannot read.
+        metrics = seen._jo.getRow()
+        return int(metrics.getLong(0)) if metrics.size() else 0
+
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), rows
+
+
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that are NULL or occur more than once, with their number of rows."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))

@@ -1,14 +1,23 @@
-"""Writers. Every one runs the plan once."""
+"""Writers. Every one runs the plan once: how many rows were written is observed in the write itself.
+
+A table that is replaced is written as a new version first (see ``versions``), so a write that fails or is killed leaves the
+old table whole. ``run_id`` names the run in the version; a rerun under the same name replaces its own rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.operators.quality import assert_non_empty
+from tallymark.operators.quality import assert_rows, counted
+from tallymark.sources import versions
+from tallymark.sources.versions import literal, quoted
+
+RUN_COLUMN = "run_id"
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -25,6 +34,32 @@ def cluster_by_partition(df: DataFrame, partition_by: Sequence[str] | None) -> D
     return df.hint("rebalance")
 
 
+def _partitioned(writer: DataFrameWriter, partition_by: Sequence[str] | None) -> DataFrameWriter:
+    return writer.partitionBy(*partition_by) if partition_by else writer
+
+
+def _replace(
+    df: DataFrame, name: str, partition_by: Sequence[str] | None, fmt: str, comment: str | None, run_id: str | None,
+    must_have_rows: bool, clustered: bool,
+) -> int:
+    """Write a version and point to it; without rows, if there must be some, the version goes and the old table stays."""
+    spark, run_id = df.sparkSession, versions.new_run_id() if run_id is None else run_id
+    version = versions.version_name(name, run_id)
+    shaped, rows = counted(cluster_by_partition(df, partition_by) if clustered else df)
+    try:
+        _partitioned(shaped.write.mode("errorifexists").format(fmt), partition_by).saveAsTable(version)
+        if must_have_rows:
+            assert_rows(rows(), name)
+        if comment:
+            set_comment(spark, version, comment)
+        versions.point_to(spark, name, version, run_id, comment)
+    except Exception:
+        if versions.current_version(spark, name) != version:
+            spark.sql(f"DROP TABLE IF EXISTS {quoted(version)}")
+        raise
+    return rows()
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -32,39 +67,78 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     comment: str | None = None,
-) -> None:
-    """Replace (or append to) a managed table. An overwrite also takes over a changed schema."""
+    run_id: str | None = None,
+) -> int:
+    """Replace (or append to) a managed table; returns the rows written.
+
+    An overwrite also takes over a changed schema. Readers see the old rows until all new ones are written. An append to a
+    table that is replaced in versions goes to its current version.
+    """
     if not name or not name.strip():
         raise ValueError("write_table: the table name must not be blank")
-    writer = (cluster_by_partition(df, partition_by) if partition_by else df).write.mode(mode).format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    if mode == "overwrite":
+        return _replace(df, name, partition_by, fmt, comment, run_id, False, bool(partition_by))
+    spark = df.sparkSession
+    shaped, rows = counted(cluster_by_partition(df, partition_by) if partition_by else df)
+    target = versions.current_version(spark, name) or name
+    _partitioned(shaped.write.mode(mode).format(fmt), partition_by).saveAsTable(target)
     if comment:
-        set_comment(df.sparkSession, name, comment)
+        set_comment(spark, target, comment)
+    return rows()
 
 
 def write_validated(
-    df: DataFrame, name: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite"
-) -> None:
-    """Refuse an empty result, then write it in well-sized files."""
-    assert_non_empty(df, name)
-    writer = cluster_by_partition(df, partition_by).write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    df: DataFrame, name: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite", run_id: str | None = None
+) -> int:
+    """Write a result in well-sized files and refuse an empty one, for which the old table stays; returns the rows written."""
+    if mode == "overwrite":
+        return _replace(df, name, partition_by, "parquet", None, run_id, True, True)
+    existed = df.sparkSession.catalog.tableExists(name)
+    n = write_table(cluster_by_partition(df, partition_by), name, partition_by, mode)
+    if not n and not existed:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+    assert_rows(n, name)
+    return n
 
 
 def write_path(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def append_rejected(bad: DataFrame, name: str) -> bool:
-    """Append quarantined rows; returns whether there were any. The probe stops at the first row found."""
-    if bad.isEmpty():
-        return False
-    write_table(bad, name, mode="append")
-    return True
+def append_rejected(bad: DataFrame, name: str, run_id: str | None = None) -> bool:
+    """Append quarantined rows; returns whether there were any. No table is made for none.
+
+    With ``run_id`` the table is partitioned by the run, and the rows replace those that an earlier attempt of the same run
+    has written, also if there are none any more; the rows of other runs are not touched.
+    """
+    spark = bad.sparkSession
+    existed = spark.catalog.tableExists(name)
+    if run_id is None:
+        n = write_table(bad, name, mode="append")
+    else:
+        tagged = bad.withColumn(RUN_COLUMN, F.lit(run_id))
+        n = _replace_run(tagged, name, run_id) if existed else write_table(tagged, name, [RUN_COLUMN], mode="append")
+    if not n and not existed:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+    return n > 0
+
+
+def _replace_run(tagged: DataFrame, name: str, run_id: str) -> int:
+    """Dynamic overwrite of one run's partition: its files are exchanged when all rows are written."""
+    spark = tagged.sparkSession
+    table = spark.table(name)
+    if [c.name for c in spark.catalog.listColumns(name) if c.isPartition] != [RUN_COLUMN]:
+        raise ValueError(f"{name} is not partitioned by {RUN_COLUMN}")
+    if {(f.name, f.dataType) for f in tagged.schema} != {(f.name, f.dataType) for f in table.schema}:
+        raise ValueError(f"{name} has other columns than the rows for it")
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").collect()}
+    rows, n = counted(cluster_by_partition(tagged, [RUN_COLUMN]))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(RUN_COLUMN).format(details["Provider"]).save(details["Location"])
+    part = f"PARTITION ({RUN_COLUMN} = {literal(run_id)})"
+    spark.sql(f"ALTER TABLE {quoted(name)} " + (f"ADD IF NOT EXISTS {part}" if n() else f"DROP IF EXISTS {part}"))
+    spark.catalog.refreshTable(name)
+    return n()
 
 
 def append_rows(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: T.StructType, name: str) -> None:
