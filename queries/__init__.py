@@ -1,4 +1,4 @@
 """Registered queries: each library job bound to the supplied tables, next to SQL that states its result."""
 
 from queries import alerts, dashboards, gold, layers, learning, operators, scoring, silver  # noqa: F401
-from queries.common import REGISTRY  # noqa: F401
+from queries.common import REGISTRY, TRAINED  # noqa: F401

@@ -21,6 +21,8 @@ TABLES = (
 # Domain tables: name -> SQL over {table} placeholders.
 DOMAIN: dict[str, str] = {}
 REGISTRY: dict[str, Query] = {}
+# Queries whose numbers come from a trainer, so that SQL cannot state them; what SQL can say of them is in the registry.
+TRAINED: dict[str, Query] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,12 +74,12 @@ class Query:
         return f"WITH {', '.join(parts)} SELECT {columns} FROM result"
 
 
-def add(name: str, build: Callable[..., DataFrame], uses: str, out: str, sql: str | None = None) -> None:
+def add(name: str, build: Callable[..., DataFrame], uses: str, out: str, sql: str | None = None, to: dict[str, Query] = REGISTRY) -> None:
     """Register a query. ``out`` lists ``column:kind`` pairs."""
-    if name in REGISTRY:
+    if name in REGISTRY or name in TRAINED:
         raise ValueError(f"query {name} is registered twice")
     columns = [tuple(item.split(":")) for item in out.split()]
-    REGISTRY[name] = Query(name, build, uses.split(), columns, sql)
+    to[name] = Query(name, build, uses.split(), columns, sql)
 
 
 def mean(expr: str, scale: int, out: int) -> str:

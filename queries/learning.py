@@ -1,16 +1,19 @@
 """Training and scoring jobs.
 
-A model's numbers depend on the trainer. Registered is what holds for any of them and SQL can state: the split, the
-weighted training table, scores in range that agree with the decisions, accuracy above a bound, alerts equal to the
-predictions above the limit, and the nearest centre for every row.
+A model's numbers depend on the trainer. Registered with SQL is what holds for any of them: the split, the
+weighted training table, the feature vectors, scores in range that agree with the decisions, accuracy above a bound, alerts
+equal to the predictions above the limit, and the nearest centre for every row. The scores, predictions, clusters, alerts
+and the accuracy themselves are registered without SQL; tests recompute them from the models' nodes and centres.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from queries.common import DOMAIN, add
+from queries import scoring  # noqa: F401 - its loan features are stated again here
+from queries.common import DOMAIN, REGISTRY, TRAINED, add
 from tallymark.operators import learning as ml
 from tallymark.plans.scoring import energy, finance, retail
 from tallymark.session import cut_lineage
@@ -141,6 +144,51 @@ def sensor_clusters(readings: DataFrame) -> DataFrame:
     return ml.nearest_centre(model.transform(features), [c.tolist() for c in model.clusterCenters()])
 
 
+def loan_vectors(applications: DataFrame) -> DataFrame:
+    """The assembled features by position; what is missing is not a number."""
+    names = finance.LOAN["features"]
+    rows = ml.assemble(finance.loan_features(applications), names, "keep")
+    x = vector_to_array("features")
+    return rows.select("customer_id", *[(F.round(x[i], 3) if n == "monthly_payment" else x[i]).alias(f"x{i}") for i, n in enumerate(names)])
+
+
+def loan_scored_rows(applications: DataFrame) -> DataFrame:
+    """Approval and risk probability of every application."""
+    model, features, _ = _loan_model(applications)
+    return ml.score(model, features, ["customer_id"])
+
+
+def loan_accuracy_value(applications: DataFrame) -> DataFrame:
+    model, _, test = _loan_model(applications)
+    return ml.accuracy(model.transform(test), finance.LOAN["label"])
+
+
+def demand_predicted_rows(sales: DataFrame) -> DataFrame:
+    return _demand(sales)
+
+
+def demand_alert_rows(sales: DataFrame) -> DataFrame:
+    return retail.demand_alerts(_demand(sales))
+
+
+def claim_predicted_rows(*frames: DataFrame) -> DataFrame:
+    return _claims(*frames).withColumn("probability", vector_to_array("probability")[1])
+
+
+def claim_alert_rows(*frames: DataFrame) -> DataFrame:
+    """The claims of the test part that are predicted as fraud, with masked names and numbers."""
+    return finance.claim_alerts(_claims(*frames))
+
+
+def sensor_cluster_rows(readings: DataFrame) -> DataFrame:
+    """The cluster of every reading and its distance to the cluster's centre."""
+    features = ml.assemble(energy.grid_features(readings), energy.GRID["features"])
+    model = ml.fit_kmeans(features, 5)
+    centres = [c.tolist() for c in model.clusterCenters()]
+    distance = F.sqrt(ml.squared_distance(vector_to_array("features"), centres, F.col("prediction")))
+    return model.transform(features).withColumn("distance", distance)
+
+
 add("loan_split", loan_split, "loan_history", "customer_id:l part:s",
     f"SELECT customer_id, CASE WHEN {_test_rows('customer_id', LOAN_PARTS)} THEN 'test' ELSE 'train' END AS part FROM loan_history")
 add("loan_scores", loan_scores, "loan_history", "customer_id:l in_range:b agrees:b",
@@ -161,3 +209,17 @@ add("claim_alerts", claim_alerts, "claims claim_history policies agents", "missi
     "SELECT 0 AS missing, 0 AS extra, 0 AS shown, COUNT(*) >= 0 AS accurate FROM claims")
 add("sensor_clusters", sensor_clusters, "grid_readings", "sensor_id:s nearest:b",
     "SELECT sensor_id, TRUE AS nearest FROM grid_readings")
+
+_VECTOR = " ".join(f"x{i}:d" for i in range(len(finance.LOAN["features"])))
+add("loan_vectors", loan_vectors, "loan_applications", f"customer_id:l {_VECTOR}",
+    "SELECT customer_id, " + ", ".join(f"COALESCE(CAST({n} AS DOUBLE), 'NaN'::DOUBLE) AS x{i}" for i, n in enumerate(finance.LOAN["features"]))
+    + f" FROM ({REGISTRY['loan_features'].sql})")
+
+CLAIMS = "claims claim_history policies agents"
+add("loan_scored_rows", loan_scored_rows, "loan_history", "customer_id:l approved:b risk_prob:d", to=TRAINED)
+add("loan_accuracy_value", loan_accuracy_value, "loan_history", "accuracy:d", to=TRAINED)
+add("demand_predicted_rows", demand_predicted_rows, "demand_sales", "product_sku:l sale_id:l prediction:d", to=TRAINED)
+add("demand_alert_rows", demand_alert_rows, "demand_sales", "product_sku:l prediction:d", to=TRAINED)
+add("claim_predicted_rows", claim_predicted_rows, CLAIMS, "claim_id:l claim_amount:d prediction:d probability:d", to=TRAINED)
+add("claim_alert_rows", claim_alert_rows, CLAIMS, "claim_id:l claim_amount:d claimant_name_masked:s claimant_ssn_masked:s", to=TRAINED)
+add("sensor_cluster_rows", sensor_cluster_rows, "grid_readings", "sensor_id:s prediction:l distance:d", to=TRAINED)

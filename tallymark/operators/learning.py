@@ -137,6 +137,13 @@ def score(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def predictions(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys, prediction and, of a classifier, the probability of class 1, computed where the rows are."""
+    found = model.transform(df)
+    more = [vector_to_array("probability")[1].alias("probability")] if "probability" in found.columns else []
+    return found.select(*keys, "prediction", *more)
+
+
 def accuracy(predicted: DataFrame, label: str) -> DataFrame:
     """Share of rows whose prediction equals the label, in one pass."""
     return predicted.agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy"))
@@ -153,6 +160,23 @@ def nearest_centre(clustered: DataFrame, centres: Sequence[Sequence[float]]) ->
     return clustered.withColumn("nearest", F.element_at(distances, F.col("prediction") + 1) <= best * (1 + 1e-9) + 1e-9)
 
 
+def squared_distance(x: Column, centres: Sequence[Sequence[float]], cluster: Column) -> Column:
+    """Squared distance of a row to the centre of its cluster."""
+    own = F.element_at(F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres]), cluster + 1)
+    return F.aggregate(F.zip_with(x, own, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+
+
+def cluster_means(clustered: DataFrame, centres: Sequence[Sequence[float]]) -> DataFrame:
+    """(cluster, row_count, mean, cost): what the centres must be if the clustering has come to rest, and its cost."""
+    x = vector_to_array("features")
+    rows = clustered.select(
+        F.col("prediction").alias("cluster"), squared_distance(x, centres, F.col("prediction")).alias("cost"), x.alias("x")
+    )
+    n = len(centres[0])
+    means = F.array(*[F.avg(F.col("x")[i]) for i in range(n)])
+    return rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("row_count"), means.alias("mean"), F.sum("cost").alias("cost"))
+
+
 def condensed_equals_rows(rows: DataFrame, condensed: DataFrame, label: str) -> DataFrame:
     """One row: label sum and number of rows of a table and of its condensed form."""
     of = lambda df, total, n, tag: df.agg(F.round(F.sum(total), 3).alias(f"sum_{tag}"), F.sum(n).cast("long").alias(f"rows_{tag}"))
