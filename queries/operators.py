@@ -265,6 +265,19 @@ add("full_outer_nullsafe",
        b AS (SELECT store, day, SUM(amount) AS ordered FROM ordered_daily GROUP BY ALL)
        SELECT COALESCE(a.store, b.store) AS store, COALESCE(a.day, b.day) AS day, shipped, ordered
        FROM a FULL OUTER JOIN b ON a.store IS NOT DISTINCT FROM b.store AND a.day IS NOT DISTINCT FROM b.day""")
+# A third of the rows of both sides share one key, which matches, and another large one, which does not.
+DOMAIN["hot_shipped"] = """
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber IN (1, 2) THEN NULL WHEN l_linenumber = 3 THEN -1 ELSE l_orderkey END AS k,
+           CASE WHEN l_linenumber = 1 THEN 'x' WHEN l_linenumber = 2 THEN NULL ELSE l_linestatus END AS s
+    FROM {lineitem}"""
+DOMAIN["hot_ordered"] = """
+    SELECT CASE WHEN o_orderkey = 1 THEN NULL WHEN o_orderpriority = '1-URGENT' THEN -2 ELSE o_orderkey END AS kk,
+           CASE WHEN o_orderkey = 1 THEN 'x' WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE o_orderstatus END AS s, o_orderkey
+    FROM {orders}"""
+add("full_outer_hot_key", lambda shipped, ordered: joins.full_outer_nullsafe(shipped, ordered, ["k", "s"], ["kk", "s"]),
+    "hot_shipped hot_ordered", "k:l s:s l_orderkey:l l_linenumber:l o_orderkey:l",
+    """SELECT COALESCE(k, kk) AS k, COALESCE(a.s, b.s) AS s, l_orderkey, l_linenumber, o_orderkey
+       FROM hot_shipped a FULL OUTER JOIN hot_ordered b ON k IS NOT DISTINCT FROM kk AND a.s IS NOT DISTINCT FROM b.s""")
 add("join_aggregates",
     lambda customers, orders: joins.join_aggregates(
         customers.select(F.col("c_custkey").alias("key"), "c_mktsegment"), "key",

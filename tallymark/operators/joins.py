@@ -1,9 +1,9 @@
 """Join shapes of the jobs.
 
 Whether a side table is broadcast is Catalyst's decision, by its bytes. Before a join by shuffle, the key values that
-hold more rows than a task should get, NULL included, are counted on a sample and spread over several tasks. The
-limit is relative to the data (rows per shuffle partition), so the number of such values is bounded by the number
-of partitions, and every one of them is spread into as many pieces as it needs.
+hold more rows than a task should get, NULL included, are found in one pass for all keys, by mergeable sketches of frequent
+values, and spread over several tasks. The limit is relative to the data (rows per shuffle partition), so the number of
+such values is bounded by the number of partitions, and every one of them is spread into as many pieces as it needs.
 """
 
 from __future__ import annotations
@@ -13,11 +13,17 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows of a value at the limit that a sample is expected to hold: far more than half of them are then seen.
+# Values that a sketch tracks for each limit's worth of rows. A count may be wrong by 3.5 rows in as many as are tracked, so
+# a value with half the limit is still found and a quarter of the limit is told apart from it.
+TRACKED = 16
+# More than this a sketch does not track; values with more than 3.5 rows in a million are found at any limit.
+TRACKED_AT_MOST = 1_000_000
+# Kinds of values a sketch can track; others are counted on a sample with so many rows for each limit's worth.
+SKETCHED = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 SAMPLED_ROWS = 200
 SAMPLE_SEED = 42
 
@@ -60,23 +66,55 @@ def pieces_of(rows: float, limit: float) -> int:
     return math.ceil(2 * rows / limit)
 
 
+def frequent_values(df: DataFrame, keys: Sequence[str], tracked: int) -> tuple[int, dict[str, dict[Any, int]]]:
+    """The number of rows, and by key column its most frequent values with their counts, in one pass.
+
+    Each task fills a sketch per key column, which tracks at most ``tracked`` values. The sketches are merged in two steps, so
+    that no task merges those of all others.
+    """
+    width = shuffle_width(df.sparkSession)
+    names = [F.col(f"`{k.replace('`', '``')}`").alias(f"k{i}") for i, k in enumerate(keys)]
+    rows = df.select(*names, F.pmod(F.spark_partition_id(), F.lit(width)).alias("part"))
+    fill = [F.expr(f"approx_top_k_accumulate(k{i}, {tracked})").alias(f"s{i}") for i in range(len(keys))]
+    merge = [F.expr(f"approx_top_k_combine(s{i}, {tracked})").alias(f"s{i}") for i in range(len(keys))]
+    read = [F.expr(f"approx_top_k_estimate(s{i}, {min(tracked, 100_000)})").alias(f"top{i}") for i in range(len(keys))]
+    # One group, since a merge of no sketches at all fails.
+    parts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), *fill)
+    merged = parts.groupBy(F.lit(0).alias("all")).agg(F.sum("n").alias("n"), *merge)
+    # A value with less than one row in ``tracked`` says nothing.
+    least = F.col("n") / tracked
+    found = merged.select("n", *read).select("n", *[F.filter(f"top{i}", lambda v: v["count"] > least).alias(f"top{i}") for i in range(len(keys))]).first()
+    if found is None:
+        return 0, {k: {} for k in keys}
+    return found["n"], {k: {v["item"]: v["count"] for v in found[f"top{i}"]} for i, k in enumerate(keys)}
+
+
 def hot_values(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> dict[str, Hot]:
     """The values of each key column with more rows than ``limit``, and their pieces.
 
     By default the limit is the rows per shuffle partition. At most two values per partition can hold half of that,
-    which bounds the result. The sample has ``SAMPLED_ROWS`` rows for each limit's worth of rows, whatever the size
-    of the data, and only steers the layout.
+    which bounds the result. All key columns are read in one pass over the rows, whose result only steers the layout. A
+    limit given by the caller can take a second pass, if it is so low that more values must be tracked.
     """
     if df.isStreaming or not keys:
         return {key: {} for key in keys}
-    limit = limit or max(1, math.ceil(df.count() / shuffle_width(df.sparkSession)))
+    width = shuffle_width(df.sparkSession)
+    known = [k for k in keys if isinstance(df.select(k).schema[0].dataType, SKETCHED)]
+    tracked = min(TRACKED * max(4, width), TRACKED_AT_MOST)
+    total, counts = frequent_values(df, known, tracked)
+    limit = limit or max(1, math.ceil(total / width))
+    needed = min(TRACKED * math.ceil(total / limit), TRACKED_AT_MOST)
+    if known and needed > tracked:
+        total, counts = frequent_values(df, known, needed)
+    hot = {key: {value: pieces_of(n, limit) for value, n in counts[key].items() if n > limit / 2} for key in known}
+    if len(known) == len(keys):
+        return hot
     share = min(1.0, SAMPLED_ROWS / limit)
-    rows = df.select(*keys)
-    sample = rows if share == 1.0 else rows.sample(share, SAMPLE_SEED)
-    hot = {}
-    for key in keys:
-        counts = sample.groupBy(key).count().filter(F.col("count") > limit * share / 2)
-        hot[key] = {value: pieces_of(n, limit * share) for value, n in counts.collect()}
+    others = [k for k in keys if k not in hot]
+    sample = df.select(*others) if share == 1.0 else df.select(*others).sample(share, SAMPLE_SEED)
+    for key in others:
+        rows = sample.groupBy(key).count().filter(F.col("count") > limit * share / 2)
+        hot[key] = {value: pieces_of(n, limit * share) for value, n in rows.collect()}
     return hot
 
 
@@ -191,19 +229,48 @@ def broadcast_left(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return enrich(df, [Dim(dim, key)])
 
 
+def _nullsafe(keys: Sequence[str], others: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, others)])
+
+
 def full_outer_nullsafe(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], right_keys: Sequence[str] | None = None
+    left: DataFrame, right: DataFrame, keys: Sequence[str], right_keys: Sequence[str] | None = None,
+    limit: int | None = None, aggregated: bool = False,
 ) -> DataFrame:
     """Full outer join in which NULL keys match each other; the keys of both sides are merged.
 
-    Both sides should be aggregated to the keys, since a full outer join cannot spread a hot key.
+    ``aggregated`` says that both sides have at most one row per key, so no key can be hot. Otherwise the combined keys with
+    more rows than a task should get (``limit``, by default the rows per shuffle partition) are measured on both sides. A
+    full outer join cannot spread them, so where there are any, the result is made of a left join, for which the hot keys
+    of the left side are spread and the rows of the right side repeated, and of the right side's rows without a match, for
+    which those of the right side are spread against the distinct keys of the left.
     """
     right_keys = list(right_keys or keys)
     renamed = right.select(
         *[F.col(k).alias(f"_right_{i}") for i, k in enumerate(right_keys)],
         *[c for c in right.columns if c not in right_keys],
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_right_{i}")) for i, k in enumerate(keys)]
-    joined = left.join(renamed, reduce(lambda a, b: a & b, same), "full_outer")
-    merged = {k: F.coalesce(F.col(k), F.col(f"_right_{i}")) for i, k in enumerate(keys)}
-    return joined.withColumns(merged).drop(*[f"_right_{i}" for i in range(len(keys))])
+    others = [f"_right_{i}" for i in range(len(keys))]
+    same = _nullsafe(keys, others)
+    merged = {k: F.coalesce(F.col(k), F.col(o)) for k, o in zip(keys, others)}
+    if aggregated:
+        return left.join(renamed, same, "full_outer").withColumns(merged).drop(*others)
+
+    # All keys as one number, which only steers where rows go.
+    left = left.withColumn("_left_key", F.xxhash64(*keys))
+    renamed = renamed.withColumn("_right_key", F.xxhash64(*others))
+    hot_left = hot_values(left, ["_left_key"], limit)["_left_key"]
+    hot_right = hot_values(renamed, ["_right_key"], limit)["_right_key"]
+    if not hot_left and not hot_right:
+        return left.join(renamed, same, "full_outer").withColumns(merged).drop("_left_key", "_right_key", *others)
+
+    piece = F.col("_piece") == F.col("_copy")
+    rows, copies = spread(left, "_left_key", hot_left, "_piece"), copy_to_pieces(renamed, "_right_key", hot_left, "_copy")
+    matched = rows.join(copies, same & (F.col("_left_key") == F.col("_right_key")) & piece, "left")
+    matched = matched.withColumns(merged).drop("_left_key", "_right_key", "_piece", "_copy", *others)
+    known = copy_to_pieces(left.select(*keys, "_left_key").distinct(), "_left_key", hot_right, "_copy")
+    alone = spread(renamed, "_right_key", hot_right, "_piece").join(
+        known, same & (F.col("_left_key") == F.col("_right_key")) & piece, "left_anti"
+    )
+    alone = alone.withColumnsRenamed(dict(zip(others, keys))).drop("_right_key", "_piece")
+    return matched.unionByName(alone, allowMissingColumns=True)

@@ -17,6 +17,28 @@ def kpis(
     return out if having is None else out.filter(having)
 
 
+def kpis_with_distinct(
+    df: DataFrame, distinct: Mapping[str, str], sums: Mapping[str, Column], maxima: Mapping[str, Column], by: Sequence[str]
+) -> DataFrame:
+    """Aggregates per group next to several distinct counts, without a copy of the rows for each of them.
+
+    ``distinct`` names the key column of each count, ``sums`` are aggregates that add up, ``maxima`` such as keep the largest. The
+    rows are first summed up to the group and the keys, map-side; there, the first row of each key of a group stands for
+    the key, and the marks are counted. Windows run on group and key, so a hot group is spread over its keys.
+    """
+    keys = list(dict.fromkeys(distinct.values()))
+    parts = kpis(df, {**sums, **maxima}, by=[*by, *keys])
+    order = {key: [k for k in keys if k != key] or [key] for key in keys}
+    marks = {
+        f"_first_{key}": F.col(key).isNotNull() & (F.row_number().over(Window.partitionBy(*by, key).orderBy(*order[key])) == 1)
+        for key in keys
+    }
+    counted = {name: F.count_if(F.col(f"_first_{key}")) for name, key in distinct.items()}
+    return kpis(
+        parts.withColumns(marks), {**counted, **{n: F.sum(n) for n in sums}, **{n: F.max(n) for n in maxima}}, by=by
+    )
+
+
 def kpi_row(indicators: Mapping[str, DataFrame]) -> DataFrame:
     """One row of scalar subqueries, each from a one-row, one-column DataFrame."""
     first = next(iter(indicators.values()))
