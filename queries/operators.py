@@ -259,7 +259,7 @@ DOMAIN["ordered_daily"] = """
 add("full_outer_nullsafe",
     lambda shipped, ordered: joins.full_outer_nullsafe(
         kpi.kpis(shipped, {"shipped": F.sum("amount")}, by=["store", "day"]),
-        kpi.kpis(ordered, {"ordered": F.sum("amount")}, by=["store", "day"]), ["store", "day"]),
+        kpi.kpis(ordered, {"ordered": F.sum("amount")}, by=["store", "day"]), ["store", "day"], aggregated=True),
     "shipped_daily ordered_daily", "store:l day:D shipped:d ordered:d",
     """WITH a AS (SELECT store, day, SUM(amount) AS shipped FROM shipped_daily GROUP BY ALL),
        b AS (SELECT store, day, SUM(amount) AS ordered FROM ordered_daily GROUP BY ALL)
