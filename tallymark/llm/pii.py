@@ -75,18 +75,7 @@ def _plain_forms() -> dict[int, str]:
 PLAIN = _plain_forms()
 
 
-def _classes(codes: Iterable[int]) -> str:
-    """The codes as ranges of a character class."""
-    out: list[list[int]] = []
-    for c in sorted(codes):
-        if out and out[-1][1] == c - 1:
-            out[-1][1] = c
-        else:
-            out.append([c, c])
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
-
-
-ODD = re.compile(f"[{_classes([*PLAIN, *map(ord, INVISIBLE)])}]")
+ODD = frozenset([*map(chr, PLAIN), *INVISIBLE])
 DROPPED = re.compile(f"[{INVISIBLE}]+")
 _DIGIT = "(?:" + "|".join(sorted(DIGIT_OF, key=lambda w: (-len(w), w))) + ")"
 _GAP = r"[ \t]{0,3}"
@@ -98,21 +87,50 @@ DISGUISE = re.compile(
     rf"|(?P<weak>[ \t]{{1,3}}(?:{AT_WORDS})[ \t]{{1,3}}(?={_LABEL}(?:\.{_LABEL})+))"
     rf"|(?P<dot>{_DOT})"
     rf"|(?P<plus>\bplus[ \t-]{{1,2}}(?={_DIGIT}\b|[0-9]))"
-    rf"|(?P<digits>\b{_DIGIT}(?:[ -]{_DIGIT})*+\b)"
+    # Each digit word ends for itself, so a run ends before a longer word and is never tried again from its middle.
+    rf"|(?P<digits>\b{_DIGIT}\b(?:[ -]{_DIGIT}\b)*+)"
     r"|(?P<alike>\b(?=[OoIl]*+[0-9])[0-9OoIl]*+\b|(?<=[0-9])[OoIl]++(?=[0-9]))",
     re.I,
 )
 SPELLED = re.compile(rf"{_DIGIT}\b|[ -]", re.I)
 # Letters that stand for digits, in a token of digits and such letters.
 ALIKE = re.compile(r"[OoIiLl]")
-# A text without any of these holds no disguise that could end in a finding.
-HINT = re.compile(
-    rf"[\[({{<]{_GAP}(?:{AT_WORDS}|{DOT_WORDS}|@|\.){_GAP}[\])}}>]|[ \t](?:{DOT_WORDS})[ \t]"
-    rf"|[ \t](?:{AT_WORDS})[ \t]{{1,3}}{_LABEL}\.[A-Za-z0-9]"
-    rf"|\b{_DIGIT}[ -]{_DIGIT}\b|[0-9][OoIl]|[OoIl][0-9]|\bplus[ \t-]{{1,2}}(?:{_DIGIT}\b|[0-9])"
-    rf"|[0-9+][ ().-]*+\b{_DIGIT}\b|\b{_DIGIT}\b[ ().-]*+(?:[0-9+]|{_DIGIT}\b)",
-    re.I,
-)
+# What ``hinted`` looks for. All of it is read in lower case; the words come first, since most texts hold none of them.
+WORD = re.compile(r"\w+")
+_HINT_WORDS = {name: frozenset(words.split("|")) for name, words in (("at", AT_WORDS), ("dot", DOT_WORDS), ("plus", "plus"))}
+_HINT_AT = re.compile(rf"[ \t](?:{AT_WORDS})[ \t]{{1,3}}{_LABEL}\.[a-z0-9]")
+_HINT_DOT = re.compile(rf"[ \t](?:{DOT_WORDS})[ \t]")
+_HINT_PLUS = re.compile(rf"\bplus[ \t-]{{1,2}}(?:{_DIGIT}\b|[0-9])")
+_HINT_BRACKET = re.compile(rf"[\[({{<]{_GAP}(?:{AT_WORDS}|{DOT_WORDS}|@|\.){_GAP}[\])}}>]")
+_HINT_ALIKE = re.compile(r"[0-9](?:[oil]|(?<=[oil][0-9]))")
+_HINT_AFTER = re.compile(rf"[ ().-]*+(?:[0-9+]|{_DIGIT}\b)")
+
+
+def hinted(text: str) -> bool:
+    """Whether the text may hold a disguise that could end in a finding."""
+    if not text.isascii():
+        # The four letters that equal a plain one when case does not count; one of them would become two characters.
+        for letter, plain in ("\u0130", "i"), ("\u0131", "i"), ("\u017f", "s"), ("\u212a", "k"):
+            text = text.replace(letter, plain)
+    low = text.lower()
+    if _HINT_ALIKE.search(low) or _HINT_BRACKET.search(low):
+        return True
+    words = set(WORD.findall(low))
+    for name, pattern in (("at", _HINT_AT), ("dot", _HINT_DOT), ("plus", _HINT_PLUS)):
+        if not _HINT_WORDS[name].isdisjoint(words) and pattern.search(low):
+            return True
+    if words.isdisjoint(DIGIT_OF):
+        return False
+    for m in WORD.finditer(low):
+        if m[0] not in DIGIT_OF:
+            continue
+        # A digit word counts next to a numeral, a plus sign or another digit word.
+        before = m.start() - 1
+        while before >= 0 and low[before] in " ().-":
+            before -= 1
+        if before >= 0 and low[before] in "0123456789+" or _HINT_AFTER.match(low, m.end()):
+            return True
+    return False
 
 
 class Span(NamedTuple):
@@ -223,11 +241,11 @@ def disguises(text: str) -> Iterable[tuple[int, int, str]]:
 def normalise(text: str) -> list[Rewritten]:
     """The rewritings of the text one after the other; empty if it holds nothing to rewrite."""
     steps = []
-    if not text.isascii() and ODD.search(text):
+    if not text.isascii() and not ODD.isdisjoint(text):
         plain = text.translate(PLAIN)  # one character for one, so offsets stay
         steps.append(Rewritten(plain, ((m.start(), m.end(), "") for m in DROPPED.finditer(plain))))
         text = steps[-1].text
-    if HINT.search(text):
+    if hinted(text):
         steps.append(Rewritten(text, disguises(text)))
     return steps
 
@@ -239,11 +257,15 @@ def find(text: str | None) -> tuple[list[Span], list[Span]]:
     plain = detect(text)
     steps = normalise(text)
     added = []
+    known = {kind: [p for p in plain if p.kind == kind] for kind in KINDS} if steps else {}
+    starts = {kind: [p.start for p in spans] for kind, spans in known.items()}
     for span in detect(steps[-1].text) if steps else ():
         start, end = span.start, span.end
         for step in reversed(steps):
             start, end = step.source_span(start, end)
-        if not any(p.kind == span.kind and p.start <= start and end <= p.end for p in plain):
+        # Spans of a kind come in order and do not overlap, so only the last one that begins before can hold this one.
+        before = bisect_right(starts[span.kind], start) - 1
+        if before < 0 or known[span.kind][before].end < end:
             added.append(Span(span.kind, start, end))
     return plain, added
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +108,43 @@ def test_single_spelled_digits_and_runs_of_look_alikes(text, kind):
     assert pii.find(text) == ([], [pii.Span(kind, 0, len(text))])
     for long in ("9l" * 200_000 + "x", "O" * 400_000, "one" + " " * 400_000, "1" + "(" * 400_000, "+" * 400_000):
         pii.find(long)
+
+
+def test_a_run_of_digit_words_before_a_longer_word():
+    number = "+1 four one five five five five one two three seven"
+    for end in (" now", " onerous", " sevenths", " one-off onex"):
+        found = pii.find(f"call {number}{end}")[1]
+        assert [(s.kind, s.start) for s in found] == [("phone", 5)] and found[0].end >= 5 + len(number), end
+
+
+def test_a_megabyte_takes_seconds():
+    """Runs that end in a longer word, and many findings of both kinds, in time that grows with the text alone."""
+    texts = ["one " * 250_000 + "onex", "a.b@cd.ef " * 100_000 + "x (at) example (dot) com", "five one-" * 110_000 + "oneself", "1 one " * 160_000 + "onex"]
+    texts += ["x at y9 dot com " * 60_000, "8OO " * 250_000 + "l", "jane9 at example.com " * 50_000]
+    for text in texts:
+        start = time.process_time()
+        pii.find(text)
+        assert time.process_time() - start < 20, text[:20]
+
+
+def test_added_findings_next_to_plain_ones():
+    text = "a@b.cd, e@f.gh and x (at) y.zz, i@j.kl"
+    plain, added = pii.find(text)
+    assert len(plain) == 3 and [text[s.start : s.end] for s in added] == ["x (at) y.zz"]
+
+
+def test_hints_equal_one_pattern():
+    """The quick look at words finds what a search for all disguises at once finds."""
+    d, gap, at, dot = pii._DIGIT, pii._GAP, pii.AT_WORDS, pii.DOT_WORDS
+    whole = re.compile(
+        rf"[\[({{<]{gap}(?:{at}|{dot}|@|\.){gap}[\])}}>]|[ \t](?:{dot})[ \t]|[ \t](?:{at})[ \t]{{1,3}}{pii._LABEL}\.[A-Za-z0-9]"
+        rf"|\b{d}[ -]{d}\b|[0-9][OoIl]|[OoIl][0-9]|\bplus[ \t-]{{1,2}}(?:{d}\b|[0-9])"
+        rf"|[0-9+][ ().-]*+\b{d}\b|\b{d}\b[ ().-]*+(?:[0-9+]|{d}\b)",
+        re.I,
+    )
+    rng = random.Random(11)
+    pool = ["one", "Two", "six", "onex", "vier", "oh", "un", " ", " ", "  ", "-", "+", "(", ")", "[", "]", ".", "1", "9", "O", "l", "I", "L", "at",
+            "AT", "dot", "Punto", "plus", "@", "a.b", "x", "é", "\t", "_", "İ", ",", "\n"]
+    for _ in range(60_000):
+        text = "".join(rng.choice(pool) for _ in range(rng.randrange(0, 9)))
+        assert pii.hinted(text) == bool(whole.search(text)), text
