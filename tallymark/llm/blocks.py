@@ -3,14 +3,18 @@
 Some operators need, for each key of a document (a word, an n-gram, a window), something that only the whole corpus
 knows. A row for each occurrence would make the shuffle many times the text. Instead
 
-1. documents are put into blocks of about ``BLOCK_BYTES`` of text, ranges of (doc_id, text hash);
+1. documents are put into blocks of about ``BLOCK_BYTES`` of text, by a hash of doc_id and text or, where the order of
+   documents counts, as ranges of (doc_id, text hash);
 2. every block sends its *distinct* keys to shards by key hash, packed into one row per block and shard, so a key
    that occurs in a third of all documents arrives once per block;
 3. a shard settles its keys over all blocks and answers each block, again in one row;
 4. every block meets its answers and finishes its documents.
 
-A task holds one block or one shard, whose sizes do not depend on the corpus: there are as many shards as blocks. The
-block of a row follows from its content, so a repeated task or a second evaluation sends it to the same place.
+A task holds one block or one shard. There are as many shards as blocks, so a shard's share of the keys does not grow with
+the corpus; the number of packs, one per block and shard that have keys in common, does so with the square of the
+blocks. Blocks by hash need nothing but their number; ranges need their cut points in every task, which grow with the
+corpus, 16 bytes for each ``BLOCK_BYTES`` of text. The block of a row follows from its content, so a repeated task or a
+second evaluation sends it to the same place.
 
 Rows with equal doc_id and text are one document with a number of copies, merged before the shuffle.
 """
@@ -19,7 +23,6 @@ from __future__ import annotations
 
 import math
 import pickle
-from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any, NamedTuple
@@ -70,30 +73,42 @@ def order_key(doc_id: int | None, key: int) -> tuple[bool, int, int]:
     return (doc_id is not None, doc_id or 0, key)
 
 
-def into_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Blocks:
-    """Rows (block, payload); a payload holds some documents of the block."""
+def into_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, ordered: bool = True) -> Blocks:
+    """Rows (block, payload); a payload holds some documents of the block. ``ordered``: blocks are ranges of documents."""
     narrow = texts(docs).select(F.col("doc_id").cast("long"), "text", text_key(F.col("text")).alias("key"))
     total = narrow.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
-    cuts: list[tuple[bool, int, int]] = []
-    if n > 1:
+    # Cut points of ids and hashes; documents without an id come before all others.
+    ids, keys = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    known = np.zeros(0, bool)
+    if n > 1 and ordered:
         ranges = narrow.select("doc_id", "key").repartitionByRange(n, "doc_id", "key")
         lowest = ranges.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("doc_id", "key")).alias("low"))
         cuts = sorted(order_key(*row["low"]) for row in lowest.collect())[1:]
+        known, ids, keys = (np.array([c[i] for c in cuts], t) for i, t in enumerate((bool, np.int64, np.int64)))
+        n = len(cuts) + 1
+
+    def place_of(place: tuple[bool, int, int]) -> int:
+        """The number of cut points up to the place."""
+        low, high = (int(np.searchsorted(known, place[0], side)) for side in ("left", "right"))
+        first = low + int(np.searchsorted(ids[low:high], place[1], "left"))
+        last = low + int(np.searchsorted(ids[low:high], place[1], "right"))
+        return first + int(np.searchsorted(keys[first:last], place[2], "right"))
 
     def run(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
             held: dict[int, dict[tuple, list]] = defaultdict(dict)
-            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text")))
-            for doc_id, key, text in rows:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text", "block")))
+            for doc_id, key, text, block in rows:
                 place = order_key(doc_id, key)
-                held[bisect_right(cuts, place)].setdefault(place, [text, 0])[1] += 1
+                held[place_of(place) if ordered else block].setdefault(place, [text, 0])[1] += 1
             packed = {b: pack([(*place, *rest) for place, rest in d.items()]) for b, d in held.items()}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(packed.keys(), pa.int32()), pa.array(packed.values(), pa.binary())], ["block", "payload"]
             )
 
-    return Blocks(in_batches(narrow).mapInArrow(run, BLOCK_SCHEMA), len(cuts) + 1)
+    numbered = narrow.withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.lit(n)).cast("int"))
+    return Blocks(in_batches(numbered).mapInArrow(run, BLOCK_SCHEMA), n)
 
 
 def documents_of(table: pa.Table) -> list[Document]:

@@ -42,8 +42,8 @@ from tallymark.llm.windows import Words, distinct, expand, joined, mix, planes,
 # Marks that no word can be, since words hold no white space.
 BEGIN, END = b" begin", b" end"
 BEGIN_HASH = np.uint64(xxhash.xxh64_intdigest(BEGIN))
-# Bigrams seen less often than this are left to the failure arc.
-MIN_COUNT = 2
+# Bigrams seen less often than this are left to the failure arc: none.
+MIN_COUNT = 1
 DISCOUNT = 0.75
 # Every seventh document by checksum is held out.
 FOLDS, HELD_OUT = 7, 2
@@ -228,7 +228,7 @@ SCHEMA = (
 def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: the split, tokens, known tokens, training tokens, and the log10 probabilities of both models."""
     spark = docs.sparkSession
-    blocks = into_blocks(docs, block_bytes)
+    blocks = into_blocks(docs, block_bytes, ordered=False)
     pairs = stage(settle(ask(blocks, bigram_questions(blocks.count)), settle_bigrams), "bigram-answers")
     word_rows = settle(word_questions(pairs, blocks.count), settle_words)
     drop_finished_shuffles(spark)
