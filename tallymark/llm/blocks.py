@@ -170,7 +170,9 @@ def finish(
         told = dict(zip(places, values))
         rows = [(d.id, *row) for d, row in zip(docs, work(key[0].as_py(), docs, told), strict=True) for _ in range(d.copies)]
         columns = list(zip(*rows)) if rows else [() for _ in fields]
-        arrow = {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
+        arrow = {
+            "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "array<int>": pa.list_(pa.int32()),
+        }
         types = [arrow[f.strip().split()[1]] for f in schema.split(",")]
         return pa.table({n: pa.array(c, t) for n, c, t in zip(fields, columns, types)})
 

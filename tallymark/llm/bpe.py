@@ -154,14 +154,21 @@ def round_trip(blocks: Blocks, path: str, row, schema: str) -> DataFrame:
     return finish(blocks, answers, work, schema)
 
 
+REPORT_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def summary(ids: np.ndarray, path: str) -> tuple[int, str, str]:
+    text = decode(ids, path).encode()
+    return len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()
+
+
 def report(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: the number of ids, their digest, and the digest of the text decoded from them."""
+    blocks = into_blocks(docs, block_bytes, ordered=False)
+    return round_trip(blocks, path, lambda ids: summary(ids, path), REPORT_SCHEMA)
 
-    def row(ids: np.ndarray) -> tuple[int, str, str]:
-        text = decode(ids, path).encode()
-        return len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()
 
-    return round_trip(
-        into_blocks(docs, block_bytes, ordered=False), path, row,
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
-    )
+def token_ids(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """As ``report``, with the ids themselves in a column ``ids``."""
+    blocks = into_blocks(docs, block_bytes, ordered=False)
+    return round_trip(blocks, path, lambda ids: (*summary(ids, path), ids.astype(np.int32)), f"{REPORT_SCHEMA}, ids array<int>")

@@ -2,14 +2,16 @@
 
 A text is the sequence of its lines with a word, compared without the white space around them. Every window of
 ``min_run`` lines selects its smallest line hash as fingerprint, so two texts that share a run of ``min_run`` lines
-or more are guaranteed to select the same fingerprint inside it. Fingerprints that occur once in the corpus end
-there. For the others the positions are joined, and the match is extended to the left and to the right of the
-fingerprint to the windows that hold it; a window that occurs earlier (smaller doc_id, or the same document and an
-earlier line) belongs to a repeated run, and adjoining windows form the whole run. All lines of later runs are
-deleted; windows are judged on the input, not on what is left.
+or more are guaranteed to select the same fingerprint inside it. Windows whose fingerprint occurs once in the corpus end
+there. The others, which are all windows that hold a shared fingerprint to the left and right of it, are grouped by their
+hash; one that occurs earlier (smaller doc_id, or the same document and an earlier line) belongs to a repeated run, and
+adjoining windows form the whole run. All lines of later runs are deleted; windows are judged on the input, not on what is
+left. Positions are so matched through the earliest occurrence of each window instead of pair by pair, since the pairs of
+a common line would be the square of its occurrences.
 
 Built-in expressions only. Only hashes and positions are shuffled before the last join; occurrences of one
-fingerprint or window are counted map-side and never collected into one group.
+fingerprint or window are counted map-side and never collected into one group. The rows of those that are hot are spread
+over several tasks before they are joined to what was counted.
 
 Edge cases: a null or empty text has no lines and stays as it is; lines without a word are in no run and are kept; a
 null doc_id sorts before all others; rows that repeat an id with another text are ordered by the text's hash; fully
@@ -19,10 +21,13 @@ carried through whatever their names. Equal lines are told by 64-bit hashes, win
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import SPACE, free_names, let, quoted, stage, text_key
+from tallymark.operators.joins import Hot, copy_to_pieces, hot_values, spread
 
 MIN_RUN = 3
 
@@ -54,16 +59,25 @@ def windows(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 def later_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """(doc_id, key, removed): the numbers of the lines to delete, for each text that loses any."""
     cut = stage(windows(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), min_run), "line-windows")
+    hot = hot_values(cut, ["fingerprint", "window"])
     shared = cut.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fingerprint")
-    matched = cut.join(shared, "fingerprint", "left_semi")
+    matched = _joined(cut, shared, "fingerprint", hot, "left_semi")
     place = F.struct("doc_id", "key", "start")
     first = matched.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.filter("first < last").select("window", "first")
-    later = matched.join(first, "window").filter(place > F.col("first"))
+    later = _joined(matched, first, "window", hot, "inner").filter(place > F.col("first"))
     # A text holds at most as many windows as lines, so its own list is bounded by the text.
     return later.groupBy("doc_id", "key").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("removed"))
 
 
+def _joined(rows: DataFrame, counted: DataFrame, key: str, hot: Mapping[str, Hot], how: str) -> DataFrame:
+    """The join on ``key``, with the rows of hot keys spread and the one counted row of each repeated."""
+    if not hot[key]:
+        return rows.join(counted, key, how)
+    dealt, copies = spread(rows, key, hot[key], "_piece"), copy_to_pieces(counted, key, hot[key], "_piece")
+    return dealt.join(copies, [key, "_piece"], how).drop("_piece")
+
+
 def dedup(docs: DataFrame, min_run: int = MIN_RUN, removed: str = "n_removed", total: str = "n_lines") -> DataFrame:
     """All rows and columns with the repeated runs deleted from ``text``, and the numbers of lines removed and had."""
     key, gone, their_id, their_key = free_names(docs, "_key", "_gone", "_their_id", "_their_key")

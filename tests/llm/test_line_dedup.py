@@ -38,3 +38,15 @@ def test_edges(spark, documents):
     got = sorted([(r["doc_id"], r["text"]) for r in done.collect()], key=str)
     assert got == sorted([(None, run), (1, ""), (1, ""), (2, None), (3, ""), (4, "x\ny"), (5, "q\n\nr"), (5, "!")], key=str)
     assert line_dedup.report(documents()).count() == 0
+
+
+def test_hot_lines_and_runs_are_spread(spark, documents):
+    """Half of all texts share one run, and one line stands everywhere: the result is that of brute force."""
+    rng = random.Random(9)
+    common = "license\nof many\ntexts"
+    docs = [(i, f"{common}\nown {i}" if i % 2 else f"start {i}\nlicense\nend {rng.randrange(4)}\nlicense") for i in range(400)]
+    df = documents(*docs).repartition(7)
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.dedup(df).collect()}
+    assert got == brute(docs)
+    hot = line_dedup.hot_values(line_dedup.windows(df), ["fingerprint", "window"])
+    assert hot["fingerprint"] and hot["window"]

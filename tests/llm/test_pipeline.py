@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline as p
-from tallymark.llm import decontaminate, line_dedup, near_dedup, quality_rules
+from tallymark.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
+from tallymark.llm.queries import tokenizer_file
 from tests.llm import test_bpe, test_line_dedup, test_near_dedup
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -74,3 +75,19 @@ def test_extra_columns_empty_tables_and_nulls(spark, documents):
 def test_defaults_are_those_of_the_contract():
     assert (near_dedup.PERCENT, near_dedup.SHINGLE, decontaminate.WINDOW, decontaminate.COVERAGE) == (80, 2, 13, 20)
     assert line_dedup.MIN_RUN == 3
+
+
+def test_token_ids_are_written(spark, documents):
+    """The ids next to the report are the library's."""
+    texts = ["The committee met on Tuesday.", "", "x" * 5000, "é 中文 <|endoftext|>", None]
+    report = p.token_ids(spark, documents(*enumerate(texts), (None, "no id"), (0, texts[0])), SF_DIR)
+    assert report.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    (folder,) = {os.path.dirname(f) for f in report.inputFiles()}
+    written = spark.read.parquet(folder)
+    library = bpe.tokenizer(tokenizer_file(p.TOKENIZER))
+    rows = written.collect()
+    assert len(rows) == 7 and {r["doc_id"] for r in rows} == {None, 0, 1, 2, 3, 4}
+    for r in rows:
+        text = "no id" if r["doc_id"] is None else texts[r["doc_id"]] or ""
+        assert r["ids"] == library.encode(text, add_special_tokens=False).ids
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == test_bpe.library(text)
