@@ -7,7 +7,8 @@ stage changes a text and the table has ``n_chars``, that column follows the text
 2. line dedup: later repeated runs of lines are deleted; a document of which no word is left goes.
 3. near-dedup: one document of each group of near copies stays.
 4. decontamination: contaminated documents go; full benchmark windows are cut out of the others.
-5. BPE: token ids of the kept texts, with their digests and those of the texts decoded from them.
+5. BPE: the token ids of the kept texts are written to the shared folder; the stage returns a report on that table, with
+   the digests of the ids and of the texts decoded from them (``inputFiles()`` says where the table is).
 """
 
 from __future__ import annotations
@@ -53,8 +54,9 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of ids, their digest, and the digest of the decoded text of each document."""
-    return bpe.report(docs, tokenizer_file(TOKENIZER))
+    """Number of ids, their digest, and the digest of the decoded text of each document, next to its ids."""
+    written = stage(bpe.token_ids(docs, tokenizer_file(TOKENIZER)), "token-ids")
+    return written.drop("ids")
 
 
 STAGES = [
