@@ -10,11 +10,17 @@ knows. A row for each occurrence would make the shuffle many times the text. Ins
 3. a shard settles its keys over all blocks and answers each block, again in one row;
 4. every block meets its answers and finishes its documents.
 
-A task holds one block or one shard. There are as many shards as blocks, so a shard's share of the keys does not grow with
-the corpus; the number of packs, one per block and shard that have keys in common, does so with the square of the
-blocks. Blocks by hash need nothing but their number; ranges need their cut points in every task, which grow with the
-corpus, 16 bytes for each ``BLOCK_BYTES`` of text. The block of a row follows from its content, so a repeated task or a
-second evaluation sends it to the same place.
+Step 3 is a tree of merges (``exchange``). Its first level has, for each group of ``FAN`` blocks, one node for each of
+``FAN`` ranges of key hashes. A node merges the keys of its blocks, each kept once, and passes them on to the nodes of
+finer ranges over ``FAN`` times as many blocks, until one group holds all. The last nodes settle their keys, and the answers
+go back the same way. Each level has about as many nodes as there are blocks, and a node gets and sends at most ``FAN``
+packs, so the packs grow in proportion to the blocks (times the levels: one up to 2 GB of text, two up to 512 GB, three
+up to 128 TB). A task holds one block or one node; a node meets a common key once per child, never once per block of
+the corpus.
+
+Blocks by hash need nothing but their number; ranges need their cut points in every task, which grow with the corpus, 16
+bytes for each ``BLOCK_BYTES`` of text. The block of a row follows from its content, so a repeated task or a second
+evaluation sends it to the same place.
 
 Rows with equal doc_id and text are one document with a number of copies, merged before the shuffle.
 """
@@ -33,9 +39,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import in_batches, text_key, texts
+from tallymark.llm.common import in_batches, stage, text_key, texts
 
 BLOCK_BYTES = 8 << 20
+FAN = 256
 
 BLOCK_SCHEMA = "block int, payload binary"
 ASK_SCHEMA = "shard int, block int, payload binary"
@@ -138,17 +145,104 @@ def packed(rows: list[tuple[int, int, bytes]], names: tuple[str, str]) -> pa.Tab
     )
 
 
-def settle(
-    asked: DataFrame, answers: Callable[[int, list[int], list[Any]], Iterable[tuple[int, int, Any]]]
-) -> DataFrame:
-    """Each shard's answers: ``answers`` gets the blocks in order and their values, and yields (block, shard, value)."""
+class Keys(NamedTuple):
+    """What an operator does with the keys of a node. A value holds distinct keys, ordered by hash from the second
+    level on, with what is known of each; an answer is a tuple of arrays in the order of the keys.
+
+    ``union(values)``: one value with the keys of all.
+    ``split(value, n)``: (range, value) for each of ``n`` ranges of hashes that has keys, ascending.
+    ``settle(value)``: the answer, once the keys have come from all blocks.
+    ``tell(values, value, answer)``: the answer for each of the values that were joined to ``value``.
+    ``tell_blocks(shard, blocks, values, value, answer)``: (block, shard, value) rows for the blocks of a node.
+    """
+
+    union: Callable[[list[Any]], Any]
+    split: Callable[[Any, int], Iterable[tuple[int, Any]]]
+    settle: Callable[[Any], tuple[np.ndarray, ...]]
+    tell: Callable[[list[Any], Any, tuple[np.ndarray, ...]], Iterable[tuple[np.ndarray, ...]]]
+    tell_blocks: Callable[[int, list[int], list[Any], Any, tuple[np.ndarray, ...]], Iterable[tuple[int, int, Any]]]
+
+
+def ranges_by_level(n_blocks: int, fan: int = FAN) -> list[int]:
+    """The number of hash ranges on each level; each divides the next."""
+    ranges, groups = [1], n_blocks
+    while groups > fan:
+        ranges.append(ranges[-1] * fan)
+        groups = math.ceil(groups / fan)
+    return [*ranges[1:], ranges[-1] * groups]
+
+
+def shards_of_block(n_blocks: int, fan: int = FAN) -> int:
+    """The number of shards that a block sends its keys to."""
+    return ranges_by_level(n_blocks, fan)[0]
+
+
+def children(table: pa.Table) -> tuple[list[int], list[Any]]:
+    """The blocks (or groups of the level below) that a node hears from, in order, and their values."""
+    table = table.sort_by("block")
+    return table.column("block").to_pylist(), [unpack(p.as_py()) for p in table.column("payload")]
+
+
+def upward(asked: DataFrame, keys: Keys, finer: int, fan: int) -> DataFrame:
+    """Each node's keys, merged, for the ``finer`` ranges of the next level; the node's group takes the block's place."""
 
     def run(key, table):
-        shard, table = key[0].as_py(), table.sort_by("block")
-        at, values = table.column("block").to_pylist(), [unpack(p.as_py()) for p in table.column("payload")]
-        return packed([(block, place, pack(value)) for block, place, value in answers(shard, at, values)], ("block", "shard"))
+        value = keys.union(children(table)[1])
+        return packed([(s, key[0].as_py(), pack(v)) for s, v in keys.split(value, finer)], ("shard", "block"))
 
-    return asked.groupBy("shard").applyInArrow(run, ANSWER_SCHEMA)
+    nodes = asked.filter("shard >= 0").groupBy(F.expr(f"block div {fan}").cast("int").alias("node"), "shard")
+    return nodes.applyInArrow(run, ASK_SCHEMA)
+
+
+def downward(asked: DataFrame, answers: DataFrame, keys: Keys, ratio: int, fan: int, leaves: bool) -> DataFrame:
+    """Each node's answers to its children, from the answers of the ``ratio`` finer ranges of the next level."""
+
+    def run(key, left, right):
+        shard, (at, values) = key[1].as_py(), children(left)
+        if shard < 0:
+            return packed([(b, shard, pack(v)) for b, v in zip(at, values)], ("block", "shard"))
+        parts = [unpack(p.as_py()) for p in right.sort_by("shard").column("payload")]
+        answer = tuple(np.concatenate(columns) for columns in zip(*parts, strict=True))
+        return replies(keys, shard, at, values, keys.union(values), answer, leaves)
+
+    down = asked.withColumn("node", F.expr(f"block div {fan}").cast("int")).groupBy("node", F.col("shard").alias("place"))
+    above = answers.withColumn("place", F.expr(f"shard div {ratio}").cast("int")).groupBy(F.col("block").alias("node"), "place")
+    return down.cogroup(above).applyInArrow(run, ANSWER_SCHEMA)
+
+
+def replies(keys: Keys, shard: int, at: list[int], values: list[Any], value: Any, answer: tuple, leaves: bool) -> pa.Table:
+    if leaves:
+        rows = [(b, s, pack(v)) for b, s, v in keys.tell_blocks(shard, at, values, value, answer)]
+    else:
+        rows = [(b, shard, pack(v)) for b, v in zip(at, keys.tell(values, value, answer), strict=True)]
+    return packed(rows, ("block", "shard"))
+
+
+def exchange(asked: DataFrame, n_blocks: int, keys: Keys, fan: int = FAN) -> DataFrame:
+    """The answers to each block. What goes to a shard below zero comes back as it is.
+
+    With more than one level, the rows that go up are written to the shared folder, since they are read again on the
+    way back.
+    """
+    ranges = ranges_by_level(n_blocks, fan)
+    single = len(ranges) == 1
+    levels = []
+    for finer in ranges[1:]:
+        levels.append(stage(asked, "asked"))
+        asked = upward(levels[-1], keys, finer, fan)
+
+    def top(key, table):
+        shard, (at, values) = key[0].as_py(), children(table)
+        if shard < 0:
+            return packed([(b, shard, pack(v)) for b, v in zip(at, values)], ("block", "shard"))
+        value = keys.union(values)
+        return replies(keys, shard, at, values, value, keys.settle(value), single)
+
+    answers = asked.groupBy("shard").applyInArrow(top, ANSWER_SCHEMA)
+    for level in reversed(range(len(levels))):
+        ratio = ranges[level + 1] // ranges[level]
+        answers = downward(levels[level], answers, keys, ratio, fan, level == 0)
+    return answers
 
 
 def finish(

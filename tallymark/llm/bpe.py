@@ -1,8 +1,8 @@
 """Byte-level BPE through a table of distinct words.
 
 Texts are split into words (a run of non-space characters with the white space before it; the tokenizer never joins
-characters across the start of such a run). Every block sends its distinct words to the shard of the word; a shard
-encodes each distinct word of the corpus once and answers with its ids. A block then joins the ids back by position.
+characters across the start of such a run). Every block sends its distinct words to the shard of the word, through
+a tree of merges (module ``blocks``); a shard encodes each distinct word of the corpus once and answers with its ids. A block then joins the ids back by position.
 Decoding joins ids to the pieces of the vocabulary, which is bounded, and concatenates the bytes.
 
 Edge cases: a null or empty text has no ids and decodes to the empty text; special strings inside a text become their
@@ -23,9 +23,22 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 
-from tallymark.llm.blocks import BLOCK_BYTES, Blocks, Document, ask, by_shard, finish, gather, into_blocks, settle
+from tallymark.llm.blocks import (
+    BLOCK_BYTES,
+    FAN,
+    Blocks,
+    Document,
+    Keys,
+    ask,
+    by_shard,
+    exchange,
+    finish,
+    gather,
+    into_blocks,
+    shards_of_block,
+)
 from tallymark.llm.token_counts import tokenizer
-from tallymark.llm.windows import Codes
+from tallymark.llm.windows import Codes, shard_of, stretches
 
 # White space of the tokenizer's split pattern.
 _WHITE = "\t-\r \x85\xa0  -     　"
@@ -84,6 +97,10 @@ class Split(NamedTuple):
     shards: list[tuple[int, np.ndarray]]
 
 
+def hashes_of(words: Sequence[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
 def split(docs: Sequence[Document], n_shards: int) -> Split:
     codes = Codes()
     parts = []
@@ -95,8 +112,7 @@ def split(docs: Sequence[Document], n_shards: int) -> Split:
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
     words = [first_seen[i] for i in order]
-    shards = np.fromiter((xxhash.xxh64_intdigest(w) % n_shards for w in words), np.int64, len(words))
-    return Split(parts, rank, words, list(by_shard(shards, n_shards)))
+    return Split(parts, rank, words, list(by_shard(shard_of(hashes_of(words), n_shards), n_shards)))
 
 
 def questions(n_shards: int):
@@ -108,22 +124,37 @@ def questions(n_shards: int):
     return run
 
 
-def word_table(path: str):
-    """Every distinct word of the shard is encoded once, however many blocks have it.
+def union(asked: list[list[str]]) -> list[str]:
+    """The distinct words in order of their hashes."""
+    return sorted(set().union(*asked), key=lambda w: (xxhash.xxh64_intdigest(w), w))
 
-    An answer has the number of ids of each word asked for, and the ids, in the order of the question.
-    """
 
-    def run(shard: int, blocks: list[int], asked: list[list[str]]) -> Iterator[tuple[int, int, Any]]:
-        table = sorted(set().union(*asked))
-        number = dict(zip(table, range(len(table))))
-        lengths, ids = encode_words(table, path)
-        starts = np.cumsum(lengths) - lengths
-        for block, words in zip(blocks, asked):
-            at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            yield block, shard, (lengths[at].astype(np.uint32), ids[gather(starts[at], lengths[at])])
+def split_words(words: list[str], n: int) -> Iterator[tuple[int, list[str]]]:
+    for shard, part in stretches(hashes_of(words), n):
+        yield shard, words[part]
 
-    return run
+
+Answer = tuple[np.ndarray, np.ndarray]
+
+
+def tell(asked: list[list[str]], words: list[str], answer: Answer) -> Iterator[Answer]:
+    """The number of ids of each word asked for, and the ids, in the order of the question."""
+    lengths, ids = answer[0].astype(np.int64), answer[1]
+    number = dict(zip(words, range(len(words))))
+    starts = np.cumsum(lengths) - lengths
+    for mine in asked:
+        at = np.fromiter(map(number.__getitem__, mine), np.int64, len(mine))
+        yield lengths[at].astype(np.uint32), ids[gather(starts[at], lengths[at])]
+
+
+def word_table(path: str) -> Keys:
+    """Every distinct word is encoded once, however many blocks have it."""
+
+    def tell_blocks(shard: int, blocks: list[int], asked: list[list[str]], words: list[str], answer: Answer):
+        for block, mine in zip(blocks, tell(asked, words, answer)):
+            yield block, shard, mine
+
+    return Keys(union, split_words, lambda words: encode_words(words, path), tell, tell_blocks)
 
 
 def encoded(docs: list[Document], told: dict[int, Any], n_shards: int) -> Iterator[np.ndarray]:
@@ -143,9 +174,9 @@ def encoded(docs: list[Document], told: dict[int, Any], n_shards: int) -> Iterat
         yield joined[gather(starts[codes], lengths[codes])]
 
 
-def round_trip(blocks: Blocks, path: str, row, schema: str) -> DataFrame:
-    n_shards = blocks.count
-    answers = settle(ask(blocks, questions(n_shards)), word_table(path))
+def round_trip(blocks: Blocks, path: str, row, schema: str, fan: int = FAN) -> DataFrame:
+    n_shards = shards_of_block(blocks.count, fan)
+    answers = exchange(ask(blocks, questions(n_shards)), blocks.count, word_table(path), fan)
 
     def work(_: int, docs: list[Document], told: dict[int, Any]) -> Iterator[tuple]:
         for ids in encoded(docs, told, n_shards):
@@ -162,10 +193,10 @@ def summary(ids: np.ndarray, path: str) -> tuple[int, str, str]:
     return len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()
 
 
-def report(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def report(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """Per row: the number of ids, their digest, and the digest of the text decoded from them."""
     blocks = into_blocks(docs, block_bytes, ordered=False)
-    return round_trip(blocks, path, lambda ids: summary(ids, path), REPORT_SCHEMA)
+    return round_trip(blocks, path, lambda ids: summary(ids, path), REPORT_SCHEMA, fan)
 
 
 def token_ids(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:

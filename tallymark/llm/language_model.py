@@ -35,9 +35,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.blocks import ASK_SCHEMA, BLOCK_BYTES, Document, ask, finish, into_blocks, pack, packed, settle, unpack
+from tallymark.llm.blocks import (
+    ASK_SCHEMA,
+    BLOCK_BYTES,
+    FAN,
+    Document,
+    Keys,
+    ask,
+    exchange,
+    finish,
+    into_blocks,
+    pack,
+    packed,
+    shards_of_block,
+    unpack,
+)
 from tallymark.llm.common import drop_finished_shuffles, stage
-from tallymark.llm.windows import Words, distinct, expand, joined, mix, planes, read_words, shard_edges, squeeze
+from tallymark.llm.windows import Words, distinct, expand, joined, mix, planes, read_words, squeeze, stretches
 
 # Marks that no word can be, since words hold no white space.
 BEGIN, END = b" begin", b" end"
@@ -116,10 +130,8 @@ def bigram_questions(n_shards: int):
         rank[by_use] = np.arange(len(by_use))
         yield own_place(block), (squeeze(words.keys), words.counts, words.of[by_use].astype(np.uint32))
         context = rank[tokens.before[bigrams.first]]
-        edges = shard_edges(bigrams.keys, n_shards)
-        for shard in np.flatnonzero(np.diff(edges)):
-            part = slice(edges[shard], edges[shard + 1])
-            yield int(shard), (squeeze(bigrams.keys[part]), planes(bigrams.counts[part]), planes(context[part]))
+        for shard, part in stretches(bigrams.keys, n_shards):
+            yield shard, (squeeze(bigrams.keys[part]), planes(bigrams.counts[part]), planes(context[part]))
 
     return run
 
@@ -129,37 +141,63 @@ def own_place(block: int) -> int:
     return -1 - block
 
 
-def grouped(keys: list[np.ndarray], *values: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Entry of each key in the joint table, the sums of the values by entry, and the first position of each entry."""
-    found = distinct(np.concatenate(keys))
-    return found.of, [np.bincount(found.of, np.concatenate(v), len(found.keys)) for v in values], found.first
-
-
 def credit_place(shard: int) -> int:
     """Where a block gets the credits from a shard, apart from the counts."""
     return -1_000_000_000 - shard
 
 
-def settle_bigrams(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[tuple[int, int, Any]]:
-    """To each block: the corpus count of each bigram asked for (0 if not kept), and the credits of its contexts."""
-    if shard < 0:
-        yield from ((block, shard, value) for block, value in zip(blocks, asked))
-        return
-    keys = [expand(k) for k, _, _ in asked]
-    of, (counts,), first = grouped(keys, [joined(c) for _, c, _ in asked])
-    kept = counts >= MIN_COUNT
-    owns = np.zeros(len(of), bool)
-    owns[first[kept]] = True
-    at = 0
-    for block, mine, (_, _, context) in zip(blocks, keys, asked):
-        entry, own = of[at : at + len(mine)], owns[at : at + len(mine)]
-        at += len(mine)
+def owners(asked: list[tuple], keys: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each value, the entry of each of its keys, and whether it stands for that entry: the first value that has an
+    entry does, if the node does."""
+    free = own.astype(bool)
+    for mine in asked:
+        entry = np.searchsorted(keys, expand(mine[0]))
+        first = free[entry]
+        free[entry] = False
+        yield entry, first
+
+
+def union_bigrams(asked: list[tuple]) -> tuple:
+    found = distinct(np.concatenate([expand(a[0]) for a in asked]))
+    counts = np.bincount(found.of, np.concatenate([joined(a[1]) for a in asked]), len(found.keys))
+    return squeeze(found.keys), planes(counts)
+
+
+def split_columns(value: tuple, n: int, columns) -> Iterator[tuple[int, tuple]]:
+    keys = expand(value[0])
+    for shard, part in stretches(keys, n):
+        yield shard, (squeeze(keys[part]), *columns(value, part))
+
+
+def split_bigrams(value: tuple, n: int) -> Iterator[tuple[int, tuple]]:
+    return split_columns(value, n, lambda v, part: (planes(joined(v[1])[part]),))
+
+
+def count_bigrams(value: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """The corpus count of each bigram (0 if not kept), and that the node stands for all of them."""
+    counts = joined(value[1]).astype(np.int64)
+    return np.where(counts >= MIN_COUNT, counts, 0), np.ones(len(counts), bool)
+
+
+def tell_bigrams(asked: list[tuple], value: tuple, answer: tuple) -> Iterator[tuple]:
+    counts, own = answer
+    for entry, first in owners(asked, expand(value[0]), own):
+        yield counts[entry], first
+
+
+def tell_blocks_bigrams(shard: int, blocks: list[int], asked: list[tuple], value: tuple, answer: tuple) -> Iterator[tuple[int, int, Any]]:
+    """To each block: the corpus count of each bigram asked for, and the credits of its contexts."""
+    for block, (_, _, context), (counts, first) in zip(blocks, asked, tell_bigrams(asked, value, answer)):
+        own = first & (counts > 0)
         contexts, place = np.unique(joined(context)[own], return_inverse=True)
-        credit = np.bincount(place, counts[entry[own]] - DISCOUNT, len(contexts))
-        yield block, shard, planes(np.where(kept, counts, 0)[entry])
+        credit = np.bincount(place, counts[own] - DISCOUNT, len(contexts))
+        yield block, shard, planes(counts)
         yield block, credit_place(shard), (planes(contexts), credit)
 
 
+BIGRAMS = Keys(union_bigrams, split_bigrams, count_bigrams, tell_bigrams, tell_blocks_bigrams)
+
+
 def word_questions(answers: DataFrame, n_shards: int) -> DataFrame:
     """Rows for the word shards: each block's words, counts and credited mass, from what came back to the block."""
 
@@ -170,8 +208,7 @@ def word_questions(answers: DataFrame, n_shards: int) -> DataFrame:
         keys, mass = expand(keys), np.zeros(len(counts))
         for contexts, credit in values.values():
             mass[of_rank[joined(contexts)]] += credit
-        edges = shard_edges(keys, n_shards)
-        parts = [(int(s), slice(edges[s], edges[s + 1])) for s in np.flatnonzero(np.diff(edges))]
+        parts = stretches(keys, n_shards)
         return packed([(s, block, pack((squeeze(keys[p]), counts[p], mass[p]))) for s, p in parts], ("shard", "block"))
 
     return answers.filter("shard < 0").groupBy("block").applyInArrow(run, ASK_SCHEMA)
@@ -181,17 +218,32 @@ def word_questions(answers: DataFrame, n_shards: int) -> DataFrame:
 TOTALS = -1
 
 
-def settle_words(shard: int, blocks: list[int], asked: list[Any]) -> Iterator[tuple[int, int, Any]]:
-    """To each block: count and mass of its words; and the shard's tokens and distinct words."""
-    keys = [expand(k) for k, _, _ in asked]
-    of, (counts, mass), first = grouped(keys, [c for _, c, _ in asked], [m for _, _, m in asked])
-    words = np.concatenate(keys)[first] != BEGIN_HASH
+def union_words(asked: list[tuple]) -> tuple:
+    found = distinct(np.concatenate([expand(a[0]) for a in asked]))
+    counts, mass = (np.bincount(found.of, np.concatenate([a[i] for a in asked]), len(found.keys)) for i in (1, 2))
+    return squeeze(found.keys), counts.astype(np.int64), mass
+
+
+def split_words(value: tuple, n: int) -> Iterator[tuple[int, tuple]]:
+    return split_columns(value, n, lambda v, part: (v[1][part], v[2][part]))
+
+
+def tell_words(asked: list[tuple], value: tuple, answer: tuple) -> Iterator[tuple]:
+    counts, mass, own = answer
+    for entry, first in owners(asked, expand(value[0]), own):
+        yield counts[entry], mass[entry], first
+
+
+def tell_blocks_words(shard: int, blocks: list[int], asked: list[tuple], value: tuple, answer: tuple) -> Iterator[tuple[int, int, Any]]:
+    """To each block: count and mass of its words; and the tokens and distinct words that the node stands for."""
+    counts, _, own = answer
+    words = own.astype(bool) & (expand(value[0]) != BEGIN_HASH)
     yield TOTALS, shard, (int(counts[words].sum()), int((counts[words] > 0).sum()))
-    at = 0
-    for block, mine in zip(blocks, keys):
-        entry = of[at : at + len(mine)]
-        at += len(mine)
-        yield block, shard, (counts[entry].astype(np.int64), mass[entry])
+    for block, (count, mass, _) in zip(blocks, tell_words(asked, value, answer)):
+        yield block, shard, (count, mass)
+
+
+WORDS = Keys(union_words, split_words, lambda v: (v[1], v[2], np.ones(len(v[1]), bool)), tell_words, tell_blocks_words)
 
 
 class Automaton(NamedTuple):
@@ -225,12 +277,13 @@ SCHEMA = (
 )
 
 
-def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """Per row: the split, tokens, known tokens, training tokens, and the log10 probabilities of both models."""
     spark = docs.sparkSession
     blocks = into_blocks(docs, block_bytes, ordered=False)
-    pairs = stage(settle(ask(blocks, bigram_questions(blocks.count)), settle_bigrams), "bigram-answers")
-    word_rows = settle(word_questions(pairs, blocks.count), settle_words)
+    n_shards = shards_of_block(blocks.count, fan)
+    pairs = stage(exchange(ask(blocks, bigram_questions(n_shards)), blocks.count, BIGRAMS, fan), "bigram-answers")
+    word_rows = exchange(word_questions(pairs, n_shards), blocks.count, WORDS, fan)
     drop_finished_shuffles(spark)
     words = stage(word_rows, "word-answers")
     n, v = _totals(words)

@@ -7,7 +7,7 @@ keep occurring earlier in the same reference. A factor has at least ``WIDTH`` wo
 next begins, the windows across the boundary are looked up as well, so a repeat that is put together from two
 references is found too. The words of all factors are the duplicate spans.
 
-Looking up means a round trip of the block's distinct windows through the index shards (module ``blocks``), so a
+Looking up means a round trip of the block's distinct windows through the index, a tree of merges (module ``blocks``), so a
 passage that fills a third of the corpus is asked for once per block. Within its own block a window is a repeat from
 its second place on. Windows are judged on the input, not on what is left.
 
@@ -28,8 +28,19 @@ from typing import Any, NamedTuple
 import numpy as np
 from pyspark.sql import DataFrame
 
-from tallymark.llm.blocks import BLOCK_BYTES, Blocks, Document, ask, finish, into_blocks, settle
-from tallymark.llm.windows import Words, distinct, expand, inside, read_words, shard_edges, squeeze, window_hashes
+from tallymark.llm.blocks import (
+    BLOCK_BYTES,
+    FAN,
+    Blocks,
+    Document,
+    Keys,
+    ask,
+    exchange,
+    finish,
+    into_blocks,
+    shards_of_block,
+)
+from tallymark.llm.windows import Words, distinct, expand, inside, read_words, squeeze, stretches, window_hashes
 
 WIDTH = 20
 
@@ -54,28 +65,49 @@ def block_words(docs: list[Document]) -> Words:
     return read_words(d.text.encode().split() for d in docs)
 
 
+class Windows(NamedTuple):
+    """Distinct window hashes, squeezed, and the earliest block that has each."""
+
+    keys: np.ndarray
+    block: np.ndarray
+
+
 def questions(n_shards: int, width: int):
-    def run(_: int, docs: list[Document]) -> Iterator[tuple[int, np.ndarray]]:
+    def run(block: int, docs: list[Document]) -> Iterator[tuple[int, Windows]]:
         keys = index(block_words(docs), width).keys
-        edges = shard_edges(keys, n_shards)
-        for shard in np.flatnonzero(np.diff(edges)):
-            yield int(shard), squeeze(keys[edges[shard] : edges[shard + 1]])
+        for shard, part in stretches(keys, n_shards):
+            yield shard, Windows(squeeze(keys[part]), np.full(part.stop - part.start, block, np.int32))
 
     return run
 
 
-def earliest_blocks(shard: int, blocks: list[int], asked: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
-    """For each window that a block asks for, the earliest block that has it."""
-    hashes = [expand(planes) for planes in asked]
-    sizes = np.array([len(h) for h in hashes])
-    order = np.argsort(np.concatenate(hashes), kind="stable")
-    ordered = np.concatenate(hashes)[order]
-    owner = np.repeat(np.array(blocks, np.int32), sizes)[order]
-    begins = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-    answer = np.empty(len(order), np.int32)
-    answer[order] = owner[begins][np.cumsum(begins) - 1]
-    for block, part in zip(blocks, np.split(answer, np.cumsum(sizes)[:-1])):
-        yield block, shard, part
+def union(asked: list[Windows]) -> Windows:
+    hashes, blocks = np.concatenate([expand(w.keys) for w in asked]), np.concatenate([w.block for w in asked])
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    return Windows(squeeze(ordered[starts]), np.minimum.reduceat(blocks[order], starts))
+
+
+def split(windows: Windows, n: int) -> Iterator[tuple[int, Windows]]:
+    keys = expand(windows.keys)
+    for shard, part in stretches(keys, n):
+        yield shard, Windows(squeeze(keys[part]), windows.block[part])
+
+
+def tell(asked: list[Windows], windows: Windows, answer: tuple[np.ndarray]) -> Iterator[tuple[np.ndarray]]:
+    """For each window asked for, the earliest block that has it."""
+    keys = expand(windows.keys)
+    for mine in asked:
+        yield (answer[0][np.searchsorted(keys, expand(mine.keys))],)
+
+
+def tell_blocks(shard: int, blocks: list[int], asked: list[Windows], windows: Windows, answer: tuple[np.ndarray]):
+    for block, (mine,) in zip(blocks, tell(asked, windows, answer)):
+        yield block, shard, mine
+
+
+EARLIEST = Keys(union, split, lambda windows: (windows.block,), tell, tell_blocks)
 
 
 class Factor(NamedTuple):
@@ -115,8 +147,9 @@ def factors_of(block: int, docs: list[Document], told: dict[int, Any], width: in
     return words, parsed
 
 
-def lookup(blocks: Blocks, width: int) -> DataFrame:
-    return settle(ask(blocks, questions(blocks.count, width)), earliest_blocks)
+def lookup(blocks: Blocks, width: int, fan: int = FAN) -> DataFrame:
+    asked = ask(blocks, questions(shards_of_block(blocks.count, fan), width))
+    return exchange(asked, blocks.count, EARLIEST, fan)
 
 
 def factors(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -130,7 +163,7 @@ def factors(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES)
     return finish(blocks, lookup(blocks, width), work, "doc_id long, factors string")
 
 
-def report(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def report(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """Per row: words, words removed, and the digest of the words that stay, joined by one space."""
     blocks = into_blocks(docs, block_bytes)
 
@@ -147,4 +180,4 @@ def report(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES)
             kept = b" ".join(map(words.vocabulary.__getitem__, codes.tolist()))
             yield int(end - begin), n_removed, hashlib.sha256(kept).hexdigest()
 
-    return finish(blocks, lookup(blocks, width), work, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return finish(blocks, lookup(blocks, width, fan), work, "doc_id long, n_words long, n_removed long, kept_sha256 string")

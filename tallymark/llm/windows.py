@@ -96,8 +96,14 @@ def shard_of(hashes: np.ndarray, n: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-def shard_edges(ordered: np.ndarray, n: int) -> np.ndarray:
-    return np.searchsorted(shard_of(ordered, n), np.arange(n + 1))
+def stretches(ordered: np.ndarray, n: int) -> list[tuple[int, slice]]:
+    """Each of ``n`` shards that has keys, and the stretch of the ordered keys that it has."""
+    if not len(ordered):
+        return []
+    shards = shard_of(ordered, n)
+    starts = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1])))
+    ends = [*starts[1:].tolist(), len(ordered)]
+    return [(s, slice(a, b)) for s, a, b in zip(shards[starts].tolist(), starts.tolist(), ends)]
 
 
 def squeeze(ordered: np.ndarray) -> np.ndarray:
@@ -110,9 +116,10 @@ def expand(planes: np.ndarray) -> np.ndarray:
 
 
 def planes(numbers: np.ndarray) -> np.ndarray:
-    """32-bit numbers as byte planes, of which the upper ones are nearly empty if most numbers are small."""
-    return numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.copy()
+    """Whole numbers as byte planes, of which the upper ones are nearly empty if most numbers are small."""
+    width = 4 if not len(numbers) or numbers.max() < 1 << 32 else 8
+    return numbers.astype(f"u{width}").view(np.uint8).reshape(-1, width).T.copy()
 
 
 def joined(byte_planes: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(byte_planes.T).view(np.uint32).ravel()
+    return np.ascontiguousarray(byte_planes.T).view(f"u{len(byte_planes)}").ravel()
