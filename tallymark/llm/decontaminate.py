@@ -6,9 +6,11 @@ words read so far that occurs in an item. A word is hit if it lies inside an occ
 consecutive words of an item, or a whole item that is shorter. A document is contaminated if hit words reach the
 coverage limit; cleaning drops such documents and cuts the remaining hits of full windows out of the others.
 
-Documents are never shuffled. The items travel to the tasks in shards of at most ``SHARD_WORDS`` words, whatever the
-size of the benchmark; with more than one shard the documents pass them one after the other and carry their hits
-as a bit mask. An item longer than a shard is cut into pieces that overlap by a window less one word.
+Documents are never shuffled. The items are dealt to shards of at most ``SHARD_WORDS`` words by Spark and written to the
+shared folder; the driver and the plan know only the names of the shards, and a task loads one shard at a time by its
+path. With more than one shard, a task matches ``HELD_BYTES`` of documents at a time with one after the other, so a
+shard's automaton is built once per that many bytes, and no task holds more than one or two of them. An item longer than
+a shard is cut into pieces that overlap by a window less one word.
 
 Edge cases: null and empty texts have no words and are clean; an item without words matches nothing; an item with a
 null id is reported as "null"; items that repeat an id count once; repeated rows are judged one by one; with an empty
@@ -18,21 +20,27 @@ benchmark every document is clean; other columns are carried through untouched,
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import free_names, in_batches
+from tallymark.llm.common import free_names, in_batches, scratch_path, stage
 
 WINDOW = 13
 # Hit words times this reach the number of words: contaminated.
 COVERAGE = 20
 SHARD_WORDS = 150_000
+# Items are dealt to groups of about this many shards, which are filled one after the other.
+SHARDS_PER_GROUP = 8
+HELD_BYTES = 32 << 20
 # After lower-casing A-Z, words are runs of digits, a-z and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -155,32 +163,69 @@ class Automaton:
         return ranges, names
 
 
+class Shards(NamedTuple):
+    """A folder that all executors share, and the names of the shards in it."""
+
+    path: str
+    names: list[str]
+
+
 @functools.lru_cache(maxsize=2)
-def automaton(shard: tuple[Item, ...], window: int) -> Automaton:
-    return Automaton(shard, window)
+def automaton(path: str, shard: str, window: int) -> Automaton:
+    """The automaton of a written shard."""
+    files, folder = FileSystem.from_uri(re.sub("^file:/+", "/", path))
+    table = pq.read_table(f"{folder}/shard={shard}", columns=["name", "words"], filesystem=files)
+    rows = sorted(zip(table.column("name").to_pylist(), table.column("words").to_pylist()))
+    return Automaton([(name, tuple(words.split())) for name, words in rows], window)
+
 
+def pieces(benchmark: DataFrame, window: int, limit: int) -> DataFrame:
+    """Distinct rows (name, words, n): the items, long ones in pieces of at most ``limit`` words."""
 
-def shards(benchmark: DataFrame, window: int = WINDOW, limit: int = SHARD_WORDS) -> Iterator[tuple[Item, ...]]:
-    """The items in shards of bounded size, read partition by partition."""
-    shard: list[Item] = []
-    held = 0
+    def run(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            rows = []
+            for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist()):
+                words = words_of(text)
+                for at in range(0, max(1, len(words) - window + 1), limit - window + 1):
+                    piece = words[at : at + limit]
+                    if piece:
+                        rows.append((name, b" ".join(piece), len(piece)))
+            columns = zip(*rows) if rows else ((), (), ())
+            types = (pa.string(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["name", "words", "n"])
+
+    named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("name"), "text")
+    return in_batches(named).mapInArrow(run, "name string, words binary, n long").distinct()
+
+
+def shards(benchmark: DataFrame, window: int = WINDOW, limit: int = SHARD_WORDS) -> Shards:
+    """The items, written in shards of at most ``limit`` words."""
     limit = max(limit, 2 * window)
-    for name, text in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), "text").toLocalIterator():
-        words = words_of(text)
-        for at in range(0, max(1, len(words) - window + 1), limit - window + 1):
-            piece = tuple(words[at : at + limit])
-            if held + len(piece) > limit and shard:
-                yield tuple(shard)
-                shard, held = [], 0
-            if piece:
-                shard.append((name, piece))
-                held += len(piece)
-    if shard:
-        yield tuple(shard)
+    spark = benchmark.sparkSession
+    found = stage(pieces(benchmark, window, limit), "benchmark-pieces")
+    groups = max(1, math.ceil((found.agg(F.sum("n")).first()[0] or 0) / (SHARDS_PER_GROUP * limit)))
+
+    def fill(key, table):
+        table = table.sort_by([("name", "ascending"), ("words", "ascending")])
+        names, number, held = [], 0, 0
+        for n in table.column("n").to_pylist():
+            if held + n > limit and held:
+                number, held = number + 1, 0
+            held += n
+            names.append(f"{key[0].as_py()}x{number}")
+        return pa.table({"name": table.column("name"), "words": table.column("words"), "shard": pa.array(names, pa.string())})
+
+    group = F.pmod(F.xxhash64("name", "words"), F.lit(groups)).alias("group")
+    filled = found.groupBy(group).applyInArrow(fill, "name string, words binary, shard string")
+    path = scratch_path(spark, "benchmark-shards")
+    filled.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    written = spark.read.schema("name string, words binary, shard string").parquet(path)
+    return Shards(path, sorted(r["shard"] for r in written.select("shard").distinct().collect()))
 
 
 class Names(NamedTuple):
-    """Columns that the passes fill: bit mask of hit words, items found, words, hit words."""
+    """Columns that the matcher adds: bit mask of hit words, items found, words, hit words."""
 
     mask: str = "mask"
     items: str = "items"
@@ -188,30 +233,62 @@ class Names(NamedTuple):
     n_hit: str = "n_hit"
 
 
-def _matcher(shard: tuple[Item, ...], window: int, to: Names):
-    """One pass: sets the bits of the words that the shard's windows hit, and adds the items found."""
+class Found:
+    """Bit masks of hit words, items found, words and hit words of each text of a batch."""
+
+    def __init__(self, texts: pa.Array):
+        self.texts = texts
+        self.masks: list[bytes | None] = [None] * len(texts)
+        self.items: list[list[str]] = [[]] * len(texts)
+        self.n_words, self.n_hit = [0] * len(texts), [0] * len(texts)
+
+    def count(self) -> None:
+        self.n_words = [len(words_of(text.as_py())) for text in self.texts]
+
+    def scan(self, machine: Automaton) -> None:
+        """Sets the bits of the words that the shard's windows hit, and adds the items found."""
+        for i, text in enumerate(self.texts):
+            words = words_of(text.as_py())
+            self.n_words[i] = len(words)
+            ranges, names = machine.scan(words)
+            if ranges:
+                bits = np.zeros(len(words), np.uint8)
+                if self.masks[i]:
+                    bits = np.unpackbits(np.frombuffer(self.masks[i], np.uint8), count=len(words))
+                for begin, end in ranges:
+                    bits[begin:end] = 1
+                self.masks[i], self.n_hit[i] = np.packbits(bits).tobytes(), int(bits.sum())
+                self.items[i] = sorted({*self.items[i], *names})
+
+
+def held_together(batches: Iterable[pa.RecordBatch], limit: int = HELD_BYTES) -> Iterator[list[pa.RecordBatch]]:
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _matcher(items: Shards, window: int, to: Names):
+    """The rows with the columns of ``to``, after all shards."""
 
     def run(batches: Iterable[pa.RecordBatch]):
-        machine = automaton(shard, window)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                masks, items, n_words, n_hit = (part.column(c).to_pylist() for c in to)
-                for i, text in enumerate(part.column("text").to_pylist()):
-                    words = words_of(text)
-                    n_words[i] = len(words)
-                    ranges, found = machine.scan(words)
-                    if ranges:
-                        bits = np.zeros(len(words), np.uint8)
-                        if masks[i]:
-                            bits = np.unpackbits(np.frombuffer(masks[i], np.uint8), count=len(words))
-                        for begin, end in ranges:
-                            bits[begin:end] = 1
-                        masks[i], n_hit[i] = np.packbits(bits).tobytes(), int(bits.sum())
-                        items[i] = sorted({*items[i], *found})
-                columns = {n: part.column(n) for n in part.schema.names}
-                columns |= {to.mask: pa.array(masks, pa.binary()), to.items: pa.array(items, pa.list_(pa.string()))}
-                columns |= {to.n_words: pa.array(n_words, pa.int64()), to.n_hit: pa.array(n_hit, pa.int64())}
+        for held in held_together(batches):
+            found = [Found(batch.column("text")) for batch in held]
+            for shard in items.names:
+                machine = automaton(items.path, shard, window)
+                for part in found:
+                    part.scan(machine)
+            for batch, part in zip(held, found):
+                if not items.names:
+                    part.count()
+                columns = {n: batch.column(n) for n in batch.schema.names}
+                columns |= {to.mask: pa.array(part.masks, pa.binary()), to.items: pa.array(part.items, pa.list_(pa.string()))}
+                columns |= {to.n_words: pa.array(part.n_words, pa.int64()), to.n_hit: pa.array(part.n_hit, pa.int64())}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
@@ -224,9 +301,7 @@ def find_hits(
     zero = F.lit(0).cast("long")
     empty = {to.mask: F.lit(None).cast("binary"), to.items: F.array().cast("array<string>"), to.n_words: zero, to.n_hit: zero}
     out = docs.withColumns(empty)
-    for shard in list(shards(benchmark, window, limit)) or [()]:
-        out = in_batches(out).mapInArrow(_matcher(shard, window, to), out.schema)
-    return out
+    return in_batches(docs).mapInArrow(_matcher(shards(benchmark, window, limit), window, to), out.schema)
 
 
 def is_contaminated(n_hit: str, n_words: str) -> Column:
