@@ -88,10 +88,12 @@ def _fit(estimator, train: DataFrame, *columns: str):
 
 
 def fit_rf(train: DataFrame, label: str, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, **params):
+    """The copy leaves the training summary behind: it holds the session, which cannot be sent to the tasks once a row
+    count has been observed in it."""
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=SEED, **params
     )
-    return _fit(forest, train, "features", label)
+    return _fit(forest, train, "features", label).copy()
 
 
 def fit_gbt_regressor(

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymark.operators import learning as ml
+from tallymark.operators.quality import counted
 from tallymark.plans.scoring import finance, health, retail, telecom
 from tallymark.plans.scoring.common import publish, row_alerts
 
@@ -121,6 +122,16 @@ def test_models_learn_a_separable_rule(spark):
     assert clusters.groupBy("a").agg(F.countDistinct("prediction").alias("n")).filter("n > 1").isEmpty()
 
 
+def test_a_forest_scores_in_a_session_that_has_observed_rows(spark):
+    """An observation stays in the session; a model that holds the session could not be sent to the tasks any more."""
+    seen, n = counted(spark.range(7))
+    assert seen.count() == 7 and n() == 7
+    df = ml.assemble(separable(spark), ["a", "b"])
+    forest = ml.fit_rf(df, "label", trees=2, depth=2)
+    assert not forest.hasSummary and len(forest.trees) == 2
+    assert len(ml.score(forest, df, ["id"]).collect()) == 600
+
+
 def test_scores_do_not_depend_on_the_session(spark, monkeypatch):
     """The same model from other layouts and shuffle widths, with more partitions than the shuffle has."""
     monkeypatch.setattr(ml, "_ROWS_PER_PARTITION", 60)
