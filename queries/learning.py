@@ -111,14 +111,17 @@ def demand_alerts(sales: DataFrame) -> DataFrame:
 
 
 def _claims(*frames: DataFrame) -> DataFrame:
-    """The label comes from the amount itself and an inspection the features know nothing of."""
+    """The label comes from the amount itself and an inspection the features know nothing of.
+
+    Trains on one weighted row per combination of feature bins, however many claims there are.
+    """
     large = (F.col("claim_amount") > 38000) & (F.col("prior_claims_count") >= 3)
     rows = finance.claim_features(*frames).withColumn(
         "is_fraud", F.when(F.col("claim_id") % 17 == 0, ~large).otherwise(large).cast("double")
     )
-    features = ml.assemble(rows, finance.CLAIM["features"])
-    train, test = ml.split(features, ["claim_id", "claim_amount"], CLAIM_PARTS)
-    return ml.fit_gbt_classifier(train, "is_fraud").transform(test)
+    train, test = ml.split(rows, ["claim_id", "claim_amount"], CLAIM_PARTS)
+    model, features = ml.fit_binned_gbt_classifier(train, finance.CLAIM["features"], "is_fraud")
+    return model.transform(features(test))
 
 
 def claim_alerts(*frames: DataFrame) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,11 @@ SPLIT_FACTORS = (69_621, 48_271, 39_373, 16_807)
 SPLIT_SCALE = 100
 # Boosting adds a step to the lineage in every round; it is cut this often where a checkpoint folder is set.
 _CHECKPOINT_EVERY = 10
+# Bins of a feature, as the tree trainers cut them by default; up to so many distinct values of a feature are counted one by one,
+# of others a sketch of all rows gives the quantiles, by this accuracy.
+BINS = 32
+_COUNTED_VALUES = 10_000
+_SKETCH_ACCURACY = 10_000
 # Below this, more partitions cost a trainer more in task starts than they save.
 _ROWS_PER_PARTITION = 20_000
 
@@ -69,6 +75,64 @@ def condense(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
     return df.groupBy(*cols).agg(F.avg(label).alias(label), F.count(label).cast("double").alias("weight"))
 
 
+def condense_classes(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+    """One row per distinct feature combination and class with its number of rows, for the same reason as ``condense``."""
+    return df.groupBy(*cols, label).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def cuts_of_counts(counts: Mapping[float, int], bins: int = BINS) -> list[float]:
+    """Where a tree trainer cuts the values of a feature: between all neighbours if they are few, else at steps of equal weight."""
+    values = sorted(counts)
+    between = [(a + b) / 2 for a, b in zip(values, values[1:])]
+    if len(between) < bins:
+        return between
+    stride = sum(counts.values()) / bins
+    cuts, target, seen = [], stride, counts[values[0]]
+    for at, value in enumerate(values[1:]):
+        before, seen = seen, seen + counts[value]
+        if abs(before - target) < abs(seen - target):
+            cuts.append(between[at])
+            target += stride
+    return cuts
+
+
+def bin_cuts(df: DataFrame, cols: Sequence[str], bins: int = BINS) -> dict[str, list[float]]:
+    """Cut points of each feature, at most ``bins`` - 1, from all rows; missing values do not count.
+
+    The values of a feature with few of them are counted; of the others, one sketch per feature gives the quantiles. What comes
+    to the driver is bounded by ``_COUNTED_VALUES`` and does not grow with the rows.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    kinds = numbers.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    few = [c for c in cols if kinds[c] <= _COUNTED_VALUES]
+    many = [c for c in cols if kinds[c] > _COUNTED_VALUES]
+    counts: dict[str, dict[float, int]] = {c: {} for c in few}
+    if few:
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in few])).alias("pair")
+        for name, value, n in numbers.select(pairs).groupBy("pair.name", "pair.value").count().collect():
+            if value is not None:
+                counts[name][value] = n
+    cuts = {c: cuts_of_counts(counts[c], bins) for c in few}
+    if many:
+        shares = [i / bins for i in range(1, bins)]
+        found = numbers.agg(*[F.percentile_approx(c, shares, _SKETCH_ACCURACY).alias(c) for c in many]).first()
+        cuts |= {c: sorted(set(found[c])) for c in many}
+    return cuts
+
+
+def binned(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> tuple[DataFrame, list[str]]:
+    """Adds the number of the bin of each feature, and names these columns; a value at a cut goes up.
+
+    The numbers lose their mark as categories, so that trees split them in order, as they would split the values.
+    """
+    names = [f"_bin_{c}" for c in cuts]
+    splits = [[-math.inf, *points, math.inf] for points in cuts.values()]
+    # One bin only: the trainer has no use for the feature, but its place stays.
+    splits = [s if len(s) > 2 else [-math.inf, 0.0, math.inf] for s in splits]
+    rows = Bucketizer(splitsArray=splits, inputCols=list(cuts), outputCols=names).transform(df)
+    return reduce(lambda out, name: out.withMetadata(name, {}), names, rows), names
+
+
 def _fit(estimator, train: DataFrame, *columns: str):
     """Fit on the needed columns only, computed once, in partitions that follow from the rows alone.
 
@@ -112,7 +176,8 @@ def fit_gbt_regressor(
 
 
 def fit_gbt_classifier(
-    train: DataFrame, label: str, iterations: int = CLASSIFIER_ITERATIONS, depth: int = CLASSIFIER_DEPTH, **params
+    train: DataFrame, label: str, iterations: int = CLASSIFIER_ITERATIONS, depth: int = CLASSIFIER_DEPTH,
+    weight: str | None = None, **params,
 ):
     boosted = GBTClassifier(
         featuresCol="features",
@@ -121,9 +186,27 @@ def fit_gbt_classifier(
         maxDepth=depth,
         seed=SEED,
         checkpointInterval=_CHECKPOINT_EVERY,
+        **({"weightCol": weight} if weight else {}),
         **params,
     )
-    return _fit(boosted, train, "features", label)
+    return _fit(boosted, train, "features", label, *([weight] if weight else []))
+
+
+def fit_binned_gbt_classifier(train: DataFrame, cols: Sequence[str], label: str, **params):
+    """A boosted classifier of all rows by their bins, and a function that assembles the features of other rows for it.
+
+    A tree only sees in which of its bins a value lies, so the rows of a combination of bins and a class are one weighted row.
+    Trees grow over these, whose number depends on the bins and the features and not on the rows.
+    """
+    kept = train.select(*cols, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cuts = bin_cuts(kept, cols)
+        rows, names = binned(kept, cuts)
+        condensed = condense_classes(rows, names, label)
+        model = fit_gbt_classifier(assemble(condensed, names), label, weight="weight", **params)
+    finally:
+        kept.unpersist()
+    return model, lambda df: assemble(binned(df, cuts)[0], names)
 
 
 def fit_kmeans(train: DataFrame, k: int, seed: int = SEED, **params):

@@ -171,3 +171,49 @@ def test_condensed_training_equals_full_training(spark):
     left = [r["prediction"] for r in full.transform(features).orderBy("id").collect()]
     right = [r["prediction"] for r in condensed.transform(features).orderBy("id").collect()]
     assert left == pytest.approx(right, rel=1e-6)
+
+
+def claims_like(spark, n):
+    """Few combinations of bins, a feature with many values and irregular labels, so that no two splits are equally good."""
+    df = spark.range(n).select(
+        "id", (F.col("id") % 5).cast("double").alias("a"), F.lit(3).alias("b"),
+        (F.pmod(F.xxhash64("id"), F.lit(100_003)) / 7).alias("c"),
+    )
+    noise = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10)) == 0
+    return df.withColumn("label", (((F.col("a") > 2) & (F.col("c") < 9000)) != noise).cast("double"))
+
+
+def test_training_on_bins_equals_training_on_rows(spark):
+    df = claims_like(spark, 3000)
+    full = ml.fit_gbt_classifier(ml.assemble(df, ["a", "b", "c"]), "label", iterations=2, depth=3)
+    model, features = ml.fit_binned_gbt_classifier(df, ["a", "b", "c"], "label", iterations=2, depth=3)
+    left = ml.predictions(full, ml.assemble(df, ["a", "b", "c"]), ["id"]).orderBy("id").collect()
+    right = ml.predictions(model, features(df), ["id"]).orderBy("id").collect()
+    assert len(right) == 3000 and [r["prediction"] for r in left] == [r["prediction"] for r in right]
+    assert [r["probability"] for r in left] == pytest.approx([r["probability"] for r in right], rel=1e-9)
+
+
+@pytest.mark.parametrize("counted_values", [10_000, 10])
+def test_trees_grow_over_bins_however_many_rows_there_are(spark, monkeypatch, counted_values):
+    """Five values, one value and 32 bins, in two classes; with the values counted and from a sketch."""
+    monkeypatch.setattr(ml, "_COUNTED_VALUES", counted_values)
+    grown = []
+    monkeypatch.setattr(ml, "fit_gbt_classifier", lambda train, label, **params: grown.append(train))
+    df = claims_like(spark, 20_000).withColumn("c", F.when(F.col("id") < 19_990, F.col("c")).otherwise(1e9))
+    _, features = ml.fit_binned_gbt_classifier(df, ["a", "b", "c"], "label")
+    assert grown[0].count() <= 5 * ml.BINS * 2 and grown[0].agg(F.sum("weight")).first()[0] == 20_000
+    sizes = [r["count"] for r in features(df).groupBy("_bin_c").count().collect()]
+    assert len(sizes) == ml.BINS and max(sizes) < 1.1 * 20_000 / ml.BINS
+    assert features(df).select("_bin_a").distinct().count() == 5
+
+
+def test_cuts_lie_between_neighbours():
+    assert ml.cuts_of_counts({}) == ml.cuts_of_counts({2.0: 9}) == []
+    assert ml.cuts_of_counts({3.0: 1, 1.0: 50, 2.0: 1}) == [1.5, 2.5]
+    assert ml.cuts_of_counts({float(v): 1 for v in range(8)}, 4) == [1.5, 3.5, 5.5]
+
+
+def test_rows_without_a_feature_are_refused(spark):
+    df = claims_like(spark, 50).withColumn("c", F.when(F.col("id") > 0, F.col("c")))
+    with pytest.raises(Exception, match="null"):
+        ml.fit_binned_gbt_classifier(df, ["a", "c"], "label", iterations=1, depth=1)
