@@ -42,6 +42,8 @@ from tallymark.llm.windows import Codes, shard_of, stretches
 
 # White space of the tokenizer's split pattern.
 _WHITE = "\t-\r \x85\xa0  -     　"
+# Blocks whose ids are returned hold half the text: words, ids and rows of a block are in a worker's memory at once.
+IDS_BLOCK_BYTES = BLOCK_BYTES // 2
 WORD = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 
 
@@ -199,7 +201,7 @@ def report(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, fan: int
     return round_trip(blocks, path, lambda ids: summary(ids, path), REPORT_SCHEMA, fan)
 
 
-def token_ids(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def token_ids(docs: DataFrame, path: str, block_bytes: int = IDS_BLOCK_BYTES) -> DataFrame:
     """As ``report``, with the ids themselves in a column ``ids``."""
     blocks = into_blocks(docs, block_bytes, ordered=False)
     return round_trip(blocks, path, lambda ids: (*summary(ids, path), ids.astype(np.int32)), f"{REPORT_SCHEMA}, ids array<int>")

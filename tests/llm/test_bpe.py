@@ -30,3 +30,12 @@ def test_edges(spark, documents):
     assert sorted(tuple(r) for r in rows if r["doc_id"]) == sorted([(1, *library("")), (2, *library("c")), (2, *library("c")), (2, *library("d"))])
     assert len(rows) == 5
     assert bpe.report(documents(), PATH).count() == 0
+
+
+def test_ids_come_from_blocks_of_half_the_size(spark, documents, monkeypatch):
+    seen, whole = [], bpe.into_blocks
+    monkeypatch.setattr(bpe, "into_blocks", lambda docs, size, ordered: seen.append(size) or whole(docs, size, ordered=ordered))
+    rows = bpe.token_ids(documents((1, "a b  c"), (2, "it's")), PATH).collect()
+    assert seen == [bpe.BLOCK_BYTES // 2]
+    assert {r["doc_id"]: tuple(r)[1:4] for r in rows} == {1: library("a b  c"), 2: library("it's")}
+    assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
