@@ -293,3 +293,14 @@ def test_scan_patterns_reads_whole_long_texts(spark):
 def test_registry_coverage(spark, rows):
     df = spark.createDataFrame([("r", [1, 2]), ("r", [2]), ("e", []), ("e", None)], "d string, rules array<int>")
     assert rows(registry.coverage(df, "d", "rules", "rule"), "d", "rule", "jobs") == [("r", 1, 1), ("r", 2, 2)]
+
+
+def test_failing_versions_are_blanked_but_still_win(spark, rows):
+    """A failed newest version hides the older one, and its values need not be shuffled."""
+    data = [("a", "ACTIVE", "PASS", 1, "x"), ("a", "DELETED", None, 2, "y"), ("b", "ACTIVE", None, 1, "z"), ("c", None, "PASS", 1, "u"), ("d", "ACTIVE", "FAIL", 1, "v")]
+    df = spark.createDataFrame(data, "k string, record_status string, data_quality_flag string, t int, `v.1` string")
+    blank = dq.blank_failing(df, ["k", "t"])
+    assert blank.columns == df.columns
+    assert rows(blank, "k", "t", "`v.1`") == [("a", 1, "x"), ("a", 2, None), ("b", 1, "z"), ("c", 1, None), ("d", 1, None)]
+    assert rows(dq.dq_gate(windows.dedupe_latest(blank, ["k"], "t")), "k", "`v.1`") == [("b", "z")]
+    assert rows(dq.dq_gate(blank), "k", "t", "`v.1`") == rows(dq.dq_gate(df), "k", "t", "`v.1`")
