@@ -202,6 +202,26 @@ def test_left_chain_gives_the_plain_joins(spark, rows, either, hot):
     assert rows(got, "id", "va", "w", "vb") == rows(plain, "id", "va", "w", "vb")
 
 
+def test_left_chain_carries_little_through_its_shuffles(spark, rows):
+    """Small sides come last, and of the others the key that adds the widest rows."""
+    df = spark.createDataFrame([(1, 1, 1, 1), (2, None, 2, 3)], "id int, a int, b int, c int")
+    little = spark.createDataFrame([(1, "x")], "a int, va string")
+    wide = spark.createDataFrame([(1, "y", "z", "w"), (1, "p", "q", "r")], "b int, vb string, wb string, xb string")
+    narrow = spark.createDataFrame([(1, 7), (3, 8)], "c int, vc int")
+    steps = [
+        joins.Step(little.alias("s"), "f.a", "s.a"),
+        joins.Step(wide.alias("w"), "f.b", "w.b"),
+        joins.Step(narrow.alias("n"), "f.c", "n.c"),
+    ]
+    got = joins.left_chain(df, "f", steps, hot={}, small=lambda side: "va" in side.columns)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    order = sorted(("s", "w", "n"), key=lambda name: plan.index(f"SubqueryAlias {name}\n"))
+    assert order == ["n", "w", "s"]
+    assert rows(got.select("f.id", "s.va", "w.vb", "n.vc"), "id", "va", "vb", "vc") == [
+        (1, "x", "p", 7), (1, "x", "y", 7), (2, None, None, 8),
+    ]
+
+
 def test_broadcast_is_decided_by_bytes(spark):
     side = spark.range(100)
     assert joins.is_small(side) and joins.plan_bytes(side) > 0
