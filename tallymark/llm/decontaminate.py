@@ -22,7 +22,7 @@ from __future__ import annotations
 import functools
 import math
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +32,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import free_names, in_batches, scratch_path, stage
+from tallymark.llm.common import in_batches, scratch_path, stage
 
 WINDOW = 13
 # Hit words times this reach the number of words: contaminated.
@@ -273,8 +273,8 @@ def held_together(batches: Iterable[pa.RecordBatch], limit: int = HELD_BYTES) ->
         yield held
 
 
-def _matcher(items: Shards, window: int, to: Names):
-    """The rows with the columns of ``to``, after all shards."""
+def _matched(items: Shards, window: int, finish: Callable[[pa.RecordBatch, Found], pa.RecordBatch]):
+    """What ``finish`` makes of each batch and what all shards found in it."""
 
     def run(batches: Iterable[pa.RecordBatch]):
         for held in held_together(batches):
@@ -286,14 +286,23 @@ def _matcher(items: Shards, window: int, to: Names):
             for batch, part in zip(held, found):
                 if not items.names:
                     part.count()
-                columns = {n: batch.column(n) for n in batch.schema.names}
-                columns |= {to.mask: pa.array(part.masks, pa.binary()), to.items: pa.array(part.items, pa.list_(pa.string()))}
-                columns |= {to.n_words: pa.array(part.n_words, pa.int64()), to.n_hit: pa.array(part.n_hit, pa.int64())}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+                yield finish(batch, part)
 
     return run
 
 
+def _matcher(items: Shards, window: int, to: Names):
+    """The rows with the columns of ``to``, after all shards."""
+
+    def add(batch: pa.RecordBatch, part: Found) -> pa.RecordBatch:
+        columns = {n: batch.column(n) for n in batch.schema.names}
+        columns |= {to.mask: pa.array(part.masks, pa.binary()), to.items: pa.array(part.items, pa.list_(pa.string()))}
+        columns |= {to.n_words: pa.array(part.n_words, pa.int64()), to.n_hit: pa.array(part.n_hit, pa.int64())}
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return _matched(items, window, add)
+
+
 def find_hits(
     docs: DataFrame, benchmark: DataFrame, to: Names = Names(), window: int = WINDOW, limit: int = SHARD_WORDS
 ) -> DataFrame:
@@ -336,16 +345,17 @@ def cut(text: str, mask: bytes, window: int) -> str:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = SHARD_WORDS) -> DataFrame:
-    """The rows that are not contaminated, with their columns; hit spans of at least ``window`` words are cut out."""
-    to = Names(*free_names(docs, *Names()))
-    kept = find_hits(docs, benchmark, to, window, limit).filter(~is_contaminated(to.n_hit, to.n_words)).drop(to.items, to.n_words)
+    """The rows that are not contaminated, with their columns; hit spans of at least ``window`` words are cut out.
 
-    def run(batches: Iterable[pa.RecordBatch]):
-        for batch in batches:
-            columns = {n: batch.column(n) for n in batch.schema.names if n not in to}
-            if batch.column(to.mask).null_count < batch.num_rows:
-                pairs = zip(batch.column("text").to_pylist(), batch.column(to.mask).to_pylist())
-                columns["text"] = pa.array([cut(t, m, window) if m else t for t, m in pairs], pa.string())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    All in one call to Python: two in a row would keep two workers for each core, also for the steps that follow.
+    """
+
+    def apply(batch: pa.RecordBatch, part: Found) -> pa.RecordBatch:
+        columns = {n: batch.column(n) for n in batch.schema.names}
+        if any(part.masks):
+            pairs = zip(part.texts.to_pylist(), part.masks)
+            columns["text"] = pa.array([cut(t, m, window) if m else t for t, m in pairs], pa.string())
+        stays = [not (n and COVERAGE * n >= words) for n, words in zip(part.n_hit, part.n_words)]
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(pa.array(stays, pa.bool_()))
 
-    return in_batches(kept.drop(to.n_hit)).mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(_matched(shards(benchmark, window, limit), window, apply), docs.schema)

@@ -48,6 +48,13 @@ def test_clean_cuts_spans_and_drops_documents(spark, documents):
     )
 
 
+def test_clean_keeps_one_worker_for_each_core(spark, documents):
+    """Calls to Python one after the other in a stage run in two workers at once, which stay for later steps."""
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    plan = d.clean(documents((1, "a b"), (2, "a b c")), bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_empty_tables(spark, documents):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert d.report(documents(), bench).count() == 0
