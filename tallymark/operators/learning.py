@@ -39,6 +39,9 @@ _COUNTED_VALUES = 10_000
 _SKETCH_ACCURACY = 10_000
 # Below this, more partitions cost a trainer more in task starts than they save.
 _ROWS_PER_PARTITION = 20_000
+# At every depth of a forest each partition sends the sums of all its nodes to as many partitions again, so partitions in step with
+# the rows would let the shuffles grow with the square of the rows. From this number on they grow with the square root of the rows.
+_FOREST_PARTITIONS = 64
 
 
 def assemble(df: DataFrame, cols: Sequence[str], handle_invalid: str = "error") -> DataFrame:
@@ -133,10 +136,16 @@ def binned(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> tuple[DataFram
     return reduce(lambda out, name: out.withMetadata(name, {}), names, rows), names
 
 
-def _fit(estimator, train: DataFrame, *columns: str):
+def _width(rows: int, straight: float = math.inf) -> int:
+    """Partitions for so many rows: in step with the rows up to ``straight``, with their square root from there."""
+    width = max(1, math.ceil(rows / _ROWS_PER_PARTITION))
+    return width if width <= straight else math.ceil(math.sqrt(width * straight))
+
+
+def _fit(estimator, train: DataFrame, *columns: str, straight: float = math.inf):
     """Fit on the needed columns only, computed once, in partitions that follow from the rows alone.
 
-    The number of partitions is the number of rows by ``_ROWS_PER_PARTITION``, without a limit, and rows are placed and
+    The number of partitions follows from the number of rows, without a limit (``_width``), and rows are placed and
     ordered by their hashes, so the model does not depend on session settings or on the layout of the input. The
     trainers pass over their input many times, and several of these passes would go back to the source. The kept
     rows spill to disk, and lost ones are computed again.
@@ -145,7 +154,7 @@ def _fit(estimator, train: DataFrame, *columns: str):
     place = F.xxhash64(*[vector_to_array(c) if c == "features" else F.col(c) for c in columns])
     rows = train.select(*columns, place.alias("_place")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        width = max(1, math.ceil(rows.count() / _ROWS_PER_PARTITION))
+        width = _width(rows.count(), straight)
         return estimator.fit(rows.repartition(width, "_place").sortWithinPartitions("_place").drop("_place"))
     finally:
         rows.unpersist()
@@ -157,7 +166,7 @@ def fit_rf(train: DataFrame, label: str, trees: int = FOREST_TREES, depth: int =
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=SEED, **params
     )
-    return _fit(forest, train, "features", label).copy()
+    return _fit(forest, train, "features", label, straight=_FOREST_PARTITIONS).copy()
 
 
 def fit_gbt_regressor(

@@ -146,6 +146,44 @@ def test_scores_do_not_depend_on_the_session(spark, monkeypatch):
     assert found[0] == found[1]
 
 
+def test_a_forests_partitions_grow_slower_than_its_rows(spark, monkeypatch):
+    """Its shuffles grow with the square of the partitions. All rows are there, few rows are dealt as ever, and other trainers too."""
+    monkeypatch.setattr(ml, "_ROWS_PER_PARTITION", 2)
+    monkeypatch.setattr(ml, "_FOREST_PARTITIONS", 4, raising=False)
+    widths = []
+
+    class Trainer:
+        def __init__(self, **params):
+            pass
+
+        def fit(self, rows):
+            widths.append((rows.count(), rows.rdd.getNumPartitions()))
+            return self
+
+        def copy(self):
+            return self
+
+    monkeypatch.setattr(ml, "RandomForestClassifier", Trainer)
+    monkeypatch.setattr(ml, "KMeans", Trainer)
+    for n in (1, 8, 32, 128):
+        ml.fit_rf(ml.assemble(separable(spark, n), ["a", "b"]), "label")
+    assert widths == [(1, 1), (8, 4), (32, 8), (128, 16)]
+    ml.fit_kmeans(ml.assemble(separable(spark, 32), ["a", "b"]), 2)
+    assert widths[-1] == (32, 16)
+
+
+def test_a_forest_of_many_partitions_does_not_depend_on_the_layout(spark, monkeypatch):
+    """Beyond the number from which partitions grow slower as well."""
+    monkeypatch.setattr(ml, "_ROWS_PER_PARTITION", 20)
+    monkeypatch.setattr(ml, "_FOREST_PARTITIONS", 4, raising=False)
+    df = separable(spark).withColumn("label", F.when(F.col("id") % 11 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    found = []
+    for parts in (3, 17):
+        model = ml.fit_rf(ml.assemble(df.repartition(parts), ["a", "b"]), "label", trees=7, depth=4)
+        found.append([r["risk_prob"] for r in ml.score(model, ml.assemble(df, ["a", "b"]), ["id"]).orderBy("id").collect()])
+    assert found[0] == found[1] and len(found[0]) == 600
+
+
 def test_training_needs_a_shared_checkpoint_folder(spark, monkeypatch):
     def missing(_):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
